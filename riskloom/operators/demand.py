@@ -8,16 +8,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import DEMAND_TYPES, INBOUND_TYPES, safe_divide
+from riskloom.operators.clock import AS_OF_COL, clock, in_window
 from riskloom.sources.fixtures import run_ts_lit
 
 
-def _since(as_of: dt.date, days: int):
+def _since(as_of: dt.date | None, days: int):
     """Inclusive N-day window [as_of - N, as_of] (N+1 calendar dates, replayable)."""
-    d = F.col("transaction_date")
-    return (d >= F.date_sub(F.lit(as_of), days)) & (d <= F.lit(as_of))
+    return in_window("transaction_date", as_of, days)
 
 
-def daily_demand(staged: DataFrame, as_of: dt.date, days: int = 120) -> DataFrame:
+def daily_demand(staged: DataFrame, as_of: dt.date | None, days: int = 120) -> DataFrame:
     """(sku, day) demand units, receipt units and transaction count.
 
     The date filter reaches the scan; the aggregate runs partial (map-side)
@@ -27,8 +27,9 @@ def daily_demand(staged: DataFrame, as_of: dt.date, days: int = 120) -> DataFram
     """
     t = F.col("transaction_type")
     units = F.abs(F.col("signed_quantity"))
+    _, keys = clock(as_of)
     return (staged.where(_since(as_of, days))
-            .groupBy("sku_id", "transaction_date")
+            .groupBy(*keys, "sku_id", "transaction_date")
             .agg(F.sum(F.when(t.isin(*DEMAND_TYPES), units).otherwise(F.lit(0))).alias("daily_demand_units"),
                  F.sum(F.when(t.isin(*INBOUND_TYPES), units).otherwise(F.lit(0))).alias("daily_receipt_units"),
                  F.count("transaction_id").alias("daily_transaction_count")))
@@ -41,19 +42,21 @@ def running_inventory(daily: DataFrame) -> DataFrame:
     holds at most one row per calendar day in the warm-up range, whatever
     the raw volume of the SKU.
     """
-    w = (Window.partitionBy("sku_id").orderBy("transaction_date")
+    keys = [AS_OF_COL] if AS_OF_COL in daily.columns else []
+    w = (Window.partitionBy(*keys, "sku_id").orderBy("transaction_date")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return daily.withColumn(
         "running_inventory_balance",
         F.sum(F.col("daily_receipt_units") - F.col("daily_demand_units")).over(w))
 
 
-def demand_signals(staged: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id: str,
+def demand_signals(staged: DataFrame, as_of: dt.date | None, run_ts: dt.datetime, run_id: str,
                    mode: str = "windowed") -> DataFrame:
     """One row per active SKU: rolling demand, variability, stockouts, coverage.
 
     mode="windowed" applies the 7-day window to demand_7d; mode="as_written"
     reproduces the original table, where demand_7d equals demand_90d.
+    ``as_of=None`` computes every snapshot carried in the ``as_of`` column.
     """
     if mode not in ("windowed", "as_written"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -61,12 +64,13 @@ def demand_signals(staged: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_i
     d = F.col("transaction_date")
     dem = F.col("daily_demand_units")
     bal = F.col("running_inventory_balance")
-    in30 = d >= F.date_sub(F.lit(as_of), 30)
-    in7 = d >= F.date_sub(F.lit(as_of), 7)
+    a, keys = clock(as_of)
+    in30 = d >= F.date_sub(a, 30)
+    in7 = d >= F.date_sub(a, 7)
     d7 = F.sum(F.when(in7, dem).otherwise(F.lit(0))) if mode == "windowed" else F.sum(dem)
     # The 90-day filter sits above the running sum: the warm-up days stay in the balance.
     agg = (running.where(_since(as_of, 90))
-           .groupBy("sku_id")
+           .groupBy(*keys, "sku_id")
            .agg(d7.alias("demand_7d"),
                 F.sum(F.when(in30, dem).otherwise(F.lit(0))).alias("demand_30d"),
                 F.sum(dem).alias("demand_90d"),
@@ -79,7 +83,7 @@ def demand_signals(staged: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_i
     return (agg.where((F.col("demand_90d") > 0) | (F.col("active_days_90d") > 0))
             .select(
                 "sku_id",
-                F.lit(as_of).alias("signal_date"),
+                a.alias("signal_date"),
                 F.col("demand_7d").cast("long").alias("demand_7d"),
                 F.col("demand_30d").cast("long").alias("demand_30d"),
                 F.col("demand_90d").cast("long").alias("demand_90d"),
@@ -89,7 +93,7 @@ def demand_signals(staged: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_i
                 F.coalesce(F.col("dos").cast("double"), F.lit(0.0)).alias("days_of_supply"),
                 F.col("active_days_90d").cast("long").alias("active_days_90d"),
                 "last_transaction_date",
-                F.datediff(F.lit(as_of), F.col("last_transaction_date")).cast("long")
+                F.datediff(a, F.col("last_transaction_date")).cast("long")
                 .alias("days_since_last_activity"),
                 safe_divide(F.col("demand_7d"), F.col("demand_30d") - F.col("demand_7d"))
                 .cast("double").alias("demand_acceleration_ratio"),

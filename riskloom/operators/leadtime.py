@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.clock import clock, in_window
+
 # Fixed value: quantile sketch accuracy (relative error 1/10000).
 QUANTILE_ACCURACY = 10000
 
@@ -18,18 +20,19 @@ def _receipt_date(po: DataFrame) -> Column:
     return F.to_date("receipt_timestamp")
 
 
-def lead_time_rows(po: DataFrame, as_of: dt.date, days: int = 90) -> DataFrame:
+def lead_time_rows(po: DataFrame, as_of: dt.date | None, days: int = 90) -> DataFrame:
     """PO rows of the last ``days`` days with lead and lateness columns."""
     rd = _receipt_date(po)
     p = F.col("po_date").cast("date")
-    return (po.where((p >= F.date_sub(F.lit(as_of), days)) & (p <= F.lit(as_of)))
-            .select("vendor_id", "sku_id",
+    _, keys = clock(as_of)
+    return (po.where(in_window(p, as_of, days))
+            .select(*keys, "vendor_id", "sku_id",
                     F.datediff(rd, p).alias("lead_days"),
                     F.when(F.datediff(rd, F.col("expected_date").cast("date")) > 0, F.lit(1.0))
                     .otherwise(F.lit(0.0)).alias("is_late")))
 
 
-def vendor_lead_times(po: DataFrame, as_of: dt.date, days: int = 90, exact: bool = False,
+def vendor_lead_times(po: DataFrame, as_of: dt.date | None, days: int = 90, exact: bool = False,
                       grain: Sequence[str] = ("vendor_id", "sku_id")) -> DataFrame:
     """p50/p90 lead days, late-delivery rate and PO count per (vendor, sku).
 
@@ -44,23 +47,23 @@ def vendor_lead_times(po: DataFrame, as_of: dt.date, days: int = 90, exact: bool
     else:
         q = F.percentile_approx("lead_days", [0.5, 0.9], QUANTILE_ACCURACY)
         p50, p90 = q[0], q[1]
-    return (rows.groupBy(*grain)
+    _, keys = clock(as_of)
+    return (rows.groupBy(*keys, *grain)
             .agg(p50.cast("long").alias("lead_time_p50"),
                  p90.cast("long").alias("lead_time_p90"),
                  F.avg("is_late").alias("late_delivery_rate"),
                  F.count(F.lit(1)).alias("po_count_90d")))
 
 
-def sku_vendor_map(staged: DataFrame, as_of: dt.date, days: int = 90) -> DataFrame:
+def sku_vendor_map(staged: DataFrame, as_of: dt.date | None, days: int = 90) -> DataFrame:
     """Each SKU's most frequent vendor over the window (ties: smallest vendor_id).
 
     Counting is a partial/final aggregate; the top-1 window then sees one
     row per (sku, vendor) pair only.
     """
-    d = F.col("transaction_date")
-    counts = (staged.where((d >= F.date_sub(F.lit(as_of), days)) & (d <= F.lit(as_of))
-                           & F.col("vendor_id").isNotNull())
-              .groupBy("sku_id", "vendor_id").agg(F.count(F.lit(1)).alias("transaction_count")))
-    w = Window.partitionBy("sku_id").orderBy(F.col("transaction_count").desc(), F.col("vendor_id").asc())
+    _, keys = clock(as_of)
+    counts = (staged.where(in_window("transaction_date", as_of, days) & F.col("vendor_id").isNotNull())
+              .groupBy(*keys, "sku_id", "vendor_id").agg(F.count(F.lit(1)).alias("transaction_count")))
+    w = Window.partitionBy(*keys, "sku_id").orderBy(F.col("transaction_count").desc(), F.col("vendor_id").asc())
     return (counts.withColumn("__rn", F.row_number().over(w))
             .where(F.col("__rn") == 1).drop("__rn"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-ORACLE_MODULES = ("riskloom.plans.oracle",)
+ORACLE_MODULES = ("riskloom.plans.oracle", "riskloom.plans.registry_io")
 
 
 def all_oracles() -> dict[str, str]:

@@ -135,7 +135,7 @@ def _latest_snapshot(x: Inputs) -> DataFrame:
     return sc.read_latest_snapshot(o, "order_date", ["o_orderkey", "o_custkey", "o_totalprice", "order_date"])
 
 
-QUERY_MODULES = ()
+QUERY_MODULES = ("riskloom.plans.registry_io",)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-ORACLE_MODULES = ("riskloom.plans.oracle", "riskloom.plans.registry_io")
+ORACLE_MODULES = ("riskloom.plans.oracle", "riskloom.plans.registry_io",
+                  "riskloom.plans.registry_stream")
 
 
 def all_oracles() -> dict[str, str]:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.prefix import prefix_sums
+
 # Fixed value: drift alert level.
 DRIFT_ALPHA = 0.05
 
@@ -67,9 +69,8 @@ def drift_ks(base: DataFrame, current: DataFrame, cols: Sequence[str], alpha: fl
 
     Exact statistic, computed without one task per feature: values are
     counted per (feature, value) (map-side combine, so a hot value is one
-    row), split into ``buckets`` value ranges from approximate quantiles,
-    bucket totals give each range its starting offset, and the running sum
-    inside a range runs in a window partitioned by (feature, bucket).
+    row), then the two empirical CDFs are range-bucketed prefix sums
+    (``prefix_sums``) and the statistic is their largest gap.
     """
     def long(df: DataFrame, sample: int) -> DataFrame:
         arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
@@ -78,20 +79,11 @@ def drift_ks(base: DataFrame, current: DataFrame, cols: Sequence[str], alpha: fl
     s = long(base, 1).unionByName(long(current, 2))
     counts = s.groupBy("feature", "value").agg(F.count_if(F.col("sample") == 1).alias("n1"),
                                                F.count_if(F.col("sample") == 2).alias("n2"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = counts.groupBy("feature").agg(F.percentile_approx("value", probs, 1000).alias("cuts"),
-                                         F.sum("n1").alias("t1"), F.sum("n2").alias("t2"))
-    b = counts.join(cuts, "feature").withColumn(
-        "bucket", F.size(F.filter("cuts", lambda c: c < F.col("value"))))
-    per_bucket = b.groupBy("feature", "bucket").agg(F.sum("n1").alias("b1"), F.sum("n2").alias("b2"))
-    wb = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("feature", "bucket", F.coalesce(F.sum("b1").over(wb), F.lit(0)).alias("o1"),
-                                F.coalesce(F.sum("b2").over(wb), F.lit(0)).alias("o2"))
-    wv = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cdf = (b.join(offsets, ["feature", "bucket"])
-           .select("feature", "t1", "t2",
-                   F.abs((F.col("o1") + F.sum("n1").over(wv)) / F.col("t1")
-                         - (F.col("o2") + F.sum("n2").over(wv)) / F.col("t2")).alias("gap")))
+    tot = counts.groupBy("feature").agg(F.sum("n1").alias("t1"), F.sum("n2").alias("t2"))
+    cum = prefix_sums(counts, ["feature"], "value", ["n1", "n2"], buckets=buckets)
+    cdf = cum.join(tot, "feature").select(
+        "feature", "t1", "t2",
+        F.abs(F.col("cum_n1") / F.col("t1") - F.col("cum_n2") / F.col("t2")).alias("gap"))
     d = cdf.groupBy("feature").agg(F.max("gap").alias("ks"), F.first("t1").alias("n1"), F.first("t2").alias("n2"))
     en = F.sqrt(F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2")))
     lam = (en + F.lit(0.12) + F.lit(0.11) / en) * F.col("ks")

@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+import datetime as dt
+import re
+
+from riskloom.operators.clock import expand_snapshots
 from riskloom.operators.demand import demand_signals
 from riskloom.operators.features import sku_risk_features
 from riskloom.operators.staging import stage_inventory
@@ -19,6 +23,12 @@ from riskloom.session import apply_settings, ensure_checkpoint_dir
 from riskloom.sources import fixtures as fx
 
 
+# Training snapshots every 30 days, 68 of them, ending on the as-of date.
+TRAIN_STEP = 30
+TRAIN_COUNT = 68
+TRAIN_START = fx.AS_OF - dt.timedelta(days=TRAIN_STEP * (TRAIN_COUNT - 1))
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str, sku_mod: int | None = fx.SKU_MOD):
         apply_settings(spark)
@@ -53,6 +63,33 @@ class Inputs:
     def features(self) -> DataFrame:
         return sku_risk_features(self.signals, self.staged, self.po, self.as_of, self.run_ts, self.run_id)
 
+    # ---- training fixture (FIXTURES.md): receipts x6, many snapshots, sku_mod = 5000 x sf
+    @cached_property
+    def training_sku_mod(self) -> int:
+        m = re.search(r"sf([0-9.]+)", self.sf_dir)
+        return max(1, int(round(5000 * float(m.group(1))))) if m else fx.SKU_MOD
+
+    @cached_property
+    def training_po(self) -> DataFrame:
+        return fx.purchase_order_receipts(self.table("lineitem"), self.table("orders"), self.training_sku_mod)
+
+    @cached_property
+    def training_staged(self) -> DataFrame:
+        raw = fx.raw_inventory_transactions(self.table("lineitem"), self.training_sku_mod)
+        t = F.lower(F.trim(F.col("transaction_type")))
+        raw = raw.withColumn("quantity", F.when(t.isin("receipt", "adjustment_in"), F.col("quantity") * 6)
+                             .otherwise(F.col("quantity")))
+        return stage_inventory(raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",))
+
+    @cached_property
+    def training_features(self) -> DataFrame:
+        """Feature rows for all training snapshots, computed in one job."""
+        start, step, count = TRAIN_START, TRAIN_STEP, TRAIN_COUNT
+        staged = expand_snapshots(self.training_staged, "transaction_date", start, step, count, 120)
+        po = expand_snapshots(self.training_po, "po_date", start, step, count, 90)
+        signals = demand_signals(staged, None, self.run_ts, self.run_id)
+        return sku_risk_features(signals, staged, po, None, self.run_ts, self.run_id)
+
     @cached_property
     def messages(self) -> DataFrame:
         return fx.event_messages(self.table("events"))

@@ -60,27 +60,7 @@ event_messages AS (
              ELSE CASE event_type WHEN 'purchase' THEN 'order_placed' WHEN 'view' THEN 'order_shipped' WHEN 'click' THEN 'order_delayed' ELSE 'order_cancelled' END END AS etype
       FROM events) a) b
 ),
-staged AS (
-  SELECT transaction_id, sku_id, vendor_id, warehouse_id, quantity, transaction_type, unit_cost,
-    transaction_timestamp, transaction_date, signed_quantity, source_system, source_file,
-    {AS_OF} AS ingestion_date, {RUN_TS} AS processed_at, {RUN_ID} AS pipeline_run_id,
-    'v1.0' AS schema_version
-  FROM (
-    SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(sku_id AS VARCHAR) AS sku_id,
-      CAST(vendor_id AS VARCHAR) AS vendor_id, CAST(warehouse_id AS VARCHAR) AS warehouse_id,
-      CAST(ROUND(quantity) AS BIGINT) AS quantity, lower(trim(transaction_type)) AS transaction_type,
-      CAST(unit_cost AS DOUBLE) AS unit_cost, transaction_timestamp,
-      CAST(transaction_timestamp AS DATE) AS transaction_date,
-      CASE WHEN lower(trim(transaction_type)) IN ('receipt', 'adjustment_in', 'transfer_in') THEN abs(quantity)
-           WHEN lower(trim(transaction_type)) IN ('shipment', 'adjustment_out', 'transfer_out', 'consumption') THEN -abs(quantity)
-           ELSE quantity END AS signed_quantity,
-      source_system, source_file, tie_key
-    FROM raw_inventory_transactions
-    WHERE transaction_id IS NOT NULL AND sku_id IS NOT NULL AND transaction_timestamp IS NOT NULL
-      AND quantity IS NOT NULL AND quantity <> 0
-    QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY transaction_timestamp DESC, tie_key DESC) = 1
-  ) s
-),
+staged AS ({_staged_sql("raw_inventory_transactions")}),
 daily AS (
   SELECT sku_id, transaction_date,
     CAST(SUM(CASE WHEN transaction_type IN ('shipment', 'consumption', 'transfer_out') THEN abs(signed_quantity) ELSE 0 END) AS BIGINT) AS daily_demand_units,
@@ -165,6 +145,30 @@ features AS (
 )"""
 
 
+def _staged_sql(src: str) -> str:
+    return f"""
+  SELECT transaction_id, sku_id, vendor_id, warehouse_id, quantity, transaction_type, unit_cost,
+    transaction_timestamp, transaction_date, signed_quantity, source_system, source_file,
+    {AS_OF} AS ingestion_date, {RUN_TS} AS processed_at, {RUN_ID} AS pipeline_run_id,
+    'v1.0' AS schema_version
+  FROM (
+    SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(sku_id AS VARCHAR) AS sku_id,
+      CAST(vendor_id AS VARCHAR) AS vendor_id, CAST(warehouse_id AS VARCHAR) AS warehouse_id,
+      CAST(ROUND(quantity) AS BIGINT) AS quantity, lower(trim(transaction_type)) AS transaction_type,
+      CAST(unit_cost AS DOUBLE) AS unit_cost, transaction_timestamp,
+      CAST(transaction_timestamp AS DATE) AS transaction_date,
+      CASE WHEN lower(trim(transaction_type)) IN ('receipt', 'adjustment_in', 'transfer_in') THEN abs(quantity)
+           WHEN lower(trim(transaction_type)) IN ('shipment', 'adjustment_out', 'transfer_out', 'consumption') THEN -abs(quantity)
+           ELSE quantity END AS signed_quantity,
+      source_system, source_file, tie_key
+    FROM {src}
+    WHERE transaction_id IS NOT NULL AND sku_id IS NOT NULL AND transaction_timestamp IS NOT NULL
+      AND quantity IS NOT NULL AND quantity <> 0
+    QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY transaction_timestamp DESC, tie_key DESC) = 1
+  ) s
+"""
+
+
 def _signals_select(d7: str) -> str:
     return f"""SELECT sku_id, {AS_OF} AS signal_date,
     CAST({d7} AS BIGINT) AS demand_7d, CAST(d30 AS BIGINT) AS demand_30d, CAST(d90 AS BIGINT) AS demand_90d,
@@ -266,3 +270,106 @@ FROM features WHERE feature_date = (SELECT MAX(feature_date) FROM features)""")
 oracle("latest_snapshot", """
 SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date
 FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)""")
+
+
+def training_ctes() -> str:
+    """Training fixture in SQL: receipts x6, 68 snapshots 30 days apart, joined by date range."""
+    dem = "transaction_type IN ('shipment', 'consumption', 'transfer_out')"
+    rec = "transaction_type IN ('receipt', 'adjustment_in', 'transfer_in')"
+    return f""",
+snaps AS (SELECT CAST(DATE '1996-01-30' + CAST(30 * k AS INTEGER) AS DATE) AS as_of FROM range(0, 68) t(k)),
+traw AS (SELECT * REPLACE (CASE WHEN transaction_type IN (' Receipt ', 'ADJUSTMENT_IN') THEN quantity * 6
+                                ELSE quantity END AS quantity) FROM raw_inventory_transactions),
+tstaged AS ({_staged_sql("traw")}),
+mdaily AS (
+  SELECT s.as_of, t.sku_id, t.transaction_date,
+    CAST(SUM(CASE WHEN {dem} THEN abs(signed_quantity) ELSE 0 END) AS BIGINT) AS dem,
+    CAST(SUM(CASE WHEN {rec} THEN abs(signed_quantity) ELSE 0 END) AS BIGINT) AS rec
+  FROM tstaged t JOIN snaps s ON t.transaction_date BETWEEN s.as_of - 120 AND s.as_of
+  GROUP BY s.as_of, t.sku_id, t.transaction_date),
+mrun AS (SELECT *, SUM(rec - dem) OVER (PARTITION BY as_of, sku_id ORDER BY transaction_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bal FROM mdaily),
+magg AS (
+  SELECT as_of, sku_id,
+    SUM(CASE WHEN transaction_date >= as_of - 7 THEN dem ELSE 0 END) AS d7,
+    SUM(CASE WHEN transaction_date >= as_of - 30 THEN dem ELSE 0 END) AS d30,
+    SUM(dem) AS d90,
+    stddev_samp(CASE WHEN transaction_date >= as_of - 30 THEN dem END)
+      / NULLIF(avg(CASE WHEN transaction_date >= as_of - 30 THEN dem END), 0) AS cv,
+    count_if(bal <= 0 AND transaction_date >= as_of - 30) AS so30,
+    MAX(CASE WHEN bal <= 0 THEN 1 ELSE 0 END) AS so_flag,
+    MAX(bal) / NULLIF(avg(CASE WHEN transaction_date >= as_of - 7 THEN dem END), 0) AS dos,
+    COUNT(*) AS active_days, MAX(transaction_date) AS last_date
+  FROM mrun WHERE transaction_date BETWEEN as_of - 90 AND as_of GROUP BY as_of, sku_id),
+msig AS (
+  SELECT sku_id, as_of AS signal_date, CAST(d7 AS BIGINT) AS demand_7d, CAST(d30 AS BIGINT) AS demand_30d,
+    CAST(d90 AS BIGINT) AS demand_90d, COALESCE(cv, 0.0::DOUBLE) AS demand_cv_30d,
+    CAST(so30 AS BIGINT) AS stockout_days_30d, so_flag AS stockout_flag,
+    COALESCE(CAST(dos AS DOUBLE), 0.0::DOUBLE) AS days_of_supply,
+    CAST(date_diff('day', last_date, as_of) AS BIGINT) AS days_since_last_activity,
+    CAST(d7 AS DOUBLE) / NULLIF(CAST(d30 - d7 AS DOUBLE), 0) AS demand_acceleration_ratio
+  FROM magg WHERE d90 > 0 OR active_days > 0),
+mvlt AS (
+  SELECT s.as_of, p.vendor_id, p.sku_id,
+    CAST(quantile_disc(date_diff('day', p.po_date, p.receipt_date), 0.5) AS BIGINT) AS p50,
+    CAST(quantile_disc(date_diff('day', p.po_date, p.receipt_date), 0.9) AS BIGINT) AS p90,
+    avg(CASE WHEN p.receipt_date > p.expected_date THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS late,
+    COUNT(*) AS n
+  FROM purchase_order_receipts_t p JOIN snaps s ON p.po_date BETWEEN s.as_of - 90 AND s.as_of
+  GROUP BY s.as_of, p.vendor_id, p.sku_id),
+msvm AS (
+  SELECT as_of, sku_id, vendor_id FROM (
+    SELECT s.as_of, t.sku_id, t.vendor_id, COUNT(*) AS c
+    FROM tstaged t JOIN snaps s ON t.transaction_date BETWEEN s.as_of - 90 AND s.as_of
+    WHERE t.vendor_id IS NOT NULL GROUP BY s.as_of, t.sku_id, t.vendor_id) x
+  QUALIFY row_number() OVER (PARTITION BY as_of, sku_id ORDER BY c DESC, vendor_id) = 1),
+mfeat AS (
+  SELECT d.sku_id, m.vendor_id, d.signal_date AS feature_date, d.demand_7d, d.demand_30d, d.demand_90d,
+    d.demand_cv_30d, d.demand_acceleration_ratio, d.days_of_supply, d.stockout_flag, d.stockout_days_30d,
+    d.days_since_last_activity, COALESCE(v.p50, 14) AS lead_time_p50, COALESCE(v.p90, 21) AS lead_time_p90,
+    COALESCE(v.late, 0.0::DOUBLE) AS late_delivery_rate, COALESCE(v.n, 0) AS po_count_90d,
+    d.demand_30d / NULLIF(d.days_of_supply, 0) AS demand_pressure_ratio,
+    CASE WHEN d.stockout_flag = 1 AND d.demand_acceleration_ratio > 1.2 THEN 1
+         WHEN COALESCE(v.late, 0) > 0.25 THEN 1
+         WHEN d.days_of_supply < COALESCE(v.p90, 21) THEN 1 ELSE 0 END AS supply_risk_flag,
+    least(1.0::DOUBLE, greatest(0.0::DOUBLE, 0.3 * COALESCE(v.late, 0.0::DOUBLE) + 0.3 * (d.stockout_days_30d / 30.0::DOUBLE)
+      + 0.2 * (1.0::DOUBLE - least(d.days_of_supply / 30.0::DOUBLE, 1.0::DOUBLE))
+      + 0.2 * least(d.demand_cv_30d, 1.0::DOUBLE))) AS delay_risk_score
+  FROM msig d LEFT JOIN msvm m ON d.sku_id = m.sku_id AND d.signal_date = m.as_of
+  LEFT JOIN mvlt v ON d.sku_id = v.sku_id AND m.vendor_id = v.vendor_id AND d.signal_date = v.as_of),
+eng AS (
+  SELECT *,
+    lead_time_p90 / greatest(CAST(lead_time_p50 AS DOUBLE), 1.0::DOUBLE) AS lead_time_buffer_ratio,
+    days_of_supply / greatest(CAST(lead_time_p90 AS DOUBLE), 1.0::DOUBLE) AS inventory_coverage_ratio,
+    demand_7d / greatest(CAST(demand_30d AS DOUBLE), 0.01::DOUBLE) AS demand_momentum,
+    1.0::DOUBLE - late_delivery_rate AS vendor_reliability_score,
+    COALESCE(demand_pressure_ratio, 0.0::DOUBLE) * 0.4 + stockout_flag * 0.3
+      + (1.0::DOUBLE - COALESCE(least(days_of_supply / greatest(CAST(lead_time_p90 AS DOUBLE), 1.0::DOUBLE), 1.0::DOUBLE), 0.0::DOUBLE)) * 0.3
+      AS composite_supply_pressure,
+    concat_ws('|', sku_id, COALESCE(vendor_id, ''), CAST(feature_date AS VARCHAR)) AS rkey
+  FROM mfeat),
+lab AS (
+  SELECT *, CASE WHEN CAST(('0x' || substr(md5('42:' || rkey), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE < 0.1
+                 THEN 1 - rule ELSE rule END AS is_delayed
+  FROM (SELECT *, CAST((supply_risk_flag = 1 OR late_delivery_rate > 0.2 OR stockout_flag = 1) AS INTEGER) AS rule FROM eng) r),
+spl AS (
+  SELECT *, CASE WHEN CAST(('0x' || substr(md5('42:' || CAST(is_delayed AS VARCHAR) || '#' || rkey), 1, 8)) AS BIGINT)
+                      / 4294967296.0::DOUBLE < 0.2 THEN 'test' ELSE 'train' END AS split
+  FROM lab),
+test AS (SELECT *, supply_risk_flag AS prediction, delay_risk_score AS score FROM spl WHERE split = 'test'),
+cm AS (SELECT count_if(is_delayed = 1 AND prediction = 1) AS tp, count_if(is_delayed = 0 AND prediction = 1) AS fp,
+              count_if(is_delayed = 1 AND prediction = 0) AS fn, count_if(is_delayed = 0 AND prediction = 0) AS tn FROM test),
+met AS (SELECT CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1_score,
+               CASE WHEN tp + fp = 0 THEN 0.0 ELSE 1.0 * tp / (tp + fp) END AS precision,
+               CASE WHEN tp + fn = 0 THEN 0.0 ELSE 1.0 * tp / (tp + fn) END AS recall,
+               CASE WHEN tp + fp + fn + tn = 0 THEN 0.0 ELSE 1.0 * (tp + tn) / (tp + fp + fn + tn) END AS accuracy,
+               tp + fp + fn + tn AS n_samples FROM cm)"""
+
+
+def training_po_cte(sku_mod: int = 50) -> str:
+    return f""",
+purchase_order_receipts_t AS (SELECT * FROM purchase_order_receipts)"""
+
+
+def training_oracle(key: str, body: str) -> None:
+    ORACLES[key] = with_fixtures(training_po_cte() + training_ctes() + "\n" + body)

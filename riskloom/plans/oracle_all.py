@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 ORACLE_MODULES = ("riskloom.plans.oracle", "riskloom.plans.registry_io",
-                  "riskloom.plans.registry_stream")
+                  "riskloom.plans.registry_stream", "riskloom.plans.registry_ml")
 
 
 def all_oracles() -> dict[str, str]:

@@ -135,7 +135,8 @@ def _latest_snapshot(x: Inputs) -> DataFrame:
     return sc.read_latest_snapshot(o, "order_date", ["o_orderkey", "o_custkey", "o_totalprice", "order_date"])
 
 
-QUERY_MODULES = ("riskloom.plans.registry_io", "riskloom.plans.registry_stream")
+QUERY_MODULES = ("riskloom.plans.registry_io", "riskloom.plans.registry_stream",
+                 "riskloom.plans.registry_ml")
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 import datetime as dt
-import re
 
 from riskloom.operators.clock import expand_snapshots
 from riskloom.operators.demand import demand_signals
@@ -63,11 +62,11 @@ class Inputs:
     def features(self) -> DataFrame:
         return sku_risk_features(self.signals, self.staged, self.po, self.as_of, self.run_ts, self.run_id)
 
-    # ---- training fixture (FIXTURES.md): receipts x6, many snapshots, sku_mod = 5000 x sf
+    # ---- training fixture (FIXTURES.md): inbound receipts x6, 68 snapshots 30 days apart.
+    # The SKU mapping is the same as everywhere else, so the oracle SQL agrees at every scale.
     @cached_property
-    def training_sku_mod(self) -> int:
-        m = re.search(r"sf([0-9.]+)", self.sf_dir)
-        return max(1, int(round(5000 * float(m.group(1))))) if m else fx.SKU_MOD
+    def training_sku_mod(self) -> int | None:
+        return self.sku_mod
 
     @cached_property
     def training_po(self) -> DataFrame:

@@ -1,5 +1,4 @@
 import json
-import os
 
 import pytest
 
@@ -40,8 +39,9 @@ def test_write_empty_disposition(spark):
 def test_exports(spark):
     df = spark.createDataFrame([("a", 0.5)], "sku_id string, risk_score double")
     p = sk.write_predictions(df, shared_dir(spark, "pred"))
-    assert any(f.endswith(".json") for f in os.listdir(p))
-    assert spark.read.json(p).count() == 1
+    assert spark.read.json(p).first().sku_id == "a"
+    e = sk.export_offline(df, shared_dir(spark, "offline"))
+    assert spark.read.parquet(e).count() == 1
 
 
 def test_policy_view(spark):
@@ -62,3 +62,27 @@ def test_partition_filter_rejects_bad_columns(spark):
     df = spark.createDataFrame([(1,)], "a long").selectExpr("a", "current_date() AS d")
     with pytest.raises(ValueError):
         ld.partition_filter(df, "d", None, None, ["nope"])
+
+
+def test_append_with_declared_schema_and_report(spark):
+    path = shared_dir(spark, "schema")
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    sk.write_table(df, path, "append", schema=spark.createDataFrame([], "id long, name string").schema)
+    assert dict(spark.read.parquet(path).dtypes)["id"] == "bigint"
+    rp = sk.write_report(spark.createDataFrame([("verdict", True)], "check string, passed boolean"),
+                         shared_dir(spark, "report"))
+    assert spark.read.json(rp).first().check == "verdict"
+
+
+def test_head_sample(spark):
+    df = ld.read_landing(spark, "/root/testdata/sf0.001", "parquet", glob="lineitem.parquet", max_rows=1000)
+    assert df.count() == 1000
+
+
+def test_layer_views(spark, x001):
+    from riskloom.plans.pipeline import register_layer_views, run_pipeline
+    out = shared_dir(spark, "layers")
+    rep = run_pipeline(spark, x001.raw, x001.po, out, x001.as_of, x001.run_ts, x001.run_id)
+    assert [r.passed for r in rep.collect()] == [True] * 4
+    names = register_layer_views(spark, out)
+    assert spark.table(names[0]).count() == x001.staged.count()

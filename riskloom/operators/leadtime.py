@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.quantiles import histogram_quantiles
 from riskloom.operators.clock import clock, in_window
 
 # Fixed value: quantile sketch accuracy (relative error 1/10000).
@@ -32,25 +33,32 @@ def lead_time_rows(po: DataFrame, as_of: dt.date | None, days: int = 90) -> Data
                     .otherwise(F.lit(0.0)).alias("is_late")))
 
 
-def vendor_lead_times(po: DataFrame, as_of: dt.date | None, days: int = 90, exact: bool = False,
+def vendor_lead_times(po: DataFrame, as_of: dt.date | None, days: int = 90, method: str = "histogram",
                       grain: Sequence[str] = ("vendor_id", "sku_id")) -> DataFrame:
     """p50/p90 lead days, late-delivery rate and PO count per (vendor, sku).
 
-    Approximate quantiles are mergeable sketches: the aggregate runs partial
-    per input partition and merges after the shuffle, so a hot vendor never
-    moves its raw rows. ``exact=True`` uses discrete percentiles (sorts each group).
+    method="histogram" (default): exact discrete quantiles from per-group
+    day histograms (lead times are whole days, so a group has one histogram
+    row per distinct lead time, however many POs it holds).
+    method="sketch": ``percentile_approx`` sketches, merged after a partial
+    aggregate (for measures without a small integer domain).
     """
     rows = lead_time_rows(po, as_of, days)
-    if exact:
-        p50 = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY lead_days)")
-        p90 = F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY lead_days)")
-    else:
-        q = F.percentile_approx("lead_days", [0.5, 0.9], QUANTILE_ACCURACY)
-        p50, p90 = q[0], q[1]
     _, keys = clock(as_of)
-    return (rows.groupBy(*keys, *grain)
-            .agg(p50.cast("long").alias("lead_time_p50"),
-                 p90.cast("long").alias("lead_time_p90"),
+    k = [*keys, *grain]
+    if method == "histogram":
+        q = histogram_quantiles(rows, k, "lead_days", [0.5, 0.9], ["p50", "p90"],
+                                {"late": F.col("is_late")})
+        return q.select(*k, F.col("p50").cast("long").alias("lead_time_p50"),
+                        F.col("p90").cast("long").alias("lead_time_p90"),
+                        (F.col("late") / F.col("__n")).alias("late_delivery_rate"),
+                        F.col("__n").cast("long").alias("po_count_90d"))
+    if method != "sketch":
+        raise ValueError(f"unknown quantile method {method!r}")
+    qa = F.percentile_approx("lead_days", [0.5, 0.9], QUANTILE_ACCURACY)
+    return (rows.groupBy(*k)
+            .agg(qa[0].cast("long").alias("lead_time_p50"),
+                 qa[1].cast("long").alias("lead_time_p90"),
                  F.avg("is_late").alias("late_delivery_rate"),
                  F.count(F.lit(1)).alias("po_count_90d")))
 

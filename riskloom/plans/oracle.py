@@ -244,6 +244,8 @@ oracle("vendor_lead_times", f"""
 SELECT vendor_id, sku_id, lead_time_p50, lead_time_p90, {r6('late_delivery_rate', 'late_delivery_rate')},
   po_count_90d FROM vlt""")
 
+ORACLES["vendor_lead_times_sketch"] = ORACLES["vendor_lead_times"]
+
 oracle("sku_vendor_map", "SELECT sku_id, vendor_id, transaction_count FROM svm")
 
 FEATURE_COLS = f"""sku_id, vendor_id, feature_date, demand_7d, demand_30d, demand_90d,

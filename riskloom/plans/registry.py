@@ -94,6 +94,12 @@ def _vendor_lead_times(x: Inputs) -> DataFrame:
     return lt.vendor_lead_times(x.po, x.as_of)
 
 
+@query("vendor_lead_times_sketch")
+def _vendor_lead_times_sketch(x: Inputs) -> DataFrame:
+    """The approximate-quantile form (mergeable sketches), as the original table computes it."""
+    return lt.vendor_lead_times(x.po, x.as_of, method="sketch")
+
+
 @query("sku_vendor_map")
 def _sku_vendor_map(x: Inputs) -> DataFrame:
     return lt.sku_vendor_map(x.staged, x.as_of)

@@ -19,14 +19,19 @@ from pyspark.sql import functions as F
 
 
 def histogram_quantiles(df: DataFrame, keys: Sequence[str], value_col: str, probs: Sequence[float],
-                        names: Sequence[str], extra_sums: dict[str, Column] | None = None) -> DataFrame:
+                        names: Sequence[str], extra_sums: dict[str, Column] | None = None,
+                        weight: Column | None = None) -> DataFrame:
     """One row per group: ``names[i]`` = discrete ``probs[i]``-quantile, ``__n`` = count,
-    plus ``extra_sums`` (name -> per-row expression) summed per group."""
+    plus ``extra_sums`` (name -> per-row expression) summed per group.
+
+    ``weight`` lets pre-aggregated rows (value, count) stand for ``count`` rows.
+    """
     extra_sums = extra_sums or {}
     k = list(keys)
+    w = F.count(F.lit(1)) if weight is None else F.sum(weight)
     hist = (df.where(F.col(value_col).isNotNull())
             .groupBy(*k, value_col)
-            .agg(F.count(F.lit(1)).alias("__c"), *[F.sum(e).alias(n) for n, e in extra_sums.items()]))
+            .agg(w.alias("__c"), *[F.sum(e).alias(n) for n, e in extra_sums.items()]))
     w_cum = Window.partitionBy(*k).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     w_all = Window.partitionBy(*k)
     h = hist.withColumn("__cum", F.sum("__c").over(w_cum)).withColumn("__n", F.sum("__c").over(w_all))

@@ -25,16 +25,24 @@ def daily_demand(staged: DataFrame, as_of: dt.date | None, days: int = 120) -> D
     ``staged`` is unique by transaction_id, so COUNT equals COUNT DISTINCT
     without the extra expand of a distinct aggregate.
     """
+    _, keys = clock(as_of)
+    return _daily(staged.where(_since(as_of, days)), keys)
+
+
+def _daily(staged: DataFrame, keys: list[str]) -> DataFrame:
     t = F.col("transaction_type")
     units = F.abs(F.col("signed_quantity"))
-    _, keys = clock(as_of)
-    return (staged.where(_since(as_of, days))
-            .groupBy(*keys, "sku_id", "transaction_date")
+    return (staged.groupBy(*keys, "sku_id", "transaction_date")
             .agg(F.sum(F.when(t.isin(*DEMAND_TYPES), units).otherwise(F.lit(0))).alias("daily_demand_units"),
                  F.sum(F.when(t.isin(*INBOUND_TYPES), units).otherwise(F.lit(0))).alias("daily_receipt_units"),
                  F.count("transaction_id").alias("daily_transaction_count")))
 
 
+def daily_demand_all(staged: DataFrame) -> DataFrame:
+    """(sku, day) totals over all dates: the as-of-independent part, expanded per snapshot later."""
+    return _daily(staged, [])
+
+
 def running_inventory(daily: DataFrame) -> DataFrame:
     """Running balance = cumulative receipts - demand per SKU, by date.
 
@@ -60,7 +68,14 @@ def demand_signals(staged: DataFrame, as_of: dt.date | None, run_ts: dt.datetime
     """
     if mode not in ("windowed", "as_written"):
         raise ValueError(f"unknown mode {mode!r}")
-    running = running_inventory(daily_demand(staged, as_of, 120))
+    return signals_from_daily(daily_demand(staged, as_of, 120), as_of, run_ts, run_id, mode)
+
+
+def signals_from_daily(daily: DataFrame, as_of: dt.date | None, run_ts: dt.datetime, run_id: str,
+                       mode: str = "windowed") -> DataFrame:
+    """Demand signals from (sku, day) rows of the 120-day warm-up range (per snapshot if as_of is None)."""
+    daily = daily.where(_since(as_of, 120))
+    running = running_inventory(daily)
     d = F.col("transaction_date")
     dem = F.col("daily_demand_units")
     bal = F.col("running_inventory_balance")

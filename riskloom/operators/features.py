@@ -20,13 +20,18 @@ DEFAULT_P90 = 21
 
 def sku_risk_features(signals: DataFrame, staged: DataFrame, po: DataFrame, as_of: dt.date | None,
                       run_ts: dt.datetime, run_id: str) -> DataFrame:
+    """Feature row per SKU; ``staged`` / ``po`` may be rows or their daily pre-aggregates."""
+    return features_from_parts(signals, sku_vendor_map(staged, as_of), vendor_lead_times(po, as_of),
+                               as_of, run_ts, run_id)
+
+
+def features_from_parts(signals: DataFrame, svm: DataFrame, vlt: DataFrame, as_of: dt.date | None,
+                        run_ts: dt.datetime, run_id: str) -> DataFrame:
     """Feature row per SKU of the as-of snapshot (or of every snapshot if ``as_of`` is None).
 
     All three inputs are aggregated to SKU or (vendor, sku) grain before the
     two left joins; AQE picks broadcast or sort-merge from runtime sizes.
     """
-    svm = sku_vendor_map(staged, as_of)
-    vlt = vendor_lead_times(po, as_of)
     if as_of is None:
         d = signals.alias("d")
         on_svm = (F.col("d.sku_id") == F.col("svm.sku_id")) & (F.col("d.signal_date") == F.col(f"svm.{AS_OF_COL}"))

@@ -22,15 +22,39 @@ def _receipt_date(po: DataFrame) -> Column:
 
 
 def lead_time_rows(po: DataFrame, as_of: dt.date | None, days: int = 90) -> DataFrame:
-    """PO rows of the last ``days`` days with lead and lateness columns."""
-    rd = _receipt_date(po)
+    """PO rows of the last ``days`` days with lead and lateness columns (and a weight).
+
+    Accepts raw PO rows or the daily pre-aggregate of ``daily_lead_counts``
+    (which carries ``lead_days``, ``n_late`` and ``n_po`` already).
+    """
     p = F.col("po_date").cast("date")
     _, keys = clock(as_of)
+    if "n_po" in po.columns:
+        return (po.where(in_window(p, as_of, days))
+                .select(*keys, "vendor_id", "sku_id", "lead_days",
+                        F.col("n_late").cast("double").alias("is_late"), F.col("n_po").alias("weight")))
+    rd = _receipt_date(po)
     return (po.where(in_window(p, as_of, days))
             .select(*keys, "vendor_id", "sku_id",
                     F.datediff(rd, p).alias("lead_days"),
                     F.when(F.datediff(rd, F.col("expected_date").cast("date")) > 0, F.lit(1.0))
-                    .otherwise(F.lit(0.0)).alias("is_late")))
+                    .otherwise(F.lit(0.0)).alias("is_late"),
+                    F.lit(1).cast("long").alias("weight")))
+
+
+def daily_lead_counts(po: DataFrame) -> DataFrame:
+    """(vendor, sku, po_date, lead_days) -> PO count and late count; independent of the as-of date.
+
+    Aggregating before a snapshot expansion turns per-PO rows into
+    per-day rows, so the expansion copies days, not orders.
+    """
+    rd = _receipt_date(po)
+    p = F.col("po_date").cast("date")
+    late = F.when(F.datediff(rd, F.col("expected_date").cast("date")) > 0, F.lit(1)).otherwise(F.lit(0))
+    return (po.select("vendor_id", "sku_id", p.alias("po_date"), F.datediff(rd, p).alias("lead_days"),
+                      late.alias("late"))
+            .groupBy("vendor_id", "sku_id", "po_date", "lead_days")
+            .agg(F.count(F.lit(1)).alias("n_po"), F.sum("late").alias("n_late")))
 
 
 def vendor_lead_times(po: DataFrame, as_of: dt.date | None, days: int = 90, method: str = "histogram",
@@ -48,13 +72,15 @@ def vendor_lead_times(po: DataFrame, as_of: dt.date | None, days: int = 90, meth
     k = [*keys, *grain]
     if method == "histogram":
         q = histogram_quantiles(rows, k, "lead_days", [0.5, 0.9], ["p50", "p90"],
-                                {"late": F.col("is_late")})
+                                {"late": F.col("is_late")}, weight=F.col("weight"))
         return q.select(*k, F.col("p50").cast("long").alias("lead_time_p50"),
                         F.col("p90").cast("long").alias("lead_time_p90"),
                         (F.col("late") / F.col("__n")).alias("late_delivery_rate"),
                         F.col("__n").cast("long").alias("po_count_90d"))
     if method != "sketch":
         raise ValueError(f"unknown quantile method {method!r}")
+    if "n_po" in po.columns:
+        raise ValueError("method='sketch' needs one row per PO, not daily counts")
     qa = F.percentile_approx("lead_days", [0.5, 0.9], QUANTILE_ACCURACY)
     return (rows.groupBy(*k)
             .agg(qa[0].cast("long").alias("lead_time_p50"),
@@ -63,15 +89,24 @@ def vendor_lead_times(po: DataFrame, as_of: dt.date | None, days: int = 90, meth
                  F.count(F.lit(1)).alias("po_count_90d")))
 
 
+def daily_vendor_counts(staged: DataFrame) -> DataFrame:
+    """(sku, vendor, day) -> transaction count; the as-of-independent part of the vendor map."""
+    return (staged.where(F.col("vendor_id").isNotNull())
+            .groupBy("sku_id", "vendor_id", "transaction_date").agg(F.count(F.lit(1)).alias("n_tx")))
+
+
 def sku_vendor_map(staged: DataFrame, as_of: dt.date | None, days: int = 90) -> DataFrame:
     """Each SKU's most frequent vendor over the window (ties: smallest vendor_id).
 
+    Accepts staged rows or the ``daily_vendor_counts`` pre-aggregate.
+
     Counting is a partial/final aggregate; the top-1 window then sees one
     row per (sku, vendor) pair only.
     """
     _, keys = clock(as_of)
+    n = F.sum("n_tx") if "n_tx" in staged.columns else F.count(F.lit(1))
     counts = (staged.where(in_window("transaction_date", as_of, days) & F.col("vendor_id").isNotNull())
-              .groupBy(*keys, "sku_id", "vendor_id").agg(F.count(F.lit(1)).alias("transaction_count")))
+              .groupBy(*keys, "sku_id", "vendor_id").agg(n.cast("long").alias("transaction_count")))
     w = Window.partitionBy(*keys, "sku_id").orderBy(F.col("transaction_count").desc(), F.col("vendor_id").asc())
     return (counts.withColumn("__rn", F.row_number().over(w))
             .where(F.col("__rn") == 1).drop("__rn"))

@@ -15,8 +15,9 @@ from pyspark.sql.types import DoubleType, FloatType
 import datetime as dt
 
 from riskloom.operators.clock import expand_snapshots
-from riskloom.operators.demand import demand_signals
-from riskloom.operators.features import sku_risk_features
+from riskloom.operators.demand import daily_demand_all, demand_signals, signals_from_daily
+from riskloom.operators.features import features_from_parts, sku_risk_features
+from riskloom.operators.leadtime import daily_lead_counts, daily_vendor_counts, sku_vendor_map, vendor_lead_times
 from riskloom.operators.staging import stage_inventory
 from riskloom.session import apply_settings, ensure_checkpoint_dir
 from riskloom.sources import fixtures as fx
@@ -84,10 +85,15 @@ class Inputs:
     def training_features(self) -> DataFrame:
         """Feature rows for all training snapshots, computed in one job."""
         start, step, count = TRAIN_START, TRAIN_STEP, TRAIN_COUNT
-        staged = expand_snapshots(self.training_staged, "transaction_date", start, step, count, 120)
-        po = expand_snapshots(self.training_po, "po_date", start, step, count, 90)
-        signals = demand_signals(staged, None, self.run_ts, self.run_id)
-        return sku_risk_features(signals, staged, po, None, self.run_ts, self.run_id)
+        # Aggregate to days first (independent of the snapshot), then copy days to snapshots.
+        daily = expand_snapshots(daily_demand_all(self.training_staged), "transaction_date",
+                                 start, step, count, 120)
+        vendors = expand_snapshots(daily_vendor_counts(self.training_staged), "transaction_date",
+                                   start, step, count, 90)
+        po = expand_snapshots(daily_lead_counts(self.training_po), "po_date", start, step, count, 90)
+        signals = signals_from_daily(daily, None, self.run_ts, self.run_id)
+        return features_from_parts(signals, sku_vendor_map(vendors, None), vendor_lead_times(po, None),
+                                   None, self.run_ts, self.run_id)
 
     @cached_property
     def messages(self) -> DataFrame:

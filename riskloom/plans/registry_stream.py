@@ -215,7 +215,8 @@ stream_oracle("stream_dedup", "SELECT DISTINCT message_id, topic, publish_time,
 
 @query("stream_enrich")
 def _stream_enrich(x: Inputs) -> DataFrame:
-    dim = sku_vendor_map(x.staged, x.as_of).select("sku_id", F.col("vendor_id").alias("main_vendor_id"))
+    dim = rn.materialize(sku_vendor_map(x.staged, x.as_of)
+                         .select("sku_id", F.col("vendor_id").alias("main_vendor_id")), "dim-sku-vendor")
     rows = ev.ingest_events(_stream_messages(x), x.run_id, x.run_ts).where(F.col("is_valid"))
     out = rn.enrich_reference(rows.select("message_id", "sku_id", "quantity"), dim, "sku_id")
     return rn.run_to_table(out, "enrich")

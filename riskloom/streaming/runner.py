@@ -80,5 +80,16 @@ def dedup_stream(df: DataFrame, key: str, ts: str, watermark: str = "10 minutes"
 
 
 def enrich_reference(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
-    """Stream-static left join to a dimension; AQE/stats decide broadcast vs shuffle."""
+    """Stream-static left join to a dimension; AQE/stats decide broadcast vs shuffle.
+
+    The static side is evaluated again for every micro-batch: pass a stored
+    table (see ``materialize``), not a plan that recomputes upstream work.
+    """
     return df.join(dim, on, "left")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and return the stored table (a lineage cut)."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

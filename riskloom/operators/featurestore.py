@@ -44,6 +44,13 @@ def entity_vendor(po: DataFrame, as_of: dt.date) -> DataFrame:
                     "late_delivery_rate", "po_count_90d", F.lit(as_of).alias("feature_date"))
 
 
+def entity_vendor_as_written(features: DataFrame) -> DataFrame:
+    """The original vendor view: vendor features read from the SKU-grain table (one row per SKU)."""
+    f = read_latest_snapshot(features)
+    return f.select("vendor_id", "sku_id", F.col("lead_time_p50").cast("double"),
+                    F.col("lead_time_p90").cast("double"), "late_delivery_rate", "po_count_90d", "feature_date")
+
+
 def entity_sku_ext(features: DataFrame) -> DataFrame:
     f = read_latest_snapshot(features)
     return f.select("sku_id", (F.col("stockout_days_30d") / F.lit(30.0)).alias("stockout_rate"),

@@ -51,6 +51,16 @@ SELECT vendor_id, lead_time_p50, lead_time_p90, {r6('late_delivery_rate', 'late_
   {AS_OF} AS feature_date FROM vg""")
 
 
+@query("entity_vendor_as_written")
+def _entity_vendor_as_written(x: Inputs) -> DataFrame:
+    return fs.entity_vendor_as_written(x.features)
+
+
+oracle("entity_vendor_as_written", f"""SELECT vendor_id, sku_id, CAST(lead_time_p50 AS DOUBLE) AS lead_time_p50,
+  CAST(lead_time_p90 AS DOUBLE) AS lead_time_p90, {r6('late_delivery_rate', 'late_delivery_rate')}, po_count_90d,
+  feature_date FROM features""")
+
+
 @query("entity_sku_ext")
 def _entity_sku_ext(x: Inputs) -> DataFrame:
     return fs.entity_sku_ext(x.features)

@@ -158,9 +158,9 @@ stream_oracle("batch_stream_parity", "SELECT COUNT(*) AS n_batch, COUNT(*) AS n_
 
 @query("consume_stats")
 def _consume_stats(x: Inputs) -> DataFrame:
-    statuses = rn.run_to_table(ev.consume(_stream_messages(x), _handler)
-                               .select("message_id", "status", "nack_for_retry"), "consume")
-    return ev.consume_stats(statuses)
+    """Stream consumer with a handler; counters appended per micro-batch, summed at the end."""
+    counters = rn.consume_counters(_stream_messages(x), lambda b: ev.consume(b, _handler), "consume")
+    return counters.groupBy("status").agg(F.sum("n_messages").cast("long").alias("n_messages"))
 
 
 stream_oracle("consume_stats", """SELECT CASE WHEN NOT is_valid THEN 'invalid'

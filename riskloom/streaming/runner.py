@@ -45,6 +45,37 @@ def start_foreach_batch(stream_df: DataFrame, fn: Callable[[DataFrame, int], Non
             .trigger(availableNow=True).start())
 
 
+def write_routed(stream_df: DataFrame, base: str, checkpoint: str, route_col: str = "target_table"):
+    """Append each micro-batch to its target table (one folder per route value).
+
+    One ``foreachBatch`` write partitioned by the route column: a single
+    pass per batch whatever the number of targets; unknown routes land in
+    ``target_table=__HIVE_DEFAULT_PARTITION__`` for inspection.
+    """
+    def sink(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("append").partitionBy(route_col).parquet(base)
+    return start_foreach_batch(stream_df, sink, checkpoint)
+
+
+def consume_counters(stream_df: DataFrame, statuses: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Per-micro-batch counters: ``statuses`` maps a batch to (status) rows; each batch appends
+    (batch_id, status, n_messages) to a counters table in the shared folder, read back at the end."""
+    spark = stream_df.sparkSession
+    base = shared_dir(spark, name)
+    out = f"{base}/counters"
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (statuses(batch).groupBy("status").agg(F.count(F.lit(1)).alias("n_messages"))
+         .withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("append").parquet(out))
+
+    q = start_foreach_batch(stream_df, sink, f"{base}/_checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema("status string, n_messages bigint, batch_id bigint").parquet(out)
+
+
 def run_to_table(stream_df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Run a stream to completion (availableNow) into the shared folder and read it back."""
     spark = stream_df.sparkSession

@@ -86,3 +86,19 @@ def test_layer_views(spark, x001):
     assert [r.passed for r in rep.collect()] == [True] * 4
     names = register_layer_views(spark, out)
     assert spark.table(names[0]).count() == x001.staged.count()
+
+
+def test_write_routed_stream(spark, x001):
+    from riskloom.plans.registry_stream import EVENTS_SCHEMA
+    from riskloom.sources import fixtures as fx
+    from riskloom.streaming import events as ev
+    from riskloom.streaming import runner as rn
+    src = rn.read_events_stream(spark, "/root/testdata/sf0.001", EVENTS_SCHEMA, glob="events.parquet")
+    routed = ev.route_events(ev.parse_envelope(fx.event_messages(src)))
+    base = shared_dir(spark, "routed")
+    q = rn.write_routed(routed, base, shared_dir(spark, "routed-ckpt"))
+    q.awaitTermination()
+    back = spark.read.parquet(base)
+    assert back.count() == x001.table("events").count()
+    assert {r.target_table for r in back.select("target_table").distinct().collect()} == {
+        "raw.erp_transactions_events", "raw.inventory_events", "raw.order_events"}

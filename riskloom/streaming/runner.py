@@ -45,15 +45,28 @@ def start_foreach_batch(stream_df: DataFrame, fn: Callable[[DataFrame, int], Non
             .trigger(availableNow=True).start())
 
 
+def idempotent_batch_write(batch: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
+    """Write one micro-batch so that a replay of the same batch id replaces, not duplicates, it.
+
+    ``foreachBatch`` is at-least-once: after a failure the same batch id can
+    run again. The batch lands in its own ``batch_id`` partition with
+    dynamic partition overwrite, so the retry overwrites its own output.
+    """
+    (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by, "batch_id").parquet(path))
+
+
 def write_routed(stream_df: DataFrame, base: str, checkpoint: str, route_col: str = "target_table"):
     """Append each micro-batch to its target table (one folder per route value).
 
     One ``foreachBatch`` write partitioned by the route column: a single
     pass per batch whatever the number of targets; unknown routes land in
-    ``target_table=__HIVE_DEFAULT_PARTITION__`` for inspection.
+    ``target_table=__HIVE_DEFAULT_PARTITION__`` for inspection. Replayed
+    batches overwrite their own ``batch_id`` partition (exactly-once output).
     """
-    def sink(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("append").partitionBy(route_col).parquet(base)
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        idempotent_batch_write(batch, base, batch_id, (route_col,))
     return start_foreach_batch(stream_df, sink, checkpoint)
 
 
@@ -65,9 +78,8 @@ def consume_counters(stream_df: DataFrame, statuses: Callable[[DataFrame], DataF
     out = f"{base}/counters"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        (statuses(batch).groupBy("status").agg(F.count(F.lit(1)).alias("n_messages"))
-         .withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("append").parquet(out))
+        counts = statuses(batch).groupBy("status").agg(F.count(F.lit(1)).alias("n_messages"))
+        idempotent_batch_write(counts, out, batch_id)
 
     q = start_foreach_batch(stream_df, sink, f"{base}/_checkpoint")
     q.awaitTermination()

@@ -70,3 +70,30 @@ def apply_settings(spark: SparkSession) -> None:
     """Settings every operator relies on (UTC clock, dynamic partition overwrite)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+# Target bytes per task for scans and shuffles.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+SKEW_FACTOR = 5
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings sized to the data, for a cluster session (apply with ``spark.conf.set``).
+
+    Shuffle partitions start at input/128 MiB (at least 2x the cores) and
+    AQE coalesces small ones at runtime; a partition more than 5x the median
+    and above 256 MiB is split by the skew-join rule. At 100 TB this gives
+    ~800k initial shuffle partitions, coalesced to what each stage needs.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": str(SKEW_FACTOR),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }

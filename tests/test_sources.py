@@ -112,3 +112,10 @@ def test_batch_replay_is_idempotent(spark):
     idempotent_batch_write(b, path, 0)          # the same micro-batch replayed after a failure
     idempotent_batch_write(b.limit(1), path, 1)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_scale_conf():
+    from riskloom.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 819200
+    assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16

@@ -95,6 +95,17 @@ class Inputs:
         return features_from_parts(signals, sku_vendor_map(vendors, None), vendor_lead_times(po, None),
                                    None, self.run_ts, self.run_id)
 
+    # ---- the feature tables as stored tables: consumers that read features more than
+    # once (latest-snapshot subquery + rows, as-of dates + rows, scalar counts) read this
+    # lineage cut instead of re-running the feature chain in every branch of their plan.
+    @cached_property
+    def features_table(self) -> DataFrame:
+        return self.features.checkpoint(eager=True)
+
+    @cached_property
+    def training_table(self) -> DataFrame:
+        return self.training_features.checkpoint(eager=True)
+
     @cached_property
     def messages(self) -> DataFrame:
         return fx.event_messages(self.table("events"))

@@ -131,7 +131,7 @@ def _risk_score(x: Inputs) -> DataFrame:
 
 @query("delay_risk_scores")
 def _delay_risk_scores(x: Inputs) -> DataFrame:
-    return sc.delay_risk_scores(x.features, x.run_ts)
+    return sc.delay_risk_scores(x.features_table, x.run_ts)
 
 
 @query("latest_snapshot", exact=("o_totalprice",))

@@ -217,7 +217,7 @@ oracle("distribution_profile", _union([
 
 @query("feature_validation")
 def _feature_validation(x: Inputs) -> DataFrame:
-    return qa.validate_features(read_latest_snapshot(x.features))
+    return qa.validate_features(read_latest_snapshot(x.features_table))
 
 
 def _fv_sql() -> str:

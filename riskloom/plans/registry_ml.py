@@ -29,7 +29,7 @@ def _lines(x: Inputs) -> DataFrame:
 # ---------------------------------------------------------------- entities
 @query("entity_sku")
 def _entity_sku(x: Inputs) -> DataFrame:
-    return fs.entity_sku(x.features)
+    return fs.entity_sku(x.features_table)
 
 
 oracle("entity_sku", f"""SELECT sku_id, {r6('CAST(demand_7d AS DOUBLE)', 'demand_7d')}, {r6('CAST(demand_30d AS DOUBLE)', 'demand_30d')},
@@ -53,7 +53,7 @@ SELECT vendor_id, lead_time_p50, lead_time_p90, {r6('late_delivery_rate', 'late_
 
 @query("entity_vendor_as_written")
 def _entity_vendor_as_written(x: Inputs) -> DataFrame:
-    return fs.entity_vendor_as_written(x.features)
+    return fs.entity_vendor_as_written(x.features_table)
 
 
 oracle("entity_vendor_as_written", f"""SELECT vendor_id, sku_id, CAST(lead_time_p50 AS DOUBLE) AS lead_time_p50,
@@ -63,7 +63,7 @@ oracle("entity_vendor_as_written", f"""SELECT vendor_id, sku_id, CAST(lead_time_
 
 @query("entity_sku_ext")
 def _entity_sku_ext(x: Inputs) -> DataFrame:
-    return fs.entity_sku_ext(x.features)
+    return fs.entity_sku_ext(x.features_table)
 
 
 oracle("entity_sku_ext", f"""SELECT sku_id, {r6('stockout_days_30d / 30.0::DOUBLE', 'stockout_rate')},
@@ -113,7 +113,7 @@ FROM customer LEFT JOIN r ON customer.c_custkey = r.o_custkey""")
 
 @query("feature_sync")
 def _feature_sync(x: Inputs) -> DataFrame:
-    return fs.sync("sku", fs.entity_sku(x.features), shared_dir(x.spark, "offline-store"))
+    return fs.sync("sku", fs.entity_sku(x.features_table), shared_dir(x.spark, "offline-store"))
 
 
 oracle("feature_sync", "SELECT 'sku' AS entity_type, feature_date, COUNT(*) AS records_synced FROM features GROUP BY feature_date")
@@ -123,7 +123,7 @@ oracle("feature_sync", "SELECT 'sku' AS entity_type, feature_date, COUNT(*) AS r
 def _feature_lookup(x: Inputs) -> DataFrame:
     """Features of every SKU seen in the valid event stream (ids as a DataFrame)."""
     ids = ev.ingest_events(x.messages, x.run_id, x.run_ts).where(F.col("is_valid")).select("sku_id")
-    return fs.lookup("sku", fs.entity_sku(x.features), ids)
+    return fs.lookup("sku", fs.entity_sku(x.features_table), ids)
 
 
 oracle("feature_lookup", f"""SELECT sku_id, {r6('CAST(demand_7d AS DOUBLE)', 'demand_7d')},
@@ -138,7 +138,7 @@ FROM features WHERE sku_id IN (
 
 @query("feature_freshness")
 def _feature_freshness(x: Inputs) -> DataFrame:
-    return fs.freshness(x.features, FRESHNESS_NOW)
+    return fs.freshness(x.features_table, FRESHNESS_NOW)
 
 
 oracle("feature_freshness", f"""SELECT 'sku' AS entity_type, MAX(feature_date) AS latest_feature_date,
@@ -151,7 +151,7 @@ FROM features""")
 @query("point_in_time_features")
 def _pit(x: Inputs) -> DataFrame:
     """Each PO (label row) gets the newest training snapshot of its SKU dated on or before the PO."""
-    f = x.training_features.select("sku_id", "feature_date", "delay_risk_score", "days_of_supply")
+    f = x.training_table.select("sku_id", "feature_date", "delay_risk_score", "days_of_supply")
     labels = x.training_po.select("po_id", "sku_id", F.col("po_date").alias("label_date"))
     return fs.point_in_time(f, labels, "sku_id", "feature_date", "label_date").select(
         "po_id", "sku_id", "label_date", "feature_date", "delay_risk_score", "days_of_supply")
@@ -165,7 +165,7 @@ FROM purchase_order_receipts p ASOF LEFT JOIN mfeat f ON p.sku_id = f.sku_id AND
 
 # ---------------------------------------------------------------- training data
 def _labeled(x: Inputs) -> DataFrame:
-    return ml.label_synthetic(ml.engineer(x.training_features))
+    return ml.label_synthetic(ml.engineer(x.training_table))
 
 
 def _split(x: Inputs) -> DataFrame:
@@ -196,7 +196,7 @@ def _eng_select(prefix: str = "") -> str:
 
 @query("engineered_features")
 def _engineered(x: Inputs) -> DataFrame:
-    return ml.engineer(x.training_features)
+    return ml.engineer(x.training_table)
 
 
 training_oracle("engineered_features", f"SELECT {_eng_select()} FROM eng")
@@ -212,7 +212,7 @@ training_oracle("label_synthetic", "SELECT sku_id, vendor_id, feature_date, supp
 
 @query("label_from_outcomes")
 def _label_outcomes(x: Inputs) -> DataFrame:
-    f = x.training_features.select("sku_id", "vendor_id", "feature_date")
+    f = x.training_table.select("sku_id", "vendor_id", "feature_date")
     return ml.label_from_outcomes(f, x.training_po, TRAIN_START, TRAIN_STEP, TRAIN_COUNT, horizon_days=30)
 
 
@@ -320,15 +320,15 @@ def _importance(x: Inputs) -> DataFrame:
 @query("training_run_report")
 def _training_run(x: Inputs) -> DataFrame:
     from riskloom.plans.training import run_training
-    return run_training(x.spark, x.training_features, shared_dir(x.spark, "model-registry"), x.run_id, x.run_ts)
+    return run_training(x.spark, x.training_table, shared_dir(x.spark, "model-registry"), x.run_id, x.run_ts)
 
 
 @query("batch_score_model")
 def _batch_score(x: Inputs) -> DataFrame:
     from riskloom.plans.training import run_training, score_latest
     registry = shared_dir(x.spark, "model-registry")
-    run_training(x.spark, x.training_features, registry, x.run_id, x.run_ts, force_register=True).collect()
-    return score_latest(x.spark, registry, ml.engineer(x.features), x.run_ts)
+    run_training(x.spark, x.training_table, registry, x.run_id, x.run_ts, force_register=True).collect()
+    return score_latest(x.spark, registry, ml.engineer(x.features_table), x.run_ts)
 
 
 @query("pipeline_report")

@@ -359,8 +359,10 @@ spl AS (
                       / 4294967296.0::DOUBLE < 0.2 THEN 'test' ELSE 'train' END AS split
   FROM lab),
 test AS (SELECT *, supply_risk_flag AS prediction, delay_risk_score AS score FROM spl WHERE split = 'test'),
-cm AS (SELECT count_if(is_delayed = 1 AND prediction = 1) AS tp, count_if(is_delayed = 0 AND prediction = 1) AS fp,
-              count_if(is_delayed = 1 AND prediction = 0) AS fn, count_if(is_delayed = 0 AND prediction = 0) AS tn FROM test),
+cm AS (SELECT CAST(count_if(is_delayed = 1 AND prediction = 1) AS BIGINT) AS tp,
+              CAST(count_if(is_delayed = 0 AND prediction = 1) AS BIGINT) AS fp,
+              CAST(count_if(is_delayed = 1 AND prediction = 0) AS BIGINT) AS fn,
+              CAST(count_if(is_delayed = 0 AND prediction = 0) AS BIGINT) AS tn FROM test),
 met AS (SELECT CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f1_score,
                CASE WHEN tp + fp = 0 THEN 0.0 ELSE 1.0 * tp / (tp + fp) END AS precision,
                CASE WHEN tp + fn = 0 THEN 0.0 ELSE 1.0 * tp / (tp + fn) END AS recall,

@@ -196,7 +196,7 @@ def _miss(c: str, string: bool) -> str:
 
 _STRING_RAW = {"transaction_id", "sku_id", "vendor_id", "warehouse_id", "transaction_type"}
 oracle("completeness", _union([
-    f"""SELECT '{c}' AS "column", count_if({_miss(c, c in _STRING_RAW)}) AS null_count, COUNT(*) AS row_count,
+    f"""SELECT '{c}' AS "column", CAST(count_if({_miss(c, c in _STRING_RAW)}) AS BIGINT) AS null_count, COUNT(*) AS row_count,
       ROUND(count_if({_miss(c, c in _STRING_RAW)}) / COUNT(*), 6) AS null_rate,
       ROUND(1.0::DOUBLE - count_if({_miss(c, c in _STRING_RAW)}) / COUNT(*), 6) AS completeness
     FROM raw_inventory_transactions""" for c in RAW_CHECK_COLS]))
@@ -258,26 +258,26 @@ def _type_check(x: Inputs) -> DataFrame:
 
 
 oracle("type_check", """
-SELECT 'transaction_id' AS "column", 'string' AS expected_type, count_if(transaction_id IS NOT NULL AND transaction_id <> '') AS checked,
+SELECT 'transaction_id' AS "column", 'string' AS expected_type, CAST(count_if(transaction_id IS NOT NULL AND transaction_id <> '') AS BIGINT) AS checked,
   CAST(0 AS BIGINT) AS bad_count, CAST(NULL AS VARCHAR) AS first_bad_value, CAST(NULL AS VARCHAR) AS error FROM raw_inventory_transactions
 UNION ALL
-SELECT 'sku_id', 'date', count_if(sku_id IS NOT NULL AND sku_id <> ''),
-  count_if(sku_id IS NOT NULL AND sku_id <> '' AND length(sku_id) < 8),
+SELECT 'sku_id', 'date', CAST(count_if(sku_id IS NOT NULL AND sku_id <> '') AS BIGINT),
+  CAST(count_if(sku_id IS NOT NULL AND sku_id <> '' AND length(sku_id) < 8) AS BIGINT),
   min(CASE WHEN sku_id <> '' AND length(sku_id) < 8 THEN sku_id END),
   CASE WHEN count_if(sku_id <> '' AND length(sku_id) < 8) > 0 THEN 'Column ''sku_id'' expected type ''date'', got value '
     || min(CASE WHEN sku_id <> '' AND length(sku_id) < 8 THEN sku_id END) END FROM raw_inventory_transactions
 UNION ALL
-SELECT 'warehouse_id', 'int', count_if(warehouse_id IS NOT NULL AND warehouse_id <> ''),
-  count_if(warehouse_id <> '' AND TRY_CAST(warehouse_id AS BIGINT) IS NULL),
+SELECT 'warehouse_id', 'int', CAST(count_if(warehouse_id IS NOT NULL AND warehouse_id <> '') AS BIGINT),
+  CAST(count_if(warehouse_id <> '' AND TRY_CAST(warehouse_id AS BIGINT) IS NULL) AS BIGINT),
   min(CASE WHEN warehouse_id <> '' AND TRY_CAST(warehouse_id AS BIGINT) IS NULL THEN warehouse_id END),
   CASE WHEN count_if(warehouse_id <> '' AND TRY_CAST(warehouse_id AS BIGINT) IS NULL) > 0 THEN 'Column ''warehouse_id'' expected type ''int'', got value '
     || min(CASE WHEN warehouse_id <> '' AND TRY_CAST(warehouse_id AS BIGINT) IS NULL THEN warehouse_id END) END FROM raw_inventory_transactions
 UNION ALL
 SELECT 'quantity', 'int', count(quantity), 0, NULL, NULL FROM raw_inventory_transactions
 UNION ALL
-SELECT 'transaction_type', 'string', count_if(transaction_type IS NOT NULL AND transaction_type <> ''), 0, NULL, NULL FROM raw_inventory_transactions
+SELECT 'transaction_type', 'string', CAST(count_if(transaction_type IS NOT NULL AND transaction_type <> '') AS BIGINT), 0, NULL, NULL FROM raw_inventory_transactions
 UNION ALL
-SELECT 'unit_cost', 'float', count_if(unit_cost IS NOT NULL AND NOT isnan(unit_cost)), 0, NULL, NULL FROM raw_inventory_transactions
+SELECT 'unit_cost', 'float', CAST(count_if(unit_cost IS NOT NULL AND NOT isnan(unit_cost)) AS BIGINT), 0, NULL, NULL FROM raw_inventory_transactions
 UNION ALL
 SELECT 'transaction_timestamp', 'timestamp', count(transaction_timestamp), 0, NULL, NULL FROM raw_inventory_transactions
 UNION ALL

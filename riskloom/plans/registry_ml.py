@@ -275,9 +275,9 @@ training_oracle("classification_report", """, pc AS (
 pcf AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2 * p * r / (p + r) END AS f FROM pc)
 SELECT class, ROUND(p, 6) AS precision, ROUND(r, 6) AS recall, ROUND(f, 6) AS f1_score, CAST(support AS BIGINT) AS support FROM pcf
 UNION ALL SELECT 'accuracy', ROUND(accuracy, 6), ROUND(accuracy, 6), ROUND(accuracy, 6), n_samples FROM met
-UNION ALL SELECT 'macro avg', ROUND(avg(p), 6), ROUND(avg(r), 6), ROUND(avg(f), 6), SUM(support) FROM pcf
+UNION ALL SELECT 'macro avg', ROUND(avg(p), 6), ROUND(avg(r), 6), ROUND(avg(f), 6), CAST(SUM(support) AS BIGINT) FROM pcf
 UNION ALL SELECT 'weighted avg', ROUND(SUM(p * support) / SUM(support), 6), ROUND(SUM(r * support) / SUM(support), 6),
-  ROUND(SUM(f * support) / SUM(support), 6), SUM(support) FROM pcf""")
+  ROUND(SUM(f * support) / SUM(support), 6), CAST(SUM(support) AS BIGINT) FROM pcf""")
 
 
 @query("roc_auc")

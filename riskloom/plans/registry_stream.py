@@ -185,7 +185,7 @@ def _dlq_replay(x: Inputs) -> DataFrame:
 
 stream_oracle("dlq_replay", """, dead AS (SELECT * FROM val2 WHERE status = 'dead_letter')
 SELECT COUNT(*) AS n_dead,
-  count_if((CASE WHEN payload IS NULL OR regexp_matches(payload, '^\\s*\\{\\s*\\}\\s*$') THEN 1 ELSE 0 END) = 0) AS n_valid_after_fix,
+  CAST(count_if((CASE WHEN payload IS NULL OR regexp_matches(payload, '^\\s*\\{\\s*\\}\\s*$') THEN 1 ELSE 0 END) = 0) AS BIGINT) AS n_valid_after_fix,
   CAST(0 AS BIGINT) AS n_replayed
 FROM dead""")
 

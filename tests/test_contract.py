@@ -53,13 +53,22 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "DateType()": "DATE", "TimestampNTZType()": "TIMESTAMP",
+                 "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(se.oracle_sql()))
 def test_oracle_match_sf0001(spark, duck, key):
     df = se.queries()[key](spark, SF)
     res = duck.execute(se.oracle_sql()[key])
     dcols = [d[0] for d in res.description]
+    drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
-    assert _rows(df.columns, df.collect()) == _rows(dcols, res.fetchall())
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {se.oracle_sql()[key]}").fetchall()}
+    stypes = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    assert stypes == dtypes
+    assert _rows(df.columns, df.collect()) == _rows(dcols, drows)
 
 
 @pytest.mark.parametrize("key", sorted(set(se.queries()) - set(se.oracle_sql()) - SLOW))

@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskloom.schemas import LAYER_SCHEMAS
 from riskloom.operators.demand import demand_signals
 from riskloom.operators.features import sku_risk_features
 from riskloom.operators.scoring import delay_risk_scores
@@ -38,7 +39,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, po: DataFrame, out_dir: st
     def land(step: str, df: DataFrame) -> DataFrame:
         table, part, cluster = LAYERS[step]
         path = _layer_path(out_dir, table)
-        write_table(df, path, "WRITE_TRUNCATE", partition_by=part, cluster_by=cluster)
+        # The declared layer schema is enforced at the sink (df.to: reorder, cast, reject extras).
+        write_table(df, path, "WRITE_TRUNCATE", partition_by=part, cluster_by=cluster,
+                    schema=LAYER_SCHEMAS[step])
         back = spark.read.parquet(path)
         n = back.count()
         report.append((step, table, path, n, min_rows, n >= min_rows, run_id))

@@ -9,21 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom.operators.leadtime import sku_vendor_map
 from riskloom.plans.context import Inputs
 from riskloom.plans.oracle import RUN_ID, RUN_TS, oracle
 from riskloom.plans.registry import query
+from riskloom.schemas import EVENTS_SOURCE
 from riskloom.sources import fixtures as fx
 from riskloom.streaming import events as ev
 from riskloom.streaming import runner as rn
 
-EVENTS_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
-])
+EVENTS_SCHEMA = EVENTS_SOURCE
 # A dead-letter fix fills a missing type with the topic's first type.
 TOPIC_DEFAULT_TYPE = {t: c["event_types"][0] for t, c in ev.TOPIC_CONFIG.items()}
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.sources.fixtures import run_ts_lit
-from riskloom.sources.sinks import row_hash
 
 # Zone prefixes and content types by file suffix.
 RAW, PROCESSED, STAGING, ARCHIVE = "raw/", "processed/", "staging/", "archive/"
@@ -44,8 +43,8 @@ def land_batch(df: DataFrame, root: str | None, source_system: str, partition_co
     landed = df
     if root is not None:
         target = f"{root.rstrip('/')}/{RAW}{env}/{source_system}"
-        # A hot landing date is split over several tasks by the row hash.
-        (df.repartitionByRange(partition_col, row_hash(df)).write.mode("overwrite")
+        # Rebalance by landing date: AQE splits a hot date across tasks, no sampling pass.
+        (df.hint("rebalance", partition_col).write.mode("overwrite")
          .partitionBy(partition_col).parquet(target))
         landed = df.sparkSession.read.parquet(target)
     fmt = filename.rsplit(".", 1)[-1]

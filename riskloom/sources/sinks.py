@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # Write dispositions and their Spark save modes.
@@ -13,11 +12,6 @@ DISPOSITIONS = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append", "WRITE_
                 "overwrite": "overwrite", "append": "append", "empty": "empty"}
 
 
-def row_hash(df: DataFrame) -> Column:
-    """Deterministic per-row split key (stable across task retries, unlike rand())."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-
-
 def _has_data(spark: SparkSession, path: str, fmt: str) -> bool:
     try:
         return not spark.read.format(fmt).load(path).isEmpty()
@@ -30,13 +24,14 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
                 fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> str:
     """Write with a disposition: overwrite (truncate) / append / empty (fail if data exists).
 
-    Partitioned writes range-partition on (partition cols, cluster cols,
-    row hash): a hot date -- even a hot (date, key) -- is split across
-    several tasks by the sampled range bounds instead of landing in one
-    task; the row hash is deterministic, so a retried task rebuilds the
-    same split. Rows come out sorted by the cluster columns inside each
-    file (row-group min/max then prune on them). With dynamic partition
-    overwrite only the partitions present are replaced.
+    Partitioned writes use the REBALANCE hint on the partition columns: one
+    hash shuffle whose oversized partitions (a hot date) AQE splits at
+    runtime into advisory-size pieces and whose small ones it coalesces, so
+    a date with a third of the rows is written by many tasks and no
+    sampling job re-runs the upstream plan (as range partitioning would).
+    Rows are sorted by (partition, cluster) columns inside each task, so
+    files are clustered and row-group min/max prune on the cluster keys.
+    With dynamic partition overwrite only the partitions present are replaced.
     """
     save_mode = DISPOSITIONS.get(mode)
     if save_mode is None:
@@ -48,8 +43,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         save_mode = "append"
     out = df.to(schema) if schema is not None else df
     keys = [*partition_by, *cluster_by]
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
+    elif cluster_by:
+        out = out.hint("rebalance")
     if keys:
-        out = out.repartitionByRange(*keys, row_hash(out)).sortWithinPartitions(*keys)
+        out = out.sortWithinPartitions(*keys)
     w = out.write.mode(save_mode).format(fmt).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -1,4 +1,4 @@
-"""Gated training run: validate -> engineer -> label -> split -> train -> evaluate -> gate -> register.
+"""Gated training run: validate -> (gate) -> engineer -> label -> split -> train -> evaluate -> gate -> register.
 
 A plain driver function chaining Spark jobs. Only report-sized results
 (one metrics row, one verdict) reach the driver; data stays in Spark.
@@ -30,6 +30,11 @@ def run_training(spark: SparkSession, features: DataFrame, registry: str, run_id
                  force_register: bool = False) -> DataFrame:
     verdict = validate_features(read_latest_snapshot(features)).where(F.col("check") == "verdict").first()
     validation_passed = bool(verdict["passed"]) if verdict else False
+    if not validation_passed and not force_register:
+        # The chain stops at the first gate: no training on a table that failed validation.
+        return spark.createDataFrame([(run_id, False, 0, 0, None, None, None, None, None, False, False, None)],
+                                     REPORT_SCHEMA)
+    snapshot = features.agg(F.max("feature_date")).first()[0]
     data = ml.stratified_split(ml.label_synthetic(ml.engineer(features))).checkpoint(eager=True)
     train_df = data.where(F.col("split") == "train")
     test_df = data.where(F.col("split") == "test")
@@ -45,9 +50,9 @@ def run_training(spark: SparkSession, features: DataFrame, registry: str, run_id
     if registered:
         model.write().overwrite().save(path)
         entry = spark.createDataFrame(
-            [(MODEL_NAME, path, run_id, float(m["f1_score"]), ml.N_TREES, ml.MAX_DEPTH, ml.SEED)],
+            [(MODEL_NAME, path, run_id, float(m["f1_score"]), ml.N_TREES, ml.MAX_DEPTH, ml.SEED, snapshot)],
             "model_name string, model_path string, run_id string, f1_score double, n_trees int, "
-            "max_depth int, seed int").withColumn("created_at", run_ts_lit(run_ts))
+            "max_depth int, seed int, feature_snapshot date").withColumn("created_at", run_ts_lit(run_ts))
         entry.write.mode("append").parquet(f"{registry.rstrip('/')}/manifest")
     row = (run_id, validation_passed, int(n.get("train", 0)), int(n.get("test", 0)), float(m["f1_score"]),
            float(m["precision"]), float(m["recall"]), float(m["accuracy"]),

@@ -20,3 +20,9 @@ def test_label_rate_in_training_fixture(x01):
     lab = ml.label_synthetic(ml.engineer(x01.training_features))
     r = lab.agg(F.count(F.lit(1)).alias("n"), F.avg("is_delayed").alias("rate")).first()
     assert r.n > 3000 and 0.3 < r.rate < 0.9
+
+
+def test_failed_validation_stops_the_chain(spark, x001):
+    bad = x001.training_features.withColumn("lead_time_p90", F.lit(None).cast("long"))
+    rep = run_training(spark, bad, shared_dir(spark, "reg-bad"), "run-bad", x001.run_ts).first()
+    assert rep.validation_passed is False and rep.registered is False and rep.train_rows == 0

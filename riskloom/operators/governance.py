@@ -25,13 +25,29 @@ def rewrite_without(df: DataFrame, ids: DataFrame, key: str, path: str, partitio
     The touched partitions are found by a semi join (no id list on the
     driver); dynamic partition overwrite replaces just those.
     """
-    touched = df.join(ids.select(key).distinct(), key, "left_semi").select(*partition_by).distinct()
-    keep = delete_entities(df.join(touched, list(partition_by), "left_semi"), ids, key)
+    parts = list(partition_by)
+    touched = df.join(ids.select(key).distinct(), key, "left_semi").select(*parts).distinct()
+    keep = delete_entities(df.join(touched, parts, "left_semi"), ids, key)
+    # Partitions whose every row is deleted get no output rows, so dynamic overwrite would leave
+    # them in place: list them (partition values only, bounded by the partition count) first.
+    emptied = touched.join(keep.select(*parts).distinct(), parts, "left_anti").collect()
     (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+     .partitionBy(*parts).parquet(path))
+    drop_partitions(df.sparkSession, path, parts, [tuple(r) for r in emptied])
     return path
 
 
+def drop_partitions(spark, path: str, partition_by: Sequence[str], values: Sequence[tuple]) -> None:
+    """Remove whole partition folders ``col=value/...`` of a file table (like DROP PARTITION)."""
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    conf = spark._jsc.hadoopConfiguration()
+    for vals in values:
+        sub = "/".join(f"{escape(c)}={escape(str(v))}" for c, v in zip(partition_by, vals))
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
+        p.getFileSystem(conf).delete(p, True)
+
+
 def pii_projection(df: DataFrame, allowed: Sequence[str], hash_ids: Sequence[str] = ()) -> DataFrame:
     """Allow-listed columns only; identifier columns replaced by SHA-256 hex."""
     cols = []
@@ -57,6 +73,20 @@ def expire(df: DataFrame, date_col: str, as_of: dt.date, days: int) -> DataFrame
     return df.where(F.col(date_col) >= F.date_sub(F.lit(as_of), days))
 
 
+def apply_expiry(spark, path: str, date_col: str, as_of: dt.date, days: int) -> list:
+    """Drop the partitions of a file table older than the retention window; returns their values.
+
+    Only the partition column is read (directory metadata), and the list is
+    bounded by the number of partitions, never by rows.
+    """
+    table = spark.read.parquet(path)
+    old = (table.select(date_col).distinct()
+           .where(F.col(date_col) < F.date_sub(F.lit(as_of), days)).collect())
+    values = [(r[0],) for r in old]
+    drop_partitions(spark, path, [date_col], values)
+    return [v[0] for v in values]
+
+
 def expiry_report(df: DataFrame, date_col: str, as_of: dt.date, days: int) -> DataFrame:
     """Per partition date: row count and whether retention drops it."""
     return (df.groupBy(date_col).agg(F.count(F.lit(1)).alias("n_rows"))

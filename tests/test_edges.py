@@ -131,3 +131,15 @@ def test_freshness(spark, hours, stale):
 def test_freshness_empty_is_stale(spark):
     df = spark.createDataFrame([], "feature_date date, computed_at timestamp_ntz")
     assert fs.freshness(df, dt.datetime(2001, 8, 2)).first().is_stale is True
+
+
+def test_stream_type_map_translates_event_types(spark):
+    data = '{"transaction_id":"t","sku_id":"s","event_type":"pick","quantity":4}'
+    msgs = spark.createDataFrame([("m", "inventory-events", data, {}, 1, _ts(AS_OF))],
+                                 "message_id string, topic string, data string, attributes map<string,string>, "
+                                 "delivery_attempt int, publish_time timestamp_ntz")
+    env = ev.parse_envelope(msgs)
+    plain = ev.parse_inventory_events(env, RUN_TS).first()
+    mapped = ev.parse_inventory_events(env, RUN_TS, type_map={"pick": "shipment"}).first()
+    assert plain.transaction_type == "pick" and mapped.transaction_type == "shipment"
+    assert fc.signed_quantity(F.lit(mapped.transaction_type), F.lit(4)) is not None

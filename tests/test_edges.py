@@ -143,3 +143,19 @@ def test_stream_type_map_translates_event_types(spark):
     mapped = ev.parse_inventory_events(env, RUN_TS, type_map={"pick": "shipment"}).first()
     assert plain.transaction_type == "pick" and mapped.transaction_type == "shipment"
     assert fc.signed_quantity(F.lit(mapped.transaction_type), F.lit(4)) is not None
+
+
+def test_dead_letter_replay_recovers_fixed_messages(spark):
+    rows = [("m1", "inventory-events", '{"transaction_id":"t1","sku_id":"s","quantity":2}', {}, 5, _ts(AS_OF)),
+            ("m2", "inventory-events", '{"transaction_id":"t2","sku_id":"s","quantity":3}', {}, 6, _ts(AS_OF)),
+            ("m3", "order-events", '{"id": ', {}, 5, _ts(AS_OF))]
+    msgs = spark.createDataFrame(rows, "message_id string, topic string, data string, "
+                                       "attributes map<string,string>, delivery_attempt int, "
+                                       "publish_time timestamp_ntz")
+    v = ev.dead_letter_split(ev.validate_events(ev.parse_envelope(msgs)))
+    dead = v.where(F.col("status") == "dead_letter")
+    assert dead.count() == 3
+    loaded = spark.createDataFrame([("t2",)], "transaction_id string")
+    fix = ev.default_type_fix({"inventory-events": "adjustment", "order-events": "order_placed"})
+    out = ev.dlq_replay(dead, loaded, fix, "r", RUN_TS).collect()
+    assert [(r.transaction_id, r.transaction_type, r.quantity) for r in out] == [("t1", "adjustment", 2)]

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.schemas import LAYER_SCHEMAS
 from riskloom.operators.demand import demand_signals
@@ -40,14 +39,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, po: DataFrame, out_dir: st
     def land(step: str, df: DataFrame) -> DataFrame:
         table, part, cluster = LAYERS[step]
         path = _layer_path(out_dir, table)
-        # Row count observed while the layer is written (no second pass over the data).
-        obs = Observation(f"rows_{step}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         # The declared layer schema is enforced at the sink (df.to: reorder, cast, reject extras).
-        write_table(observed, path, "WRITE_TRUNCATE", partition_by=part, cluster_by=cluster,
+        write_table(df, path, "WRITE_TRUNCATE", partition_by=part, cluster_by=cluster,
                     schema=LAYER_SCHEMAS[step])
         back = spark.read.parquet(path)
-        n = int(obs.get["rows"])
+        # Counted on the written layer: Parquet answers from file footers. (DataFrame.observe is
+        # avoided: in Spark 4.1 a session that has used it can no longer serialize MLlib
+        # forest models captured in later transform closures.)
+        n = back.count()
         report.append((step, table, path, n, min_rows, n >= min_rows, run_id))
         if n < min_rows:
             raise ValueError(f"{table}: {n} rows < minimum {min_rows}")

@@ -26,3 +26,11 @@ def test_failed_validation_stops_the_chain(spark, x001):
     bad = x001.training_features.withColumn("lead_time_p90", F.lit(None).cast("long"))
     rep = run_training(spark, bad, shared_dir(spark, "reg-bad"), "run-bad", x001.run_ts).first()
     assert rep.validation_passed is False and rep.registered is False and rep.train_rows == 0
+
+
+def test_model_keys_after_pipeline_report(spark):
+    """Order used by the correctness run: the pipeline report, then a model key, in one session."""
+    import __spark_entry__ as se
+    q = se.queries()
+    assert q["pipeline_report"](spark, "/root/testdata/sf0.001").count() == 4
+    assert q["batch_score_model"](spark, "/root/testdata/sf0.001").count() > 0

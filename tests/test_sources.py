@@ -119,3 +119,22 @@ def test_scale_conf():
     c = scale_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 819200
     assert int(scale_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_kafka_records_map_to_envelopes(spark):
+    import datetime as dt
+
+    from riskloom.streaming import events as ev
+    from riskloom.streaming.runner import kafka_envelopes
+    schema = ("key binary, value binary, topic string, partition int, offset long, timestamp timestamp, "
+              "timestampType int, headers array<struct<key:string,value:binary>>")
+    payload = b'{"transaction_id":"t","sku_id":"s","quantity":2,"event_type":"pick"}'
+    rows = [(None, bytearray(payload), "inventory-events", 3, 17, dt.datetime(2024, 1, 1), 0,
+             [("event_type", bytearray(b"pick")), ("delivery_attempt", bytearray(b"2"))])]
+    env = kafka_envelopes(spark.createDataFrame(rows, schema))
+    r = env.first()
+    assert r.message_id == "inventory-events/3/17" and r.delivery_attempt == 2
+    v = ev.validate_events(ev.parse_envelope(env)).first()
+    assert v.is_valid and v.event_type == "pick"
+    p = ev.parse_inventory_events(ev.parse_envelope(env), dt.datetime(2024, 1, 1)).first()
+    assert p.is_valid and p.quantity == 2

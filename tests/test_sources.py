@@ -138,3 +138,26 @@ def test_kafka_records_map_to_envelopes(spark):
     assert v.is_valid and v.event_type == "pick"
     p = ev.parse_inventory_events(ev.parse_envelope(env), dt.datetime(2024, 1, 1)).first()
     assert p.is_valid and p.quantity == 2
+
+
+def test_stream_restart_from_checkpoint_adds_nothing(spark, x001):
+    from riskloom.plans.registry_stream import EVENTS_SCHEMA
+    from riskloom.sources import fixtures as fx
+    from riskloom.streaming import events as ev
+    from riskloom.streaming import runner as rn
+
+    def stream():
+        src = rn.read_events_stream(spark, "/root/testdata/sf0.001", EVENTS_SCHEMA, glob="events.parquet")
+        return ev.ingest_events(fx.event_messages(src), x001.run_id, x001.run_ts).select(*ev.INGEST_COLUMNS)
+
+    base = shared_dir(spark, "restart")
+    out, ckpt = f"{base}/data", f"{base}/_checkpoint"
+    rn.start_ingest(stream(), out, ckpt).awaitTermination()
+    first = spark.read.parquet(out).count()
+    rn.start_ingest(stream(), out, ckpt).awaitTermination()      # restarted driver, same checkpoint
+    assert spark.read.parquet(out).count() == first == x001.table("events").count()
+    base2 = shared_dir(spark, "proc-time")
+    q = rn.start_ingest(stream(), f"{base2}/data", f"{base2}/_checkpoint", trigger="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(f"{base2}/data").count() == first

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
+from riskloom.llm.quality import assess
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,5 +23,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("hits.runs") > 0).alias("contaminated"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "quality_rules.*")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate}
+    return {"op1_decontaminate": op1_decontaminate, "op4_quality_rules": op4_quality_rules}

@@ -28,5 +28,18 @@ FROM docs LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
 """
 
 
+# sha1 is the digest of the whole payload in either engine.
+OP9 = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT payload_digest, max(page_id) AS original FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND original IS DISTINCT FROM page_id AND original IS NOT NULL
+            THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND original IS DISTINCT FROM page_id THEN original END AS refers_to
+FROM p LEFT JOIN o USING (payload_digest)
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1}
+    return {"op1_decontaminate": OP1, "op9_warc": OP9}

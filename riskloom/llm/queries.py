@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
 from riskloom.llm.quality import assess
+from riskloom.llm.warc import read_archives, resolve, write_archives
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +29,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "quality_rules.*")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(resolve(table(spark, sf_dir, "pages")))
+    return read_archives(manifest, with_payload=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op4_quality_rules": op4_quality_rules}
+    return {"op1_decontaminate": op1_decontaminate, "op4_quality_rules": op4_quality_rules, "op9_warc": op9_warc}

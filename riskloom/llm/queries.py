@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
 from riskloom.llm.quality import assess
+from riskloom.llm.token_files import read_documents, write_sequences
 from riskloom.llm.warc import read_archives, resolve, write_archives
 
 
@@ -29,6 +30,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "quality_rules.*")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_sequences(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+    return read_documents(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(resolve(table(spark, sf_dir, "pages")))
     return read_archives(manifest, with_payload=False).select(
@@ -36,4 +48,5 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op4_quality_rules": op4_quality_rules, "op9_warc": op9_warc}
+    return {"op1_decontaminate": op1_decontaminate, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
+            "op9_warc": op9_warc}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
 from riskloom.llm.quality import assess
+from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.token_files import read_documents, write_sequences
 from riskloom.llm.warc import read_archives, resolve, write_archives
 
@@ -41,6 +42,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), max_bits=3, words_per_shingle=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(resolve(table(spark, sf_dir, "pages")))
     return read_archives(manifest, with_payload=False).select(
@@ -49,4 +55,4 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_decontaminate": op1_decontaminate, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
-            "op9_warc": op9_warc}
+            "op6_simhash": op6_simhash, "op9_warc": op9_warc}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskloom.llm.licenses import LINE_TOKENS, PHRASES, TEMPLATES, need
+
 # Lower-cased A-Z only; words of characters other than ASCII punctuation and blanks.
 _FOLD = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _FOLD + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -41,5 +43,39 @@ FROM p LEFT JOIN o USING (payload_digest)
 """
 
 
+def _op2() -> str:
+    """All (block, template) pairs compared directly, without any filter."""
+    quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+    rows = ",\n".join(f"('{t.label}', {quoted(t.words())}, {quoted(t.names.split())}, {need(t)}, "
+                      f"{str(len(t.words()) > LINE_TOKENS).lower()})" for t in TEMPLATES)
+    phrases = ",\n".join(f"('{label}', {quoted(p.split())})" for p, label in PHRASES.items())
+    return f"""
+WITH templates(label, tw, names, least, long) AS (VALUES {rows}),
+phrases(label, pw) AS (VALUES {phrases}),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format(t="coalesce(text, '')")} AS w,
+                string_split({_FOLD.format(t="coalesce(text, '')")}, chr(10)) AS lines FROM documents),
+places AS (SELECT rid, label, i FROM docs, phrases, LATERAL (SELECT unnest(range(len(w) - len(pw) + 1)) AS i)
+           WHERE len(w) >= len(pw) AND list_contains(w, pw[1]) AND w[i + 1:i + len(pw)] = pw),
+base AS (SELECT rid, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+                list_sort(list(DISTINCT label)) AS base_set FROM places GROUP BY rid),
+line AS (SELECT rid, unnest(lines) AS l, unnest(range(len(lines))) AS block FROM docs),
+blocks AS (SELECT rid, block, {_WORDS.format(t="l").replace(_FOLD.format(t="l"), "l")} AS bw, false AS long FROM line
+           UNION ALL SELECT rid, -1, w, true FROM docs),
+pairs AS (SELECT rid, block, label, len(list_intersect(tw, bw)) AS common, len(tw) AS size, least
+          FROM blocks JOIN templates USING (long) WHERE list_has_all(bw, names)),
+met AS (SELECT *, max(common) OVER (PARTITION BY rid, block) AS top FROM pairs WHERE common >= least),
+sim AS (SELECT rid, list(DISTINCT label) AS labels, max(common / size) AS score,
+               count(DISTINCT block) AS n_blocks FROM met WHERE common = top GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(array_to_string(base_set, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base_set, []), coalesce(labels, [])))), ','),
+                '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END::DOUBLE AS score,
+       CAST(coalesce(n_blocks, 0) AS BIGINT) AS n_blocks
+FROM docs LEFT JOIN base USING (rid) LEFT JOIN sim USING (rid)
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op9_warc": OP9}
+    return {"op1_decontaminate": OP1, "op2_licenses": _op2(), "op9_warc": OP9}

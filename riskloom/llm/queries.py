@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
+from riskloom.llm.licenses import scan
 from riskloom.llm.quality import assess
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.token_files import read_documents, write_sequences
@@ -26,6 +27,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("hits.runs") > 0).alias("contaminated"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "licenses.*")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "quality_rules.*")
@@ -54,5 +59,5 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
+    return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
             "op6_simhash": op6_simhash, "op9_warc": op9_warc}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm import toxicity
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
 from riskloom.llm.licenses import scan
@@ -58,6 +59,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (toxicity.fold("doc_id") == toxicity.HELD_OUT).alias("held_out"), "toxicity.score", "toxicity.predicted")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
-            "op6_simhash": op6_simhash, "op9_warc": op9_warc}
+            "op6_simhash": op6_simhash, "op9_warc": op9_warc,
+            "op10_toxicity": op10_toxicity}

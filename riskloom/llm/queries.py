@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import toxicity
+from riskloom.llm.bm25_packing import pack
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
 from riskloom.llm.licenses import scan
@@ -53,6 +54,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1, with_ids=False)
+    return pieces.drop("ids")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_archives(resolve(table(spark, sf_dir, "pages")))
     return read_archives(manifest, with_payload=False).select(
@@ -68,5 +74,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
-            "op6_simhash": op6_simhash, "op9_warc": op9_warc,
+            "op6_simhash": op6_simhash,
+            "op8_bm25_packing": op8_bm25_packing, "op9_warc": op9_warc,
             "op10_toxicity": op10_toxicity}

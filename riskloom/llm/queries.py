@@ -14,6 +14,7 @@ from riskloom.llm.frames import table
 from riskloom.llm.licenses import scan
 from riskloom.llm.quality import assess
 from riskloom.llm.simhash import near_duplicates
+from riskloom.llm.suffix_dedup import dedup
 from riskloom.llm.token_files import read_documents, write_sequences
 from riskloom.llm.warc import read_archives, resolve, write_archives
 
@@ -54,6 +55,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, with_text=False)
+    return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", "dedup.kept_sha256")
+
+
 def op8_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1, with_ids=False)
     return pieces.drop("ids")
@@ -75,5 +81,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
             "op6_simhash": op6_simhash,
-            "op8_bm25_packing": op8_bm25_packing, "op9_warc": op9_warc,
+            "op7_suffix_dedup": op7_suffix_dedup, "op8_bm25_packing": op8_bm25_packing, "op9_warc": op9_warc,
             "op10_toxicity": op10_toxicity}

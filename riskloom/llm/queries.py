@@ -15,6 +15,7 @@ from riskloom.llm.licenses import scan
 from riskloom.llm.quality import assess
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.suffix_dedup import dedup
+from riskloom.llm.token_counts import count_edited
 from riskloom.llm.token_files import read_documents, write_sequences
 from riskloom.llm.warc import read_archives, resolve, write_archives
 
@@ -34,6 +35,13 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "licenses.*")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    found = count_edited(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"),
+                         public_tokenizers.PATTERN)
+    return found.select("doc_id", "counts.*")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "quality_rules.*")
@@ -79,7 +87,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
+    return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op3_token_counts": op3_token_counts,
+            "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
             "op6_simhash": op6_simhash,
             "op7_suffix_dedup": op7_suffix_dedup, "op8_bm25_packing": op8_bm25_packing, "op9_warc": op9_warc,
             "op10_toxicity": op10_toxicity}

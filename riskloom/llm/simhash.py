@@ -127,8 +127,10 @@ def _verified(query: DataFrame, table: DataFrame, keys: list[str], max_bits: int
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
                     words_per_shingle: int = 3, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
-    """A row per document: doc_id, fp (signed long), component_id (smallest linked doc_id)."""
-    ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    """A row per document: doc_id, text_hash (XXH64), fp (signed long), component_id (smallest linked doc_id)."""
+    text = F.col(f"`{text_col}`")
+    ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
+                      text.alias("text"))
     rows = written(fingerprints(ids, "text", "fp", words_per_shingle), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
     roots = components(near_links(classes.select("fp"), max_bits, bucket_limit))
@@ -138,17 +140,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lowest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = named.join(lowest, "root", "left").select(
         "fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(of_class, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(of_class, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Keep one document of each component: the one whose id names it. Columns as in docs.
 
-    Rows that repeat the kept id in the same component count as one document;
-    one of them stays. Rows without an id can't be named and all stay.
+    If several rows of a component have that id, one of them stays (smallest
+    text hash). Components without any id can't be named; all their rows stay.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
-    named = left.where(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(left.where(F.col(f"`{id_col}`").isNull()))
+    found = written(near_duplicates(docs, id_col, text_col, **options), "near-duplicates")
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    here, text_hash = F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    gone = found.where(F.col("component_id").isNotNull() & ~own).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    left = docs.join(gone, here.eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
+    # Ids that several rows of one component bear; usually none.
+    again = found.where(F.col("component_id").isNotNull() & own).groupBy(F.col("component_id").alias("__id")).agg(
+        F.min("text_hash").alias("__hash"), F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__id", "__hash")
+    once = left.join(again.select("__id"), here == F.col("__id"), "left_anti")
+    repeated = left.join(again, (here == F.col("__id")) & (text_hash == F.col("__hash"))).drop("__id", "__hash")
+    return once.unionByName(repeated.dropDuplicates([id_col]))

@@ -76,7 +76,9 @@ def test_edge_rows(spark):
     assert got == {(5, 3), (3, 3), (9, 4), (4, 4), (8, 7), (7, 7), (None, 7), (2, 2)}
     kept = deduplicate(df)
     assert kept.columns == df.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 2, 3, 4, 7]
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 7]
+    nameless = spark.createDataFrame([(None, text), (None, text), (1, "other")], "doc_id long, text string")
+    assert deduplicate(nameless).count() == 3
     assert near_duplicates(df.limit(0)).count() == 0
 
 

@@ -47,12 +47,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm import text as X
-from riskloom.llm.frames import fresh
+from riskloom.llm.frames import fresh, written
 
 LENGTH = 400
 SPAN = 300
 GRAM = 24
 CLUSTER_LIMIT = 20_000
+SMALL = 6
 RUN_BYTES = 48 << 20
 BUCKETS_PER_PARTITION = 8
 _TABLE32 = np.random.default_rng(5).integers(1, 2**32, 256, dtype=np.uint32) | np.uint32(1)
@@ -245,6 +246,8 @@ def reaches(common_right: list[int], lefts: list[bytes], length: int) -> list[tu
     order of the left parts.
     """
     n = len(lefts)
+    if n <= SMALL:
+        return _small_reaches(common_right, lefts, length)
     order = sorted(range(n), key=lefts.__getitem__)
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.arange(n)
@@ -269,6 +272,20 @@ def reaches(common_right: list[int], lefts: list[bytes], length: int) -> list[tu
     return [(int(a), int(b)) if a >= 0 else None for a, b in zip(far_left, far_right)]
 
 
+def _small_reaches(common_right: list[int], lefts: list[bytes], length: int) -> list[tuple[int, int] | None]:
+    """The same for a handful of suffixes, compared directly."""
+    far: list[tuple[int, int] | None] = [None] * len(lefts)
+    for i in range(len(lefts)):
+        r = length
+        for j in range(i + 1, len(lefts)):
+            r = min(r, common_right[j])
+            left = common(lefts[i], lefts[j])
+            if left + r >= length:
+                for k in (i, j):
+                    far[k] = (max(far[k][0], left), max(far[k][1], r)) if far[k] else (left, r)
+    return far
+
+
 class Clusters:
     """Turns the merged order of a bucket into removed parts, or strings to count for large clusters."""
 
@@ -431,8 +448,9 @@ def repeats(texts: DataFrame, length: int = LENGTH, span: int = SPAN, cluster_li
     return out
 
 
-def _ranges(out: DataFrame) -> DataFrame:
+def _ranges(found: DataFrame) -> DataFrame:
     """(key, spans) of each text with repeats; strings of large clusters are counted by hash here."""
+    out = written(found, "repeats")
     counted = out.where("blob is not null").select("blob", "key", "lo", "hi").distinct()
     again = counted.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("blob")
     plain = out.where("blob is null").select("key", "lo", "hi")

@@ -13,9 +13,10 @@ are safe, encodes each distinct part once, and joins the ids:
 - any other file: the text is encoded as a whole.
 
 A part that is letters and then ASCII punctuation is two pre-tokens in
-either kind of file, each cached by itself; letters go straight to the
-library's merge model, the rest through its whole pipeline. Caches hold two generations of
-at most ``CACHE`` entries; the older one is dropped when the newer is full.
+either kind of file, looked up one by one; letters go straight to the
+library's merge model, the rest through its whole pipeline. Caches hold two
+generations of at most ``CACHE`` entries; the older one is dropped when the
+newer is full.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from array import array
 
 import numpy as np
 
-CACHE = 250_000
+CACHE = 200_000
 LONGEST_CACHED = 48
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # What makes a cut at each single space or line end unsafe: runs of blanks, other blanks.
@@ -37,7 +38,7 @@ _OTHER_BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) no
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _SPECIAL = "<|"
 # Control characters that Python counts as blanks and the vocabulary files' patterns do not.
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def _cut_rule(spec: dict) -> str:
@@ -94,7 +95,7 @@ class Encoder:
             self.rule = _cut_rule(json.load(f))
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.parts, self.words = Cache(), Cache()
+        self.words, self.plain = Cache(), Cache()  # as they stand behind a blank; as they stand alone
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -105,40 +106,27 @@ class Encoder:
         found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_LETTERS))
         return array(self.code, [t.id for t in found]).tobytes()
 
-    def _piece(self, piece: str, letters: bool) -> bytes:
-        v = self.words.get(piece)
+    def _cached(self, cache: Cache, key: str, lead: str, letters: bool) -> bytes:
+        v = cache.get(key)
         if v is None:
-            v = self._word(piece) if letters else self._whole([piece])[0]
-            self.words.put(piece, v)
+            v = self._word(lead + key) if letters else self._whole([lead + key])[0]
+            cache.put(key, v)
         return v
 
     def _part(self, part: str) -> bytes:
-        """Ids of a part: a line end, a word, the punctuation behind it."""
-        v = self.parts.get(part)
-        if v is not None:
-            return v
-        body, lead, v = part, "", b""
-        if self.rule == "space":
-            if part[0] == "\n":
-                body, v = part[1:], self._piece("\n", False)
-            else:
-                lead = " "
-        word = body.rstrip(PUNCTUATION)
-        if word.isalpha() and _SPECIAL not in body and (word.isascii() or max(word) < "\u2000"):
-            tail = body[len(word):]
-            if self.rule == "blank":
-                word = word.lower() if word.isascii() else \
-                    "".join([c.lower() for c in unicodedata.normalize("NFC", word)])
-            v += self._piece(lead + word, word.isalpha())  # lower-casing can add a mark, which is no letter
-            if tail:
-                v += self._piece(tail, False)
-        else:
-            v += self._piece(lead + body, False)
-        self.parts.put(part, v)
-        return v
+        """Ids of a part that isn't cached as it is."""
+        line, cache, lead = b"", self.words, " " if self.rule == "space" else ""
+        if part[0] == "\n":  # only where cuts are made at line ends
+            line, part, cache, lead = self._cached(self.plain, "\n", "", False), part[1:], self.plain, ""
+        word = part.rstrip(PUNCTUATION)
+        if not word.isalpha() or _SPECIAL in part or not (word.isascii() or max(word) < "\u2000"):
+            return line + self._cached(cache, part, lead, False)
+        if len(word) == len(part):
+            return line + self._cached(cache, word, lead, True)
+        return line + self._cached(cache, word, lead, True) + self._cached(self.plain, part[len(word):], "", False)
 
     def _join(self, parts: list[str]) -> bytes:
-        found = list(map(self.parts.new.get, parts))
+        found = list(map(self.words.new.get, parts))
         if None in found:
             found = [self._part(p) if v is None else v for p, v in zip(parts, found)]
         return b"".join(found)
@@ -154,8 +142,10 @@ class Encoder:
                 return b"".join(self._whole([parts[0], *[" " + p for p in parts[1:]]]))
             parts = text.replace("\n", " \n").split(" ")
             return self._whole(parts[:1])[0] + self._join(parts[1:])
-        if self.rule == "blank" and not _SEPARATORS.search(text):
-            return self._join(text.split())
+        if self.rule == "blank" and not any(map(text.__contains__, _SEPARATORS)):
+            # The library lower-cases character by character; Python does too, but for a final sigma.
+            if text.isascii() or unicodedata.is_normalized("NFC", text) and "\u03a3" not in text:
+                return self._join(text.lower().split())
         return self._whole([text])[0]
 
     def ids(self, text: str) -> np.ndarray:

@@ -107,7 +107,7 @@ def sync(entity: str, view: DataFrame, path: str, feature_date: dt.date | None =
     if entity not in ENTITIES:
         raise ValueError(f"Unknown entity type: {entity}")
     snap = read_latest_snapshot(view, on_date=feature_date)
-    (snap.withColumn("entity_type", F.lit(entity)).write.mode("overwrite")
+    (snap.withColumn("entity_type", F.lit(entity)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("entity_type", "feature_date").parquet(path))
     landed = view.sparkSession.read.parquet(path).where(F.col("entity_type") == entity)
     return landed.groupBy("entity_type", "feature_date").agg(F.count(F.lit(1)).alias("records_synced"))

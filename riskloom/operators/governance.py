@@ -27,33 +27,50 @@ def rewrite_without(df: DataFrame, ids: DataFrame, key: str, path: str, partitio
     """
     parts = list(partition_by)
     touched = df.join(ids.select(key).distinct(), key, "left_semi").select(*parts).distinct()
-    keep = delete_entities(df.join(touched, parts, "left_semi"), ids, key)
+    # Null-safe: the partition of rows without a partition value is a partition too.
+    keep = delete_entities(_join_parts(df, touched, parts, "left_semi"), ids, key)
     # Partitions whose every row is deleted get no output rows, so dynamic overwrite would leave
     # them in place: list them (partition values only, bounded by the partition count) first.
-    emptied = touched.join(keep.select(*parts).distinct(), parts, "left_anti").collect()
+    emptied = _join_parts(touched, keep.select(*parts).distinct(), parts, "left_anti").collect()
     (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
     drop_partitions(df.sparkSession, path, parts, [tuple(r) for r in emptied])
     return path
 
 
+def _join_parts(left: DataFrame, right: DataFrame, parts: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on partition columns where NULL equals NULL."""
+    other = right.select(*[F.col(c).alias(f"__p_{c}") for c in parts])
+    on = F.lit(True)
+    for c in parts:
+        on = on & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
+    return left.join(other, on, how)
+
+
+# Fixed value: folder name of the NULL partition.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def drop_partitions(spark, path: str, partition_by: Sequence[str], values: Sequence[tuple]) -> None:
     """Remove whole partition folders ``col=value/...`` of a file table (like DROP PARTITION)."""
     jvm = spark._jvm
     escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     conf = spark._jsc.hadoopConfiguration()
     for vals in values:
-        sub = "/".join(f"{escape(c)}={escape(str(v))}" for c, v in zip(partition_by, vals))
+        sub = "/".join(f"{escape(c)}={NULL_PARTITION if v is None else escape(str(v))}" for c, v in zip(partition_by, vals))
         p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
         p.getFileSystem(conf).delete(p, True)
 
 
-def pii_projection(df: DataFrame, allowed: Sequence[str], hash_ids: Sequence[str] = ()) -> DataFrame:
-    """Allow-listed columns only; identifier columns replaced by SHA-256 hex."""
+def pii_projection(df: DataFrame, allowed: Sequence[str], hash_ids: Sequence[str] = (), salt: str = "") -> DataFrame:
+    """Allow-listed columns only; identifier columns replaced by SHA-256 hex of the salt and the value.
+
+    Small integer ids can be found by trying all values: give a secret salt.
+    """
     cols = []
     for c in allowed:
         if c in hash_ids:
-            cols.append(F.sha2(F.col(c).cast("string"), 256).alias(c))
+            cols.append(F.sha2(F.concat(F.lit(salt), F.col(c).cast("string")), 256).alias(c))
         else:
             cols.append(F.col(c))
     return df.select(*cols)

@@ -7,13 +7,13 @@ on executors; the registry is a manifest table of saved models.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import md5_uniform
+from riskloom.streaming.runner import materialize
 
 # Model inputs and hyper-parameters.
 FEATURE_COLUMNS = [
@@ -66,24 +66,23 @@ def label_synthetic(df: DataFrame, flip: float = FLIP_RATE, seed: int = SEED) ->
     return df.withColumn(LABEL, F.when(u < F.lit(flip), F.lit(1) - rule).otherwise(rule))
 
 
-def label_from_outcomes(features: DataFrame, outcomes: DataFrame, start: dt.date, step_days: int,
-                        count: int, horizon_days: int = 30) -> DataFrame:
+def label_from_outcomes(features: DataFrame, outcomes: DataFrame, horizon_days: int = 30) -> DataFrame:
     """is_delayed = a PO of the (sku, vendor) placed in (feature_date, feature_date + horizon] arrived late.
 
-    Each outcome is assigned arithmetically to the snapshots whose horizon
-    covers it (no range join), aggregated per (sku, vendor, snapshot), then
-    equi-joined; snapshots without outcomes get 0.
+    Works for any feature dates. Outcomes are counted per (sku, vendor, day)
+    first; each day is matched with the feature dates whose horizon covers
+    it by an equi-join with the distinct feature dates (calendar days, a
+    bounded list), so there is no range join; then one equi-join with the
+    features. Feature rows without outcomes get 0.
     """
-    off = F.datediff(F.col("po_date"), F.lit(start))
-    lo = F.greatest(F.ceil((off - F.lit(horizon_days)) / F.lit(step_days)), F.lit(0)).cast("int")
-    hi = F.least(F.ceil(off / F.lit(step_days)) - F.lit(1), F.lit(count - 1)).cast("int")
     late = (F.col("receipt_date") > F.col("expected_date")).cast("int")
-    o = (outcomes.select("sku_id", "vendor_id", "po_date", late.alias("late"), lo.alias("lo"), hi.alias("hi"))
-         .where(F.col("hi") >= F.col("lo"))
-         .withColumn("k", F.explode(F.sequence("lo", "hi")))
-         .withColumn("feature_date", F.date_add(F.lit(start), F.col("k") * F.lit(step_days)))
+    days = (outcomes.groupBy("sku_id", "vendor_id", "po_date")
+            .agg(F.max(late).alias("late"), F.count(F.lit(1)).alias("n")))
+    dates = F.broadcast(features.select("feature_date").distinct())
+    o = (days.withColumn("feature_date", F.explode(F.sequence(F.date_sub("po_date", horizon_days), F.date_sub("po_date", 1))))
+         .join(dates, "feature_date")
          .groupBy("sku_id", "vendor_id", "feature_date")
-         .agg(F.max("late").alias("__late"), F.count(F.lit(1)).alias("outcome_pos")))
+         .agg(F.max("late").alias("__late"), F.sum("n").alias("outcome_pos")))
     return (features.join(o, ["sku_id", "vendor_id", "feature_date"], "left")
             .withColumn(LABEL, F.coalesce("__late", F.lit(0)))
             .withColumn("outcome_pos", F.coalesce("outcome_pos", F.lit(0)).cast("long"))
@@ -123,7 +122,7 @@ def train(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str =
     # The forest makes many passes: materialise the training set once in the
     # shared checkpoint folder (reliable; survives executor loss) instead of
     # re-running the feature lineage on every pass.
-    data = data.checkpoint(eager=True)
+    data = materialize(data, "weighted")
     asm = VectorAssembler(inputCols=list(features), outputCol="features_vec", handleInvalid="keep")
     kw = {"weightCol": "weight"} if weighted else {}
     rf = RandomForestClassifier(featuresCol="features_vec", labelCol=label, numTrees=trees, maxDepth=depth,
@@ -150,4 +149,5 @@ def importance(model, features: Sequence[str] = FEATURE_COLUMNS) -> list[tuple[s
 
 def latest_model(registry: DataFrame, name: str) -> DataFrame:
     """Newest registered model of ``name`` (top-1 by creation time)."""
-    return registry.where(F.col("model_name") == name).orderBy(F.col("created_at").desc()).limit(1)
+    return (registry.where(F.col("model_name") == name)
+            .orderBy(F.col("created_at").desc(), F.col("model_path").desc()).limit(1))

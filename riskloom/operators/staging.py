@@ -37,6 +37,26 @@ def dedup_latest(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
     return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
 
 
+def _timestamp() -> Column:
+    """Typed transaction timestamp; text that is none becomes NULL (and the row a reject)."""
+    return F.col("transaction_timestamp").try_cast("timestamp_ntz")
+
+
+def staging_rejects(raw: DataFrame) -> DataFrame:
+    """The raw rows that staging leaves out, as they came, with ``reject_reasons`` joined by ';'.
+
+    Staged rows before the dedup and rejects together are all raw rows.
+    """
+    qty = round_cast_long("quantity")
+    reasons = F.concat_ws(
+        ";", *[F.when(F.col(c).isNull(), F.lit(f"missing:{c}"))
+               for c in ("transaction_id", "sku_id", "quantity", "transaction_timestamp")],
+        F.when(F.col("quantity").isNotNull() & qty.isNull(), F.lit("bad_quantity")),
+        F.when(qty == 0, F.lit("zero_quantity")),
+        F.when(F.col("transaction_timestamp").isNotNull() & _timestamp().isNull(), F.lit("bad_timestamp")))
+    return raw.withColumn("reject_reasons", reasons).where(F.col("reject_reasons") != "")
+
+
 def stage_inventory(raw: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id: str,
                     tie_keys: Sequence[str] = ()) -> DataFrame:
     """Typed, filtered, deduplicated inventory transactions with lineage columns."""
@@ -49,8 +69,8 @@ def stage_inventory(raw: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id:
         qty.alias("quantity"),
         normalise_text("transaction_type").alias("transaction_type"),
         F.col("unit_cost").try_cast("double").alias("unit_cost"),
-        F.col("transaction_timestamp").alias("transaction_timestamp"),
-        F.to_date("transaction_timestamp").alias("transaction_date"),
+        _timestamp().alias("transaction_timestamp"),
+        _timestamp().cast("date").alias("transaction_date"),
         signed_quantity("transaction_type", qty).alias("signed_quantity"),
         F.col("source_system").cast("string").alias("source_system"),
         F.col("source_file").cast("string").alias("source_file"),

@@ -21,12 +21,12 @@ from riskloom.operators.leadtime import daily_lead_counts, daily_vendor_counts,
 from riskloom.operators.staging import stage_inventory
 from riskloom.session import apply_settings, ensure_checkpoint_dir
 from riskloom.sources import fixtures as fx
+from riskloom.streaming.runner import materialize
 
 
-# Training snapshots every 30 days, 68 of them, ending on the as-of date.
+# Days between training snapshots (the last one is on the as-of date); days that demand signals look back.
 TRAIN_STEP = 30
-TRAIN_COUNT = 68
-TRAIN_START = fx.AS_OF - dt.timedelta(days=TRAIN_STEP * (TRAIN_COUNT - 1))
+WARM_UP_DAYS = 120
 
 
 class Inputs:
@@ -55,15 +55,34 @@ class Inputs:
     def staged(self) -> DataFrame:
         return stage_inventory(self.raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",))
 
+    @cached_property
+    def recent_staged(self) -> DataFrame:
+        """Staged rows of the warm-up range.
+
+        Staging keeps the latest row of an id, so a lower bound on the
+        timestamp may go below the dedup (and into the scan): it never drops
+        the row that stays unless all rows of that id are older. An upper
+        bound may not.
+        """
+        since = dt.datetime.combine(self.as_of - dt.timedelta(days=WARM_UP_DAYS), dt.time())
+        raw = self.raw.where(F.col("transaction_timestamp") >= F.lit(since).cast("timestamp_ntz"))
+        return stage_inventory(raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",))
+
+    @cached_property
+    def recent_table(self) -> DataFrame:
+        """``recent_staged`` as a stored table, for plans that read it in two branches."""
+        return materialize(self.recent_staged, "staged-recent")
+
     @cached_property
     def signals(self) -> DataFrame:
-        return demand_signals(self.staged, self.as_of, self.run_ts, self.run_id)
+        return demand_signals(self.recent_staged, self.as_of, self.run_ts, self.run_id)
 
     @cached_property
     def features(self) -> DataFrame:
-        return sku_risk_features(self.signals, self.staged, self.po, self.as_of, self.run_ts, self.run_id)
+        signals = demand_signals(self.recent_table, self.as_of, self.run_ts, self.run_id)
+        return sku_risk_features(signals, self.recent_table, self.po, self.as_of, self.run_ts, self.run_id)
 
-    # ---- training fixture (FIXTURES.md): inbound receipts x6, 68 snapshots 30 days apart.
+    # ---- training fixture (FIXTURES.md): inbound receipts x6, snapshots every 30 days back to the first transaction.
     # The SKU mapping is the same as everywhere else, so the oracle SQL agrees at every scale.
     @cached_property
     def training_sku_mod(self) -> int | None:
@@ -81,10 +100,17 @@ class Inputs:
                              .otherwise(F.col("quantity")))
         return stage_inventory(raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",))
 
+    @cached_property
+    def training_grid(self) -> tuple[dt.date, int, int]:
+        """(first snapshot, step, count): from the as-of date back to the first transaction of the data."""
+        first = self.raw.agg(F.min(F.to_date("transaction_timestamp"))).first()[0] or self.as_of
+        count = max(1, (self.as_of - first).days // TRAIN_STEP + 1)
+        return self.as_of - dt.timedelta(days=TRAIN_STEP * (count - 1)), TRAIN_STEP, count
+
     @cached_property
     def training_features(self) -> DataFrame:
         """Feature rows for all training snapshots, computed in one job."""
-        start, step, count = TRAIN_START, TRAIN_STEP, TRAIN_COUNT
+        start, step, count = self.training_grid
         # Aggregate to days first (independent of the snapshot), then copy days to snapshots.
         daily = expand_snapshots(daily_demand_all(self.training_staged), "transaction_date",
                                  start, step, count, 120)
@@ -100,11 +126,11 @@ class Inputs:
     # lineage cut instead of re-running the feature chain in every branch of their plan.
     @cached_property
     def features_table(self) -> DataFrame:
-        return self.features.checkpoint(eager=True)
+        return materialize(self.features, "features")
 
     @cached_property
     def training_table(self) -> DataFrame:
-        return self.training_features.checkpoint(eager=True)
+        return materialize(self.training_features, "training-features")
 
     @cached_property
     def messages(self) -> DataFrame:

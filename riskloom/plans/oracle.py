@@ -40,7 +40,8 @@ purchase_order_receipts AS (
     'SKU-' || CAST(l_partkey % {sku_mod} AS VARCHAR) AS sku_id,
     CAST(o_orderdate AS DATE) AS po_date,
     CAST(o_orderdate AS DATE) + CAST(35 + l_suppkey % 15 AS INT) AS expected_date,
-    CAST(o_orderdate AS DATE) + CAST(1 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber) % 45 AS INT) AS receipt_date
+    CASE WHEN (l_orderkey + l_linenumber) % 23 <> 0
+         THEN CAST(o_orderdate AS DATE) + CAST(1 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber) % 45 AS INT) END AS receipt_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 event_messages AS (
@@ -275,11 +276,14 @@ FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT MAX(CAST(o_orderdate AS DA
 
 
 def training_ctes() -> str:
-    """Training fixture in SQL: receipts x6, 68 snapshots 30 days apart, joined by date range."""
+    """Training fixture in SQL: receipts x6, snapshots every 30 days back to the first transaction, joined by date range."""
     dem = "transaction_type IN ('shipment', 'consumption', 'transfer_out')"
     rec = "transaction_type IN ('receipt', 'adjustment_in', 'transfer_in')"
     return f""",
-snaps AS (SELECT CAST(DATE '1996-01-30' + CAST(30 * k AS INTEGER) AS DATE) AS as_of FROM range(0, 68) t(k)),
+snaps AS (SELECT CAST({AS_OF} - CAST(30 * k AS INTEGER) AS DATE) AS as_of FROM (
+  SELECT unnest(range(0, n)) AS k FROM (
+    SELECT CAST(floor(date_diff('day', CAST(MIN(transaction_timestamp) AS DATE), {AS_OF}) / 30) AS BIGINT) + 1 AS n
+    FROM raw_inventory_transactions) c) t),
 traw AS (SELECT * REPLACE (CASE WHEN transaction_type IN (' Receipt ', 'ADJUSTMENT_IN') THEN quantity * 6
                                 ELSE quantity END AS quantity) FROM raw_inventory_transactions),
 tstaged AS ({_staged_sql("traw")}),

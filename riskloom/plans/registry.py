@@ -70,12 +70,12 @@ def _stage_po(x: Inputs) -> DataFrame:
 # ---------------------------------------------------------------------- demand
 @query("daily_demand")
 def _daily_demand(x: Inputs) -> DataFrame:
-    return dm.daily_demand(x.staged, x.as_of, 120)
+    return dm.daily_demand(x.recent_staged, x.as_of, 120)
 
 
 @query("running_inventory")
 def _running_inventory(x: Inputs) -> DataFrame:
-    return dm.running_inventory(dm.daily_demand(x.staged, x.as_of, 120))
+    return dm.running_inventory(dm.daily_demand(x.recent_staged, x.as_of, 120))
 
 
 @query("demand_signals")
@@ -85,7 +85,7 @@ def _demand_signals(x: Inputs) -> DataFrame:
 
 @query("demand_signals_as_written")
 def _demand_signals_as_written(x: Inputs) -> DataFrame:
-    return dm.demand_signals(x.staged, x.as_of, x.run_ts, x.run_id, mode="as_written")
+    return dm.demand_signals(x.recent_staged, x.as_of, x.run_ts, x.run_id, mode="as_written")
 
 
 # -------------------------------------------------------------------- leadtime
@@ -102,7 +102,7 @@ def _vendor_lead_times_sketch(x: Inputs) -> DataFrame:
 
 @query("sku_vendor_map")
 def _sku_vendor_map(x: Inputs) -> DataFrame:
-    return lt.sku_vendor_map(x.staged, x.as_of)
+    return lt.sku_vendor_map(x.recent_staged, x.as_of)
 
 
 # -------------------------------------------------------------------- features

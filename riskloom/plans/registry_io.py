@@ -19,6 +19,7 @@ from riskloom.session import shared_dir
 from riskloom.sources import landing as ld
 from riskloom.sources import manifest as mf
 from riskloom.sources import sinks as sk
+from riskloom.streaming.runner import materialize
 
 RAW_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.StringType()), T.StructField("sku_id", T.StringType()),
@@ -290,11 +291,6 @@ RAW_RULE_COLUMNS = {"transaction_id": "string", "sku_id": "string", "vendor_id":
 RAW_REQUIRED = ("transaction_id", "sku_id", "vendor_id", "quantity", "transaction_type", "transaction_timestamp")
 
 
-@query("schema_diff")
-def _schema_diff(x: Inputs) -> DataFrame:
-    return qa.schema_diff(x.raw, RAW_RULE_COLUMNS)
-
-
 @query("validate_dataset")
 def _validate_dataset(x: Inputs) -> DataFrame:
     return qa.validate_dataset(x.raw, RAW_RULE_COLUMNS, RAW_REQUIRED)
@@ -429,3 +425,87 @@ FROM l"""
 
 
 oracle("drift_ks", _ks_sql())
+
+
+# ------------------------------------------------------- rejects and dispositions
+@query("staging_rejects")
+def _staging_rejects(x: Inputs) -> DataFrame:
+    """What staging leaves out, by reason."""
+    return st.staging_rejects(x.raw).groupBy("reject_reasons").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+oracle("staging_rejects", """
+SELECT reasons AS reject_reasons, COUNT(*) AS n_rows FROM (
+  SELECT concat_ws(';', CASE WHEN sku_id IS NULL THEN 'missing:sku_id' END,
+                        CASE WHEN quantity = 0 THEN 'zero_quantity' END) AS reasons
+  FROM raw_inventory_transactions) r WHERE reasons <> '' GROUP BY 1""")
+
+
+@query("csv_rejects")
+def _csv_rejects(x: Inputs) -> DataFrame:
+    """CSV files with bad numbers and surplus fields: every record is a good row or a reject."""
+    path = shared_dir(x.spark, "landing-dirty")
+    qty = F.col("l_quantity").cast("long").cast("string")
+    dirty = F.when(F.col("l_orderkey") % 13 == 0, F.concat(F.lit("x"), qty)).when(
+        F.col("l_orderkey") % 17 == 0, F.concat(qty, F.lit(",surplus"))).otherwise(qty)
+    (x.table("lineitem").select(F.col("l_orderkey").alias("order_id"), dirty.alias("quantity"))
+     .write.option("header", "true").option("quote", "\u0000").csv(path))
+    good, rejects = ld.read_landing_checked(x.spark, path, "csv", T.StructType([
+        T.StructField("order_id", T.LongType()), T.StructField("quantity", T.LongType())]))
+    return good.agg(F.lit("good").alias("kind"), F.count(F.lit(1)).alias("n_rows"),
+                    F.sum("quantity").alias("quantity")).unionByName(
+        rejects.agg(F.lit("reject").alias("kind"), F.count(F.lit(1)).alias("n_rows"),
+                    F.lit(None).cast("long").alias("quantity")))
+
+
+oracle("csv_rejects", """
+SELECT CASE WHEN l_orderkey % 13 = 0 OR l_orderkey % 17 = 0 THEN 'reject' ELSE 'good' END AS kind, COUNT(*) AS n_rows,
+  CAST(SUM(CASE WHEN l_orderkey % 13 <> 0 AND l_orderkey % 17 <> 0 THEN CAST(l_quantity AS BIGINT) END) AS BIGINT) AS quantity
+FROM lineitem GROUP BY 1""")
+
+
+@query("write_dispositions")
+def _write_dispositions(x: Inputs) -> DataFrame:
+    """Rows in a partitioned table after each kind of write."""
+    path, rows = shared_dir(x.spark, "dispositions"), []
+    orders = x.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    steps = (("1 truncate", "WRITE_TRUNCATE", F.lit(True)),
+             ("2 replace F", "REPLACE_PARTITIONS", (F.col("o_orderstatus") == "F") & (F.col("o_custkey") % 2 == 0)),
+             ("3 append P", "WRITE_APPEND", F.col("o_orderstatus") == "P"),
+             ("4 truncate to O", "WRITE_TRUNCATE", F.col("o_orderstatus") == "O"))
+    for name, mode, keep in steps:
+        sk.write_table(orders.where(keep), path, mode, partition_by=("o_orderstatus",))
+        counted = x.spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+        rows.append(materialize(counted.select(F.lit(name).alias("step"), "o_orderstatus", "n_rows"), "disposition-rows"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+oracle("write_dispositions", """
+, s1 AS (SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1),
+ev AS (SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_custkey % 2 = 0),
+s2 AS (SELECT o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN (SELECT n FROM ev) ELSE n END AS n FROM s1)
+SELECT '1 truncate' AS step, o_orderstatus, n AS n_rows FROM s1
+UNION ALL SELECT '2 replace F', o_orderstatus, n FROM s2
+UNION ALL SELECT '3 append P', o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 2 * n ELSE n END FROM s2
+UNION ALL SELECT '4 truncate to O', o_orderstatus, n FROM s1 WHERE o_orderstatus = 'O'""")
+
+
+@query("delete_rewrite")
+def _delete_rewrite(x: Inputs) -> DataFrame:
+    """The deletion list applied to a stored table, the partition of rows without a status included."""
+    path = shared_dir(x.spark, "deletion")
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    stored = x.table("orders").select("o_orderkey", "o_custkey", status.alias("status"))
+    sk.write_table(stored, path, "WRITE_TRUNCATE", partition_by=("status",))
+    ids = x.table("customer").where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
+    gv.rewrite_without(x.spark.read.parquet(path), ids, "o_custkey", path, ("status",))
+    x.spark.catalog.refreshByPath(path)
+    return x.spark.read.parquet(path).select("o_orderkey", "o_custkey", "status")
+
+
+oracle("delete_rewrite", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0 AND c_custkey IS NOT NULL)""")

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from riskloom.operators import evaluation as evl
 from riskloom.operators import featurestore as fs
 from riskloom.operators import ml
-from riskloom.plans.context import TRAIN_COUNT, TRAIN_START, TRAIN_STEP, Inputs
+from riskloom.plans.context import Inputs
 from riskloom.plans.oracle import AS_OF, RUN_ID, oracle, r6, training_oracle
 from riskloom.plans.registry import query
+from riskloom.sources.sinks import write_predictions
+from riskloom.streaming.runner import materialize
 from riskloom.session import shared_dir
 from riskloom.streaming import events as ev
 
@@ -174,7 +176,7 @@ def _split(x: Inputs) -> DataFrame:
 
 def _split_cut(x: Inputs) -> DataFrame:
     """The split training set materialised once (lineage cut) for multi-pass model fitting."""
-    return _split(x).checkpoint(eager=True)
+    return materialize(_split(x), "split")
 
 
 def _rule_test(x: Inputs) -> DataFrame:
@@ -213,7 +215,7 @@ training_oracle("label_synthetic", "SELECT sku_id, vendor_id, feature_date, supp
 @query("label_from_outcomes")
 def _label_outcomes(x: Inputs) -> DataFrame:
     f = x.training_table.select("sku_id", "vendor_id", "feature_date")
-    return ml.label_from_outcomes(f, x.training_po, TRAIN_START, TRAIN_STEP, TRAIN_COUNT, horizon_days=30)
+    return ml.label_from_outcomes(f, x.training_po, horizon_days=30)
 
 
 training_oracle("label_from_outcomes", """
@@ -325,10 +327,17 @@ def _training_run(x: Inputs) -> DataFrame:
 
 @query("batch_score_model")
 def _batch_score(x: Inputs) -> DataFrame:
+    """Newest registered model over the latest features, written as JSON Lines and read back.
+
+    The model comes from a gated training run; if the gate fails, nothing is
+    registered and scoring stops with an error.
+    """
     from riskloom.plans.training import run_training, score_latest
-    registry = shared_dir(x.spark, "model-registry")
-    run_training(x.spark, x.training_table, registry, x.run_id, x.run_ts, force_register=True).collect()
-    return score_latest(x.spark, registry, ml.engineer(x.features_table), x.run_ts)
+    registry, out = shared_dir(x.spark, "model-registry"), shared_dir(x.spark, "predictions")
+    run_training(x.spark, x.training_table, registry, x.run_id, x.run_ts).collect()
+    scores = score_latest(x.spark, registry, ml.engineer(x.features_table), x.run_ts)
+    write_predictions(scores, out)
+    return x.spark.read.schema(scores.schema).json(out)
 
 
 @query("pipeline_report")

@@ -137,6 +137,18 @@ def _stream_ingest(x: Inputs) -> DataFrame:
 stream_oracle("stream_ingest", "SELECT * FROM ingested WHERE is_valid")
 
 
+@query("ingest_outcomes")
+def _ingest_outcomes(x: Inputs) -> DataFrame:
+    """Every ingested message in the table of its outcome: ok, retry or dead_letter."""
+    rows = ev.ingest_outcomes(_stream_messages(x), x.run_id, x.run_ts)
+    return rn.run_outcomes(rows, "ingest-outcomes").select("message_id", "status", "transaction_id", "reject_reasons")
+
+
+stream_oracle("ingest_outcomes", """SELECT message_id, CASE WHEN is_valid THEN 'ok' WHEN delivery_attempt >= 5 THEN 'dead_letter'
+  ELSE 'retry' END AS status, transaction_id, reject_reasons
+FROM ingested JOIN (SELECT message_id, delivery_attempt FROM event_messages) m USING (message_id)""")
+
+
 @query("batch_stream_parity")
 def _parity(x: Inputs) -> DataFrame:
     """Same transform on read and readStream: counts and rows that differ (0 expected)."""
@@ -164,26 +176,31 @@ stream_oracle("consume_stats", """SELECT CASE WHEN NOT is_valid THEN 'invalid'
     ELSE 'failed' END AS status, COUNT(*) AS n_messages FROM val2 GROUP BY 1""")
 
 
+def _complete(df: DataFrame) -> DataFrame:
+    """A dead-letter fix: the topic's type, an id from the message and one unit, for payloads that are JSON objects."""
+    typed = ev.default_type_fix(TOPIC_DEFAULT_TYPE)(df)
+    add = F.concat(F.lit(',"transaction_id":"R-'), F.col("message_id"), F.lit('","quantity":1}'))
+    lacks = F.col("payload_is_json") & F.get_json_object("payload", "$.transaction_id").isNull()
+    return typed.withColumn("payload", F.when(lacks, F.regexp_replace("payload", F.lit(r"\}\s*$"), add))
+                            .otherwise(F.col("payload")))
+
+
 @query("dlq_replay")
 def _dlq_replay(x: Inputs) -> DataFrame:
-    """Dead letters re-parsed after a fix; survivors not already loaded are appended."""
-    v = ev.dead_letter_split(ev.validate_events(ev.parse_envelope(x.messages)))
-    dead = v.where(F.col("status") == "dead_letter")
-    loaded = ev.ingest_events(x.messages, x.run_id, x.run_ts).where(F.col("is_valid"))
-    fix = ev.default_type_fix(TOPIC_DEFAULT_TYPE)
-    fixed = ev.validate_events(fix(dead))
-    survivors = ev.dlq_replay(dead, loaded, fix, x.run_id, x.run_ts)
-    n = dead.agg(F.count(F.lit(1)).alias("n_dead"))
-    return n.select("n_dead",
-                    fixed.agg(F.count_if(F.col("is_valid"))).scalar().alias("n_valid_after_fix"),
-                    survivors.agg(F.count(F.lit(1))).scalar().alias("n_replayed"))
+    """Dead letters of the ingest re-parsed after a fix; the recovered rows that aren't loaded yet."""
+    env = ev.parse_envelope(x.messages)
+    rows = ev.ingest_outcomes(x.messages, x.run_id, x.run_ts)
+    dead = env.join(rows.where(F.col("status") == "dead_letter").select("message_id"), "message_id", "left_semi")
+    loaded = rows.where(F.col("status") == "ok")
+    found = ev.dlq_replay(dead, loaded, _complete, x.run_id, x.run_ts)
+    return found.select("message_id", "transaction_id", "sku_id", "quantity", "transaction_type")
 
 
-stream_oracle("dlq_replay", """, dead AS (SELECT * FROM val2 WHERE status = 'dead_letter')
-SELECT COUNT(*) AS n_dead,
-  CAST(count_if((CASE WHEN payload IS NULL OR regexp_matches(payload, '^\\s*\\{\\s*\\}\\s*$') THEN 1 ELSE 0 END) = 0) AS BIGINT) AS n_valid_after_fix,
-  CAST(0 AS BIGINT) AS n_replayed
-FROM dead""")
+stream_oracle("dlq_replay", f"""SELECT e.message_id, 'R-' || e.message_id AS transaction_id,
+  json_extract_string(e.payload, '$.sku_id') AS sku_id, CAST(1 AS BIGINT) AS quantity,
+  CASE WHEN e.event_type <> 'unknown' THEN e.event_type ELSE CASE e.topic {' '.join(f"WHEN '{t}' THEN '{d}'" for t, d in TOPIC_DEFAULT_TYPE.items())} END END AS transaction_type
+FROM env e JOIN ingested i USING (message_id)
+WHERE NOT i.is_valid AND e.delivery_attempt >= 5 AND e.payload_is_json""")
 
 
 @query("stream_tumbling_1m")
@@ -211,7 +228,7 @@ stream_oracle("stream_dedup", "SELECT DISTINCT message_id, topic, publish_time,
 
 @query("stream_enrich")
 def _stream_enrich(x: Inputs) -> DataFrame:
-    dim = rn.materialize(sku_vendor_map(x.staged, x.as_of)
+    dim = rn.materialize(sku_vendor_map(x.recent_staged, x.as_of)
                          .select("sku_id", F.col("vendor_id").alias("main_vendor_id")), "dim-sku-vendor")
     rows = ev.ingest_events(_stream_messages(x), x.run_id, x.run_ts).where(F.col("is_valid"))
     out = rn.enrich_reference(rows.select("message_id", "sku_id", "quantity"), dim, "sku_id")
@@ -226,8 +243,8 @@ FROM ingested i LEFT JOIN svm s ON i.sku_id = s.sku_id WHERE i.is_valid""")
 def _backlog(x: Inputs) -> DataFrame:
     v = ev.dead_letter_split(ev.validate_events(ev.parse_envelope(x.messages)))
     processed = v.where(F.col("status") == "ok")
-    return ev.backlog_depth(x.messages, processed, limit=1000)
+    return ev.backlog_depth(x.messages, processed)
 
 
-stream_oracle("backlog_depth", """SELECT topic, COUNT(*) AS backlog, COUNT(*) > 1000 AS alert FROM val2
+stream_oracle("backlog_depth", """SELECT topic, COUNT(*) AS backlog, COUNT(*) > 10000 AS alert FROM val2
 WHERE status <> 'ok' GROUP BY topic""")

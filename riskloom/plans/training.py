@@ -18,6 +18,7 @@ from riskloom.operators import ml
 from riskloom.operators.quality import validate_features
 from riskloom.operators.scoring import read_latest_snapshot
 from riskloom.sources.fixtures import run_ts_lit
+from riskloom.streaming.runner import materialize
 
 MODEL_NAME = "delay_risk_rf"
 REPORT_SCHEMA = ("run_id string, validation_passed boolean, train_rows bigint, test_rows bigint, "
@@ -26,26 +27,25 @@ REPORT_SCHEMA = ("run_id string, validation_passed boolean, train_rows bigint, t
 
 
 def run_training(spark: SparkSession, features: DataFrame, registry: str, run_id: str, run_ts: dt.datetime,
-                 threshold: float = evl.THRESHOLD_F1, baseline: float = evl.BASELINE_F1,
-                 force_register: bool = False) -> DataFrame:
+                 threshold: float = evl.THRESHOLD_F1, baseline: float = evl.BASELINE_F1) -> DataFrame:
     verdict = validate_features(read_latest_snapshot(features)).where(F.col("check") == "verdict").first()
     validation_passed = bool(verdict["passed"]) if verdict else False
-    if not validation_passed and not force_register:
+    if not validation_passed:
         # The chain stops at the first gate: no training on a table that failed validation.
         return spark.createDataFrame([(run_id, False, 0, 0, None, None, None, None, None, False, False, None)],
                                      REPORT_SCHEMA)
     snapshot = features.agg(F.max("feature_date")).first()[0]
-    data = ml.stratified_split(ml.label_synthetic(ml.engineer(features))).checkpoint(eager=True)
+    data = materialize(ml.stratified_split(ml.label_synthetic(ml.engineer(features))), "training-set")
     train_df = data.where(F.col("split") == "train")
     test_df = data.where(F.col("split") == "test")
     model = ml.train(train_df)
-    scored = ml.score(model, test_df)
-    m = evl.metrics(scored).first()
-    auc = evl.roc_auc(scored).first()
-    g = evl.gate(evl.metrics(scored), threshold, baseline).first()
+    # Scored once: the metrics, the AUC and the gate read the stored scores.
+    scored = materialize(ml.score(model, test_df).select(ml.LABEL, "prediction", "score"), "scored")
+    metrics = evl.metrics(scored)
+    m, auc, g = metrics.first(), evl.roc_auc(scored).first(), evl.gate(metrics, threshold, baseline).first()
     sizes = data.groupBy("split").count().collect()
     n = {r["split"]: r["count"] for r in sizes}
-    registered = bool(g["passed"]) or force_register
+    registered = bool(g["passed"])
     path = f"{registry.rstrip('/')}/models/{run_id}"
     if registered:
         model.write().overwrite().save(path)

@@ -53,7 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset: this is a local test session, so a private temp folder is fine.
+        # A temporary folder is private to one machine: fine for a local session, never for a cluster.
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
         conf_dir = tempfile.mkdtemp(prefix="riskloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)

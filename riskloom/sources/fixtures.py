@@ -80,9 +80,10 @@ def purchase_order_receipts(lineitem: DataFrame, orders: DataFrame,
         _sku_expr(l("l_partkey"), sku_mod).alias("sku_id"),
         l("po_date"),
         F.date_add(l("po_date"), (F.lit(35) + l("l_suppkey") % 15).cast("int")).alias("expected_date"),
-        F.date_add(l("po_date"),
-                   (F.lit(1) + (l("l_partkey") * 7 + l("l_suppkey") * 13 + l("l_linenumber")) % 45)
-                   .cast("int")).alias("receipt_date"),
+        # Every 23rd order line is still open: no receipt yet.
+        F.when((l("l_orderkey") + l("l_linenumber")) % 23 != 0, F.date_add(
+            l("po_date"), (F.lit(1) + (l("l_partkey") * 7 + l("l_suppkey") * 13 + l("l_linenumber")) % 45)
+            .cast("int"))).alias("receipt_date"),
     )
 
 

@@ -8,7 +8,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from riskloom.streaming.runner import materialize
 
 # Formats accepted in the landing zone.
 SUPPORTED_FORMATS = (".csv", ".json", ".jsonl", ".parquet")
@@ -54,6 +56,30 @@ def read_landing(spark: SparkSession, path: str, fmt: str | None = None,
     return df.limit(max_rows) if max_rows else df
 
 
+def read_landing_checked(spark: SparkSession, path: str, fmt: str, schema: StructType,
+                         corrupt_col: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejects) of CSV or JSON files read with a declared schema.
+
+    A reject is the raw text of a record that doesn't fit the schema (bad
+    value, missing or surplus field). Good rows and rejects together are all
+    records.
+    """
+    if fmt not in ("csv", "jsonl", "json"):
+        raise ValueError(f"{fmt} has no corrupt records")
+    wide = StructType([*schema.fields, StructField(corrupt_col, StringType())])
+    r = (spark.read.option("recursiveFileLookup", "true").schema(wide).option("mode", "PERMISSIVE")
+         .option("columnNameOfCorruptRecord", corrupt_col))
+    if fmt == "csv":
+        # Surplus and missing fields are seen only if the parser reads every column.
+        df = r.option("header", "true").option("enforceSchema", "true").option("emptyValue", "").csv(path)
+    else:
+        df = r.option("multiLine", str(fmt == "json").lower()).json(path)
+    # Parsed once into a stored table: a plan that prunes columns would not see faults in the others.
+    parsed = materialize(df, "landing-checked")
+    bad = F.col(corrupt_col).isNotNull()
+    return parsed.where(~bad).drop(corrupt_col), parsed.where(bad).select(corrupt_col)
+
+
 def raw_view(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """External-table equivalent: a temp view over the landed files."""
     df.createOrReplaceTempView(name)

@@ -4,25 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # Write dispositions and their Spark save modes.
 DISPOSITIONS = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append", "WRITE_EMPTY": "empty",
-                "overwrite": "overwrite", "append": "append", "empty": "empty"}
+                "REPLACE_PARTITIONS": "partitions",
+                "overwrite": "overwrite", "append": "append", "empty": "empty", "partitions": "partitions"}
 
 
 def _has_data(spark: SparkSession, path: str, fmt: str) -> bool:
+    """Whether a table has rows; a path that doesn't exist (or has no files) has none, any other error is raised."""
     try:
         return not spark.read.format(fmt).load(path).isEmpty()
-    except Exception:  # noqa: BLE001 - a missing path is an empty table
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
                 cluster_by: Sequence[str] = (), schema: StructType | None = None,
                 fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> str:
-    """Write with a disposition: overwrite (truncate) / append / empty (fail if data exists).
+    """Write with a disposition: overwrite (truncate) / append / empty (fail if data exists) / partitions.
+
+    Truncate replaces the whole table, whatever the session's overwrite mode;
+    ``partitions`` replaces only the partitions that df has.
 
     Partitioned writes use the REBALANCE hint on the partition columns: one
     hash shuffle whose oversized partitions (a hot date) AQE splits at
@@ -31,12 +39,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     sampling job re-runs the upstream plan (as range partitioning would).
     Rows are sorted by (partition, cluster) columns inside each task, so
     files are clustered and row-group min/max prune on the cluster keys.
-    With dynamic partition overwrite only the partitions present are replaced.
     """
     save_mode = DISPOSITIONS.get(mode)
     if save_mode is None:
         raise ValueError(f"unknown write disposition {mode!r}")
     spark = df.sparkSession
+    dynamic = save_mode == "partitions"
+    if dynamic:
+        if not partition_by:
+            raise ValueError("REPLACE_PARTITIONS needs partition columns")
+        save_mode = "overwrite"
     if save_mode == "empty":
         if _has_data(spark, path, fmt):
             raise ValueError(f"destination {path} is not empty (WRITE_EMPTY)")
@@ -51,7 +63,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
         out = out.sortWithinPartitions(*keys)
     w = out.write.mode(save_mode).format(fmt).option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     w.save(path)
     return path
 
@@ -73,5 +85,5 @@ def write_predictions(df: DataFrame, path: str, fmt: str = "jsonl") -> str:
 
 def write_report(df: DataFrame, path: str) -> str:
     """Report rows (one row per check) as JSON Lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
     return path

@@ -7,7 +7,7 @@ expressions only, so the same code runs on ``read`` and ``readStream``.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,7 +56,7 @@ def parse_envelope(messages: DataFrame) -> DataFrame:
 def validate_events(envelopes: DataFrame, config: Mapping[str, dict] = TOPIC_CONFIG) -> DataFrame:
     """errors: missing type, empty payload (-> invalid); warning: type not expected for topic."""
     et = F.col("event_type")
-    empty = F.col("payload").isNull() | F.col("payload").rlike(r"^\s*\{\s*\}\s*$")
+    empty = F.col("payload").isNull() | F.col("payload").rlike(r'^\s*(\{\s*\}|\[\s*\]|null|"")?\s*$')
     errors = F.concat_ws(";", F.when(et == UNKNOWN, F.lit("missing_event_type")),
                          F.when(empty, F.lit("empty_payload")))
     allowed = _topic_types_map(config)[F.col("topic")]
@@ -80,14 +80,14 @@ def route_events(envelopes: DataFrame, config: Mapping[str, dict] = TOPIC_CONFIG
 
 
 def parse_inventory_events(envelopes: DataFrame, run_ts: dt.datetime,
-                           type_map: Mapping[str, str] | None = None) -> DataFrame:
+                           type_map: Mapping[str, str] | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Payload JSON -> inventory transaction rows with parse status and reasons.
 
     transaction_id = payload.transaction_id or payload.id; transaction_type
     = payload.event_type or payload.transaction_type; quantity truncated to
     an integer (blank = missing). Timestamp: payload.timestamp, else the
     message publish time. Rows that cannot be used are kept with reasons
-    (dead-letter output), never raised.
+    (dead-letter output), never raised. ``carry``: envelope columns to keep.
     """
     p = F.col("payload")
     f = F.json_tuple(p, "transaction_id", "id", "sku_id", "vendor_id", "quantity", "event_type",
@@ -98,14 +98,18 @@ def parse_inventory_events(envelopes: DataFrame, run_ts: dt.datetime,
     def blank_null(c: str) -> Column:
         return F.nullif(F.trim(F.col(c)), F.lit(""))
 
-    qty_d = blank_null("j_qty").try_cast("double")
+    number = blank_null("j_qty").try_cast("double")
+    # Not a number, infinite or beyond a long: no quantity, so the row is rejected with a reason.
+    qty_d = F.when(~F.isnan(number) & (F.abs(number) < F.lit(float(2**63))), number)
     ttype = F.coalesce(blank_null("j_event_type"), blank_null("j_ttype"))
     if type_map:
         m = F.create_map(*[x for k, v in type_map.items() for x in (F.lit(k), F.lit(v))])
         ttype = F.coalesce(m[ttype], ttype)
-    ts = F.coalesce(blank_null("j_ts").try_cast("timestamp_ntz"), F.col("publish_time").cast("timestamp_ntz"))
+    # With an offset: converted to the session's clock (UTC); without: taken as it is.
+    own_ts = blank_null("j_ts").try_cast("timestamp").cast("timestamp_ntz")
+    ts = F.coalesce(own_ts, F.col("publish_time").cast("timestamp_ntz"))
     rows = parsed.select(
-        "message_id", "topic",
+        "message_id", "topic", *carry,
         F.coalesce(blank_null("j_tid"), blank_null("j_id")).alias("transaction_id"),
         blank_null("j_sku").alias("sku_id"),
         blank_null("j_vendor").alias("vendor_id"),
@@ -115,14 +119,16 @@ def parse_inventory_events(envelopes: DataFrame, run_ts: dt.datetime,
         ts.alias("transaction_timestamp"),
         F.col("payload_is_json"),
         blank_null("j_qty").alias("__qty_text"),
+        (blank_null("j_ts").isNotNull() & own_ts.isNull()).alias("__bad_ts"),
     )
     reasons = F.concat_ws(";", F.when(~F.col("payload_is_json"), F.lit("unparseable_payload")),
                           F.when(F.col("__qty_text").isNotNull() & F.col("quantity").isNull(),
                                  F.lit("bad_quantity")),
+                          F.when(F.col("__bad_ts"), F.lit("bad_timestamp")),
                           *[F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in REQUIRED_FIELDS])
     return (rows.withColumn("reject_reasons", reasons)
             .withColumn("is_valid", F.col("reject_reasons") == "")
-            .drop("__qty_text", "payload_is_json"))
+            .drop("__qty_text", "__bad_ts", "payload_is_json"))
 
 
 def enrich_stream_rows(rows: DataFrame, run_id: str, run_ts: dt.datetime, source_system: str = "sage100") -> DataFrame:
@@ -142,6 +148,14 @@ def ingest_events(messages: DataFrame, run_id: str, run_ts: dt.datetime) -> Data
     return enrich_stream_rows(rows, run_id, run_ts)
 
 
+def ingest_outcomes(messages: DataFrame, run_id: str, run_ts: dt.datetime,
+                    max_attempts: int = MAX_DELIVERY_ATTEMPTS) -> DataFrame:
+    """Ingested rows with ``status``: ok, retry (rejected, attempts left) or dead_letter (rejected, attempts used)."""
+    env = parse_envelope(messages)
+    rows = enrich_stream_rows(parse_inventory_events(env, run_ts, carry=("delivery_attempt",)), run_id, run_ts)
+    return dead_letter_split(rows, max_attempts)
+
+
 INGEST_COLUMNS = ("message_id", "topic", "transaction_id", "sku_id", "vendor_id", "quantity",
                   "transaction_type", "transaction_timestamp", "reject_reasons", "is_valid",
                   "source_system", "ingestion_date", "pipeline_run_id", "_ingested_at")

@@ -100,6 +100,17 @@ def write_routed(stream_df: DataFrame, base: str, checkpoint: str, route_col: st
     return start_foreach_batch(stream_df, sink, checkpoint)
 
 
+def run_outcomes(stream_df: DataFrame, name: str, status_col: str = "status") -> DataFrame:
+    """Run a stream of rows with a status to completion; one table (folder) per status, read back together."""
+    spark = stream_df.sparkSession
+    base = shared_dir(spark, name)
+    q = write_routed(stream_df, f"{base}/data", f"{base}/_checkpoint", status_col)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(stream_df.schema).parquet(f"{base}/data")
+
+
 def consume_counters(stream_df: DataFrame, statuses: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
     """Per-micro-batch counters: ``statuses`` maps a batch to (status) rows; each batch appends
     (batch_id, status, n_messages) to a counters table in the shared folder, read back at the end."""

@@ -87,7 +87,7 @@ def test_front_coding_and_loser_tree():
 def test_reaches_equal_all_pairs():
     rng = random.Random(6)
     for _ in range(200):
-        n = rng.randint(2, 9)
+        n = rng.randint(2, 14)
         both = sorted((bytes(rng.choices(b"ab", k=10)), bytes(rng.choices(b"ab", k=rng.randint(0, 8)))) for _ in range(n))
         rights, lefts = [b[0] for b in both], [b[1] for b in both]
         got = reaches([0] + [common(a, b) for a, b in zip(rights, rights[1:])], lefts, 12)

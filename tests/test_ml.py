@@ -8,7 +8,7 @@ from riskloom.session import shared_dir
 def test_training_run_and_batch_score(spark, x001):
     feats = x001.training_features
     reg = shared_dir(spark, "reg")
-    rep = run_training(spark, feats, reg, "run-1", x001.run_ts, force_register=True).first()
+    rep = run_training(spark, feats, reg, "run-1", x001.run_ts, threshold=0.0, baseline=-1.0).first()
     assert rep.train_rows > 0 and rep.test_rows > 0 and rep.registered
     assert 0.0 <= rep.f1_score <= 1.0
     scored = score_latest(spark, reg, ml.engineer(x001.features), x001.run_ts)

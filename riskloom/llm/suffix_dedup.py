@@ -24,9 +24,12 @@ suffix array), each with the ``SPAN - 1`` bytes to its left.
    other one, the bytes [-L, R) around the anchor go if L + R >= length. Levels
    of R from high to low, with the left parts in sorted order, give the
    widest reach of each suffix without forming pairs.
-6. A cluster of more than ``cluster_limit`` different contexts is not held
-   in one task: all its ``length``-byte strings around the anchors are counted
-   by 128-bit hash in one more aggregation, which is exact in the same sense.
+6. A cluster of more than ``cluster_limit`` different contexts is compared
+   in pieces of that many; what a piece shows is known at once. Against the
+   other pieces its strings are counted by 128-bit hash in two steps: blocks of
+   ``BLOCK`` consecutive strings by the bytes they all share, then the single
+   strings of blocks that occur twice. A block that the piece has decided goes
+   in once for all contexts with the same strings.
 
 Texts are read by several steps of one plan, from one exchange. Defined
 results: a null or empty text has nothing to remove; texts shorter than
@@ -54,6 +57,7 @@ SPAN = 300
 GRAM = 24
 CLUSTER_LIMIT = 20_000
 SMALL = 6
+BLOCK = 16
 RUN_BYTES = 48 << 20
 BUCKETS_PER_PARTITION = 8
 _TABLE32 = np.random.default_rng(5).integers(1, 2**32, 256, dtype=np.uint32) | np.uint32(1)
@@ -287,7 +291,7 @@ def _small_reaches(common_right: list[int], lefts: list[bytes], length: int) ->
 
 
 class Clusters:
-    """Turns the merged order of a bucket into removed parts, or strings to count for large clusters."""
+    """Turns the merged order of a bucket into removed parts, and blocks of strings to count for large clusters."""
 
     def __init__(self, length: int, span: int, limit: int):
         self.length, self.span, self.limit = length, span, limit
@@ -299,7 +303,7 @@ class Clusters:
         self.large = False
 
     def rows(self, merged) -> Iterator[tuple[bytes, int, int, bytes | None]]:
-        """(key, from, to, None) for a removed part; (key, from, to, hash) for a string to count."""
+        """(key, from, to, None) for a removed part; (key, from, to, hash) for a block of strings to count."""
         shared, last = self.length - self.span + 1, None
         for n, s, (key, at, flags, left) in merged:
             if n < shared:
@@ -326,14 +330,26 @@ class Clusters:
         yield from self.done()
 
     def count_strings(self):
-        for (key, at, right), left, known in zip(self.who, self.lefts, self.known):
-            around = left[::-1] + right
-            for p in range(len(around) - self.length + 1):
-                lo = at - len(left) + p
-                h = hashlib.blake2b(around[p:p + self.length], digest_size=16).digest()
-                yield key, lo, lo + self.length, h
-            if known and len(around) >= self.length:
-                yield key, at - len(left), at + len(right), None
+        """The removed parts found within this piece of a large cluster, and its blocks to count against the others."""
+        offered: set[bytes] = set()
+        for reach, left, (key, at, right), known in zip(
+                reaches(self.right, self.lefts, self.length), self.lefts, self.who, self.known):
+            low, high = max(0, self.length - len(right)), len(left)
+            if low > high:
+                continue
+            if known:
+                reach = len(left), len(right)
+            if reach:
+                yield key, at - reach[0], at + reach[1], None
+            for s in range(low - low % BLOCK, high + 1, BLOCK):
+                first, last = max(low, s), min(high, s + BLOCK - 1)
+                whole = _digest(left[:last], right[:self.length - first], s, first, last)
+                if reach and last <= reach[0] and self.length - first <= reach[1]:
+                    if whole in offered:
+                        continue
+                    offered.add(whole)
+                shared = max(0, self.length - s - BLOCK + 1)
+                yield key, at - last, at - first + self.length, _digest(left[:s], right[:shared], s)
         self.right, self.lefts, self.who, self.known = [], [], [], []
 
     def done(self):
@@ -350,6 +366,10 @@ class Clusters:
         self.clear()
 
 
+def _digest(left: bytes, right: bytes, *place: int) -> bytes:
+    return hashlib.blake2b(left + right, digest_size=16, salt=struct.pack(f"<{len(place)}I", *place)).digest()
+
+
 _PARTS = pa.schema([("bucket", pa.int32()), ("key", pa.binary()), ("lo", pa.int64()), ("hi", pa.int64()),
                     ("blob", pa.binary())])
 
@@ -448,13 +468,35 @@ def repeats(texts: DataFrame, length: int = LENGTH, span: int = SPAN, cluster_li
     return out
 
 
-def _ranges(found: DataFrame) -> DataFrame:
-    """(key, spans) of each text with repeats; strings of large clusters are counted by hash here."""
+def _strings(texts: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
+    """(key, lo, hi) of the strings in the blocks that occur twice."""
+    again = blocks.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("blob")
+    asked = blocks.join(again, "blob", "left_semi").groupBy("key").agg(
+        F.collect_list(F.struct("lo", "hi")).alias("blocks"))  # a text's own blocks
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of() -> Iterator[dict]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    key, raw = batch.column(0)[k].as_py(), batch.column(1)[k].as_py().encode()
+                    starts = {at for x in batch.column(2)[k].as_py() for at in range(x["lo"], x["hi"] - length + 1)}
+                    for at in sorted(starts):
+                        h = hashlib.blake2b(raw[at:at + length], digest_size=16).digest()
+                        yield {"key": key, "lo": at, "hi": at + length, "blob": h}
+        yield from _batches(rows_of(), pa.schema([_PARTS.field(n) for n in ("key", "lo", "hi", "blob")]))
+    counted = written(texts.join(asked, "key").select("key", "text", "blocks").mapInArrow(
+        run, "key binary, lo long, hi long, blob binary"), "repeat-strings")
+    twice = counted.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("blob")
+    return counted.join(twice, "blob", "left_semi").select("key", "lo", "hi")
+
+
+def _ranges(found: DataFrame, texts: DataFrame, length: int) -> DataFrame:
+    """(key, spans) of each text with repeats; blocks of large clusters are counted here."""
     out = written(found, "repeats")
-    counted = out.where("blob is not null").select("blob", "key", "lo", "hi").distinct()
-    again = counted.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("blob")
-    plain = out.where("blob is null").select("key", "lo", "hi")
-    both = plain.unionByName(counted.join(again, "blob", "left_semi").select("key", "lo", "hi"))
+    both = out.where("blob is null").select("key", "lo", "hi")
+    blocks = out.where("blob is not null").select("blob", "key", "lo", "hi").distinct()
+    if not blocks.isEmpty():
+        both = both.unionByName(_strings(texts, blocks, length))
     return both.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))  # a text's own ranges
 
 
@@ -483,7 +525,7 @@ def dedup(docs: DataFrame, text_col: str = "text", out_col: str = "dedup", lengt
           with_text: bool = True, **options) -> DataFrame:
     """The columns of docs but the text, plus a struct: n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
     texts = _texts(docs, text_col)
-    spans = _ranges(repeats(texts, length, span, **options))
+    spans = _ranges(repeats(texts, length, span, **options), texts, length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

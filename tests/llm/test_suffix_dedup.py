@@ -51,7 +51,7 @@ def _corpus(seed, n, alphabet="ab é\n"):
     return texts + texts[:3] + [None, "", "q" * 500, "ab" * 30]
 
 
-@pytest.mark.parametrize("seed,limit,run_bytes", [(1, 20_000, 1 << 20), (2, 20_000, 4_000), (3, 3, 4_000)])
+@pytest.mark.parametrize("seed,limit,run_bytes", [(1, 20_000, 1 << 20), (2, 20_000, 4_000), (3, 3, 4_000), (4, 9, 4_000)])
 def test_small_alphabets_many_overlaps(spark, seed, limit, run_bytes):
     texts = _corpus(seed, 60)
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, Key string")

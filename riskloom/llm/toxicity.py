@@ -6,8 +6,10 @@ logistic curve over a text's clause scores is calibrated on one training
 fold with a lexicon of the others; the final lexicon is of all. The rows are a bounded sample: at most
 ``sample_rows`` per label, taken by a hash of the id; near copies (equal
 least hash over 5-word shingles) count once, so one copied text cannot make
-its words look toxic. The model is small: at most ``max_entries`` words and
-stems.
+its words look toxic. Each calibration row weighs as many training rows of
+its label as it stands for, so the curve holds the table's rate of toxic
+texts whatever the sample's is. The model is small: at most ``max_entries``
+words and stems.
 
 ``score``: one narrow pass over all texts. Words of a text are looked up;
 clauses with an insult or a threat verb go through the composed grammar
@@ -115,24 +117,30 @@ def _distinct_key(text: str) -> int:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows: int) -> DataFrame:
-    """(text, toxic, part): a bounded sample of training rows of either label, near copies once."""
+    """(text, toxic, calibrate, weight): a bounded sample of training rows of either label, near copies once.
+
+    The weight is the number of training rows of the label over the number sampled.
+    """
     known = (labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
              .where("__id is not null and toxic in (0, 1)").where(fold("__id") != HELD_OUT)
              .groupBy("__id").agg(F.max("toxic").alias("toxic")))
     mixed = F.xxhash64("__id")
+    totals = dict(known.groupBy("toxic").count().collect())  # two numbers
     picked = None
     for label in (0, 1):
         part = known.where(F.col("toxic") == label).orderBy(mixed, "__id").limit(rows)
         picked = part if picked is None else picked.unionByName(part)
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
+    weight = [F.lit(max(1.0, totals.get(label, 0) / rows)) for label in (0, 1)]
     joined = texts.join(picked, F.col("doc_id") == F.col("__id")).select(
-        "text", "toxic", (fold("__id") == CALIBRATION_FOLD).alias("calibrate"))
+        "text", "toxic", (fold("__id") == CALIBRATION_FOLD).alias("calibrate"),
+        F.when(F.col("toxic") == 0, weight[0]).otherwise(weight[1]).alias("weight"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = pa.array([_distinct_key(t) for t in batch.column(0).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "key"])
-    return written(joined.mapInArrow(keyed, "text string, toxic int, calibrate boolean, key long").dropDuplicates(
+    return written(joined.mapInArrow(keyed, "text string, toxic int, calibrate boolean, weight double, key long").dropDuplicates(
         ["key", "toxic"]), "toxicity-sample")
 
 
@@ -179,22 +187,22 @@ def _lexicon(sample: DataFrame, max_entries: int, min_share: float, least_odds:
 
 
 def _calibrated(model: Model, rows: DataFrame) -> Model:
-    """Logistic curve over the clause scores of the sample's calibration rows (numbers only reach the driver)."""
+    """Logistic curve over the weighted clause scores of the sample's calibration rows (numbers only reach the driver)."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_terms(shared.value.features(t)) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"x": found, "y": batch.column(1).to_pylist()})
-    data = rows.select("text", "toxic").mapInArrow(run, "x array<double>, y long").collect()
-    y = np.array([r.y for r in data], dtype=float)
+            yield pa.RecordBatch.from_pydict({"x": found, "y": batch.column(1).to_pylist(), "w": batch.column(2).to_pylist()})
+    data = rows.select("text", "toxic", "weight").mapInArrow(run, "x array<double>, y long, w double").collect()
+    y, w = np.array([r.y for r in data], dtype=float), np.array([r.w for r in data])
     if not len(y) or y.min() == y.max():
         return model
     x, beta = np.array([r.x for r in data]), np.zeros(4)
     penalty = np.diag([1e-6, 0.1, 0.1, 0.1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ beta)
+        step = np.linalg.solve((x * (w * p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, x.T @ (w * (y - p)) - penalty @ beta)
         beta += np.clip(step, -2, 2)
     return Model(model.words, model.stems, tuple(beta), model.threshold)
 

@@ -65,3 +65,14 @@ def test_edges(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [1, 2, 3, 3, 4]
     assert drop_toxic(docs.limit(0), labels).count() == 0
     assert drop_toxic(docs, labels.limit(0)).count() == 5
+
+
+def test_a_small_sample_keeps_the_rate_of_the_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    whole, few = ({r.doc_id: r.toxicity.predicted for r in score(docs, fit(docs, labels, sample_rows=n)).collect()}
+                  for n in (6000, 300))
+    n = sum(whole.values())
+    # A smaller lexicon finds less; a curve of the sample's own rate would call many clean texts toxic.
+    assert sum(few[i] > whole[i] for i in whole) < 0.03 * n
+    assert sum(few[i] != whole[i] for i in whole) < 0.15 * n

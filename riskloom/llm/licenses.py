@@ -16,8 +16,9 @@ is verified on the word sets. The template side is a fixed list, so its
 vocabulary, ranks and index are small whatever the corpus is; on the corpus
 side only words of that vocabulary are kept (they alone can be common).
 
-Of the templates that a block meets, those count that have the most words
-in common with it. Defined results: a null or empty text has no words, no
+Every template that a block meets counts, but for one whose words are all
+among those of another met template with another label (cc-by under
+cc-by-nc). Defined results: a null or empty text has no words, no
 labels and score 0; repeated rows give a row each; an empty table none.
 """
 
@@ -96,6 +97,11 @@ def need(template: Template, threshold: float = THRESHOLD) -> int:
     return ceil(threshold * len(template.words()) - 1e-9)
 
 
+def wider(template: Template, templates: tuple[Template, ...]) -> list[int]:
+    """Numbers of the templates of another label that hold all words of this one and more."""
+    return [k for k, t in enumerate(templates) if t.label != template.label and set(template.words()) < set(t.words())]
+
+
 def folded(text: Column) -> Column:
     """Text (null: empty) with A-Z lower-cased."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
@@ -179,10 +185,11 @@ def _similar(base: DataFrame, templates: tuple[Template, ...], threshold: float)
         words = sorted(t.words(), key=rank.get)
         least = need(t, threshold)
         for k, w in enumerate(words[:len(words) - least + 1]):
-            index.append((w, k, number, t.label, words, least, sorted(t.names.split()), len(words) > LINE_TOKENS))
+            index.append((w, k, number, t.label, words, least, sorted(t.names.split()), len(words) > LINE_TOKENS,
+                          wider(t, templates)))
     prefixes = F.broadcast(spark.createDataFrame(
         index, "word string, i int, template int, label string, t_words array<string>, least int, "
-               "names array<string>, long boolean"))
+               "names array<string>, long boolean, wider array<int>"))
 
     ranked = F.create_map(*[x for w, k in rank.items() for x in (F.lit(w), F.lit(k))])
     whole = F.struct(F.array_distinct(F.flatten("blocks.hits")).alias("hits"),
@@ -201,11 +208,8 @@ def _similar(base: DataFrame, templates: tuple[Template, ...], threshold: float)
     met = (pairs.withColumn("common", common)
            .where((F.col("common") >= F.col("least")) & (F.size(F.array_except("names", "hits")) == 0))
            .withColumn("score", F.col("common") / F.size("t_words"))
-           .groupBy("rid", "block").agg(F.max(F.struct("common", "score")).alias("best"), F.collect_set(
-               F.struct("common", "label")).alias("all")))  # at most one entry a template
-    met = met.select("rid", "best.score", F.transform(
-        F.filter("all", lambda x: x["common"] == F.col("best.common")), lambda x: x["label"]).alias("labels"))
-    one = met.select("rid", "score", F.explode("labels").alias("label")).groupBy("rid", "label").agg(
-        F.max("score").alias("score"), F.count(F.lit(1)).alias("n"))
+           .groupBy("rid", "block").agg(F.collect_set(F.struct("template", "label", "score", "wider")).alias("all")))
+    met = met.select("rid", F.filter("all", lambda x: ~F.arrays_overlap(x["wider"], "all.template")).alias("kept"))
+    one = met.select("rid", F.explode("kept").alias("t")).select("rid", "t.label", "t.score")
     blocks = met.groupBy("rid").agg(F.count(F.lit(1)).alias("n_blocks"))
     return one.groupBy("rid").agg(F.collect_set("label").alias("labels"), F.max("score").alias("score")).join(blocks, "rid")

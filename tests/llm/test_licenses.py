@@ -1,6 +1,6 @@
 """License scan: phrases and templates on texts with known answers."""
 
-from riskloom.llm.licenses import Template, scan
+from riskloom.llm.licenses import TEMPLATES, Template, scan
 
 
 def _scan(spark, texts, **k):
@@ -43,3 +43,14 @@ def test_notice_over_lines_and_empty_table(spark):
     got = _scan(spark, [notice, notice])
     assert got[0].labels == got[1].labels == "apache-2" and got[0].n_blocks == 2
     assert scan(spark.createDataFrame([], "doc_id int, text string")).count() == 0
+
+
+def test_every_notice_of_a_block_counts(spark):
+    mit, apache, bsd = (next(t.text for t in TEMPLATES if t.label == x and len(t.words()) > 20) for x in ("mit", "apache-2", "bsd"))
+    got = _scan(spark, [f"{mit}\n\n{bsd}", f"{apache}\n{mit}\n{bsd}",
+                        "Licensed under the Apache License, Version 2.0. All rights reserved.",
+                        "licensed under cc by nc 4.0", "licensed under cc by 4.0", "licensed under cc by nc sa 4.0",
+                        "licensed under the gnu affero general public license version 3"])
+    assert [got[i].labels for i in range(len(got))] == [
+        "bsd,mit", "apache-2,bsd,mit", "all-rights-reserved,apache-2", "cc-by-nc", "cc-by", "cc-by-nc,cc-by-sa", "agpl-3"]
+    assert got[2].n_blocks == 1

@@ -1,7 +1,8 @@
 """Quality rules: compression bands, with repetition counts beside them.
 
-A text is compressed with zstandard as a whole and in fixed chunks; the
-ratio (bytes / compressed bytes) must lie in a band that depends on the
+A text is compressed with zstandard as a whole and in fixed chunks that
+cover all of it (the last one ends at the text's end and may overlap the one
+before; a text shorter than a chunk has none); the ratio (bytes / compressed bytes) must lie in a band that depends on the
 length, because short texts compress less. Above the band a text repeats
 itself, below it looks random. A text also fails if too large a share of
 its chunks lies outside the chunk band (a repetitive or random part inside
@@ -94,7 +95,10 @@ def verdict(raw: bytes, bands: Bands, zip_: zstandard.ZstdCompressor) -> tuple[f
     ratio = len(raw) / len(zip_.compress(raw))
     low, high = bands.of(len(raw))
     size, n, bad = bands.chunk_bytes, 0, 0
-    for lo in range(0, len(raw) - size + 1, size):
+    starts = [*range(0, len(raw) - size + 1, size)]
+    if starts and len(raw) % size:
+        starts.append(len(raw) - size)
+    for lo in starts:
         r = size / len(zip_.compress(raw[lo:lo + size]))
         n += 1
         bad += not bands.chunk_low <= r <= bands.chunk_high

@@ -73,3 +73,17 @@ def test_plain_prose_passes():
     for size in (30, 200, 2_000, 20_000):
         words = ["".join(rng.choices(syll, k=rng.randint(1, 4))) for _ in range(size)]
         assert verdict(" ".join(words).encode(), Bands(), zstandard.ZstdCompressor(level=3))[3] == ""
+
+
+def test_bad_part_only_in_the_tail():
+    rng, zip_ = __import__("random").Random(4), zstandard.ZstdCompressor(level=3)
+    syll = "ka lo mi tu re san vel tor din pra sho ne wi ga".split()
+    plain = " ".join("".join(rng.choices(syll, k=rng.randint(1, 4))) for _ in range(2_000)).encode()
+    noise = bytes(33 + rng.randrange(90) for _ in range(1_952))
+    raw = plain[:2_048] + noise
+    low, high = Bands().of(len(raw))
+    assert low <= len(raw) / len(zip_.compress(raw)) <= high  # as a whole it passes
+    assert verdict(raw, Bands(), zip_)[1:] == (2, 1, "chunks")
+    assert verdict(plain[:4_096], Bands(), zip_)[1:] == (2, 0, "")
+    assert verdict(plain[:4_097], Bands(), zip_)[1:] == (3, 0, "")
+    assert verdict(plain[:2_047], Bands(), zip_)[1:] == (0, 0, "")

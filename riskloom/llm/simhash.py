@@ -128,6 +128,12 @@ def _verified(query: DataFrame, table: DataFrame, keys: list[str], max_bits: int
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3,
                     words_per_shingle: int = 3, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """A row per document: doc_id, text_hash (XXH64), fp (signed long), component_id (smallest linked doc_id)."""
+    return _rooted(docs, id_col, text_col, max_bits, words_per_shingle, bucket_limit).drop("root")
+
+
+def _rooted(docs: DataFrame, id_col: str, text_col: str, max_bits: int = 3, words_per_shingle: int = 3,
+            bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """The rows of near_duplicates plus root: a fingerprint of each component, its own whatever the ids are."""
     text = F.col(f"`{text_col}`")
     ids = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
                       text.alias("text"))
@@ -139,8 +145,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = named.join(roots.select("root").distinct(), "root", "left_semi")
     lowest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = named.join(lowest, "root", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return rows.join(of_class, "fp").select("doc_id", "text_hash", "fp", "component_id")
+        "fp", "root", F.coalesce("component_id", "first_id").alias("component_id"))
+    return rows.join(of_class, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -149,15 +155,20 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     If several rows of a component have that id, one of them stays (smallest
     text hash). Components without any id can't be named; all their rows stay.
     """
-    found = written(near_duplicates(docs, id_col, text_col, **options), "near-duplicates")
+    found = written(_rooted(docs, id_col, text_col, **options), "near-duplicates")
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
     here, text_hash = F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     gone = found.where(F.col("component_id").isNotNull() & ~own).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     left = docs.join(gone, here.eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
-    # Ids that several rows of one component bear; usually none.
-    again = found.where(F.col("component_id").isNotNull() & own).groupBy(F.col("component_id").alias("__id")).agg(
-        F.min("text_hash").alias("__hash"), F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__id", "__hash")
-    once = left.join(again.select("__id"), here == F.col("__id"), "left_anti")
-    repeated = left.join(again, (here == F.col("__id")) & (text_hash == F.col("__hash"))).drop("__id", "__hash")
-    return once.unionByName(repeated.dropDuplicates([id_col]))
+    # Ids that several rows of one component bear; usually none. Another component may have the same id.
+    owners = found.where(F.col("component_id").isNotNull() & own)
+    again = owners.groupBy("root", "doc_id").agg(
+        F.min("text_hash").alias("__low"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+    copies = owners.join(again, ["root", "doc_id"]).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
+        (F.col("text_hash") == F.col("__low")).alias("__first")).distinct()
+    same = (here == F.col("__id")) & (text_hash == F.col("__hash"))
+    once = left.join(copies, same, "left_anti")
+    repeated = left.join(copies.where("__first").drop("__first"), same)
+    return once.unionByName(repeated.dropDuplicates([id_col, "__hash"]).drop("__id", "__hash"))

@@ -82,6 +82,18 @@ def test_edge_rows(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_components_with_one_id(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    other = "some wholly unrelated words about rivers and the boats that sail on them"
+    docs = [(7, text, 1), (7, text.upper(), 2), (7, other, 3), (7, other, 4), (8, text, 5), (7, "third text here", 6),
+            (9, "fourth", 7)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, n int")
+    kept = deduplicate(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text.lower()) for r in kept.collect()) == [
+        (7, text), (7, other), (7, "third text here"), (9, "fourth")]
+
+
 def test_components_of_long_paths(spark):
     links = [(k, k + 1) for k in range(300)] + [(1000, 1001), (1001, 1000), (2000 + 7, 2000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

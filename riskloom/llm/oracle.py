@@ -43,6 +43,25 @@ FROM p LEFT JOIN o USING (payload_digest)
 """
 
 
+# All (item, document) pairs that share a term, scored in whole numbers.
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format(t="coalesce(text, '')")} AS w FROM documents),
+per_doc AS (SELECT rid, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_words FROM per_doc),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM df, total),
+items AS (SELECT DISTINCT item_id, unnest({_WORDS.format(t="coalesce(text, '')")}) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, rid,
+                  CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words)))) AS BIGINT) AS score
+           FROM items JOIN weights USING (term) JOIN tf USING (term) JOIN per_doc USING (rid), total
+           GROUP BY item_id, doc_id, rid),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS r
+           FROM scored WHERE score > 0)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 50
+"""
+
+
 def _op2() -> str:
     """All (block, template) pairs compared directly, without any filter."""
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
@@ -78,4 +97,4 @@ FROM docs LEFT JOIN base USING (rid) LEFT JOIN sim USING (rid)
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op2_licenses": _op2(), "op9_warc": OP9}
+    return {"op1_decontaminate": OP1, "op2_licenses": _op2(), "op9_warc": OP9, "op11_ranked_search": OP11}

@@ -13,6 +13,7 @@ from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
 from riskloom.llm.licenses import scan
 from riskloom.llm.quality import assess
+from riskloom.llm.ranked_search import rank
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.suffix_dedup import dedup
 from riskloom.llm.token_counts import count_edited
@@ -86,9 +87,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (toxicity.fold("doc_id") == toxicity.HELD_OUT).alias("held_out"), "toxicity.score", "toxicity.predicted")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("document").alias("doc_id"), "score")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op3_token_counts": op3_token_counts,
             "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
             "op6_simhash": op6_simhash,
             "op7_suffix_dedup": op7_suffix_dedup, "op8_bm25_packing": op8_bm25_packing, "op9_warc": op9_warc,
-            "op10_toxicity": op10_toxicity}
+            "op10_toxicity": op10_toxicity, "op11_ranked_search": op11_ranked_search}

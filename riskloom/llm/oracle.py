@@ -62,6 +62,37 @@ SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <=
 """
 
 
+# crc32 of a short text in SQL: eight steps of the polynomial for each byte.
+_CRC32 = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len({t})), lambda k: ascii({t}[k + 1])::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384)))"""
+
+# Every prefix of every rebuilt conversation, grouped; subtrees by prefix.
+OP12 = f"""
+WITH turns AS (SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, octet_length(encode(coalesce(text, ''))) AS bytes,
+                 substr(sha256(CAST(octet_length(encode(coalesce(role, ''))) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')),
+                        1, 32) AS digest FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS d, list(bytes ORDER BY turn NULLS FIRST, digest) AS b
+          FROM turns GROUP BY conv_id),
+heads AS (SELECT conv_id, d, b, CAST(xor({_CRC32.format(t="CAST(conv_id AS VARCHAR)")}, 4294967295) % 9 AS BIGINT) AS h FROM convs),
+paths AS (SELECT c.conv_id, list_concat(coalesce(f.d[1:h], []), c.d[h + 1:]) AS d, list_concat(coalesce(f.b[1:h], []), c.b[h + 1:]) AS b
+          FROM heads c LEFT JOIN convs f ON f.conv_id = c.conv_id - c.conv_id % 5),
+steps AS (SELECT conv_id, len(d) AS size, k AS depth, array_to_string(d[1:k], '') AS node,
+                 CASE WHEN k > 0 THEN array_to_string(d[1:k - 1], '') END AS parent, CASE WHEN k > 0 THEN b[k] ELSE 0 END AS bytes
+          FROM paths, LATERAL (SELECT unnest(range(len(d) + 1)) AS k)),
+nodes AS (SELECT node, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+                 sha256(coalesce(string_agg(CASE WHEN size = depth THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+          FROM steps GROUP BY node, parent, depth),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+above AS (SELECT substr(n.node, 1, CAST(k AS INTEGER) * 32) AS node, (n_convs - 1) * bytes AS saved, (kids.node IS NULL)::INT AS leaf
+          FROM nodes n LEFT JOIN kids USING (node), LATERAL (SELECT unnest(range(n.depth + 1)) AS k)),
+sums AS (SELECT node, sum(saved) AS saved, sum(leaf) AS leaves FROM above GROUP BY node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       n.ends_sha256
+FROM nodes n JOIN sums USING (node) LEFT JOIN kids USING (node) LEFT JOIN nodes p ON p.node = n.parent
+"""
+
+
 def _op2() -> str:
     """All (block, template) pairs compared directly, without any filter."""
     quoted = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
@@ -97,4 +128,4 @@ FROM docs LEFT JOIN base USING (rid) LEFT JOIN sim USING (rid)
 
 
 def all_oracles() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op2_licenses": _op2(), "op9_warc": OP9, "op11_ranked_search": OP11}
+    return {"op1_decontaminate": OP1, "op2_licenses": _op2(), "op9_warc": OP9, "op11_ranked_search": OP11, "op12_conversation_trie": OP12}

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import toxicity
+from riskloom.llm import langid, toxicity
 from riskloom.llm.bm25_packing import pack
+from riskloom.llm.conversation_trie import prefix_trie, sequences, with_shared_heads
 from riskloom.llm.decontaminate import find_hits
 from riskloom.llm.frames import table
 from riskloom.llm.licenses import scan
@@ -92,9 +93,23 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("item").alias("item_id"), "rank", F.col("document").alias("doc_id"), "score")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(with_shared_heads(sequences(table(spark, sf_dir, "conversations")), group=5, heads=9))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = langid.fold("doc_id")
+    filters = langid.fit(docs, fold != langid.HELD_OUT)
+    found = langid.identify(docs, filters, keep=["doc_id"])
+    return found.select("doc_id", F.coalesce(fold == langid.HELD_OUT, F.lit(False)).alias("held_out"),
+                        "language.lang_pred", "language.score")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_decontaminate": op1_decontaminate, "op2_licenses": op2_licenses, "op3_token_counts": op3_token_counts,
             "op4_quality_rules": op4_quality_rules, "op5_token_files": op5_token_files,
             "op6_simhash": op6_simhash,
             "op7_suffix_dedup": op7_suffix_dedup, "op8_bm25_packing": op8_bm25_packing, "op9_warc": op9_warc,
-            "op10_toxicity": op10_toxicity, "op11_ranked_search": op11_ranked_search}
+            "op10_toxicity": op10_toxicity, "op11_ranked_search": op11_ranked_search,
+            "op12_conversation_trie": op12_conversation_trie, "op13_language_id": op13_language_id}

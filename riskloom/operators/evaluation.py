@@ -75,8 +75,8 @@ def roc_auc(pred: DataFrame, label: str = "is_delayed", score: str = "score") ->
     """ROC AUC by rank sums with tied scores sharing credit (Mann-Whitney U).
 
     Scores are counted per distinct value, and the negatives below each
-    score come from range-bucketed prefix sums, so no single task orders
-    the whole table.
+    score come from prefix sums over as many ranges as there are distinct
+    scores to order, so no single task orders the whole table.
     """
     g = (pred.groupBy(F.col(score).cast("double").alias("s"))
          .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))

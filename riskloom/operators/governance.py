@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.prefix import prefix_sums
+from riskloom.sources.files import remove_folders
+from riskloom.sources.upsert import partition_folders, same_parts
 
 # Fixed value: drift alert level.
 DRIFT_ALPHA = 0.05
@@ -28,38 +30,22 @@ def rewrite_without(df: DataFrame, ids: DataFrame, key: str, path: str, partitio
     parts = list(partition_by)
     touched = df.join(ids.select(key).distinct(), key, "left_semi").select(*parts).distinct()
     # Null-safe: the partition of rows without a partition value is a partition too.
-    keep = delete_entities(_join_parts(df, touched, parts, "left_semi"), ids, key)
+    keep = delete_entities(same_parts(df, touched, parts, "left_semi"), ids, key)
     # Partitions whose every row is deleted get no output rows, so dynamic overwrite would leave
     # them in place: list them (partition values only, bounded by the partition count) first.
-    emptied = _join_parts(touched, keep.select(*parts).distinct(), parts, "left_anti").collect()
+    emptied = same_parts(touched, keep.select(*parts).distinct(), parts, "left_anti").collect()
     (keep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
     drop_partitions(df.sparkSession, path, parts, [tuple(r) for r in emptied])
     return path
 
 
-def _join_parts(left: DataFrame, right: DataFrame, parts: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join on partition columns where NULL equals NULL."""
-    other = right.select(*[F.col(c).alias(f"__p_{c}") for c in parts])
-    on = F.lit(True)
-    for c in parts:
-        on = on & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-    return left.join(other, on, how)
-
-
-# Fixed value: folder name of the NULL partition.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
 def drop_partitions(spark, path: str, partition_by: Sequence[str], values: Sequence[tuple]) -> None:
-    """Remove whole partition folders ``col=value/...`` of a file table (like DROP PARTITION)."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    conf = spark._jsc.hadoopConfiguration()
-    for vals in values:
-        sub = "/".join(f"{escape(c)}={NULL_PARTITION if v is None else escape(str(v))}" for c, v in zip(partition_by, vals))
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
-        p.getFileSystem(conf).delete(p, True)
+    """Remove whole partition folders of a file table (like DROP PARTITION); NULL is a value."""
+    table = spark.read.parquet(path)
+    chosen = spark.createDataFrame([tuple(v) for v in values], table.select(*partition_by).schema)
+    remove_folders(partition_folders(table, chosen, partition_by)).collect()
+    spark.catalog.refreshByPath(path)
 
 
 def pii_projection(df: DataFrame, allowed: Sequence[str], hash_ids: Sequence[str] = (), salt: str = "") -> DataFrame:
@@ -111,13 +97,13 @@ def expiry_report(df: DataFrame, date_col: str, as_of: dt.date, days: int) -> Da
 
 
 def drift_ks(base: DataFrame, current: DataFrame, cols: Sequence[str], alpha: float = DRIFT_ALPHA,
-             buckets: int = 64, terms: int = 100) -> DataFrame:
+             terms: int = 100) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value per feature.
 
     Exact statistic, computed without one task per feature: values are
     counted per (feature, value) (map-side combine, so a hot value is one
-    row), then the two empirical CDFs are range-bucketed prefix sums
-    (``prefix_sums``) and the statistic is their largest gap.
+    row) and stored once; the two empirical CDFs are prefix sums over ranges
+    as many as the counts need (``prefix_sums``), the statistic their largest gap.
     """
     def long(df: DataFrame, sample: int) -> DataFrame:
         arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])
@@ -126,11 +112,9 @@ def drift_ks(base: DataFrame, current: DataFrame, cols: Sequence[str], alpha: fl
     s = long(base, 1).unionByName(long(current, 2))
     counts = s.groupBy("feature", "value").agg(F.count_if(F.col("sample") == 1).alias("n1"),
                                                F.count_if(F.col("sample") == 2).alias("n2"))
-    tot = counts.groupBy("feature").agg(F.sum("n1").alias("t1"), F.sum("n2").alias("t2"))
-    cum = prefix_sums(counts, ["feature"], "value", ["n1", "n2"], buckets=buckets)
-    cdf = cum.join(tot, "feature").select(
-        "feature", "t1", "t2",
-        F.abs(F.col("cum_n1") / F.col("t1") - F.col("cum_n2") / F.col("t2")).alias("gap"))
+    cdf = prefix_sums(counts, ["feature"], "value", ["n1", "n2"]).select(
+        "feature", F.col("total_n1").alias("t1"), F.col("total_n2").alias("t2"),
+        F.abs(F.col("cum_n1") / F.col("total_n1") - F.col("cum_n2") / F.col("total_n2")).alias("gap"))
     d = cdf.groupBy("feature").agg(F.max("gap").alias("ks"), F.first("t1").alias("n1"), F.first("t2").alias("n2"))
     en = F.sqrt(F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2")))
     lam = (en + F.lit(0.12) + F.lit(0.11) / en) * F.col("ks")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.sources.files import parquet_footers
+
 # Quality gates.
 MAX_NULL_RATE = 0.05
 MIN_COMPLETENESS = 0.95
@@ -193,72 +195,110 @@ def validate_dataset(df: DataFrame, columns: Mapping[str, str], required: Sequen
                      max_null_rate: float = MAX_NULL_RATE, sample_rows: int | None = None) -> DataFrame:
     """Validation report rows (check, column, severity, value, detail) plus a verdict row.
 
-    The full dataset is validated in one aggregation pass (``sample_rows``
-    restores the optional head sample). Missing columns are errors, extra
-    columns warnings, null rate above the threshold and type mismatches
-    errors (one error per column, showing the smallest offending value).
+    The full dataset is validated in one aggregation pass: one row that
+    carries the row count and, for every column, its null, value and
+    mismatch counts is unpivoted to the report (``sample_rows`` restores the
+    optional head sample). Missing columns are errors, extra columns
+    warnings, null rate above the threshold and type mismatches errors (one
+    error per column, showing the smallest offending value).
     """
     data = df.limit(sample_rows) if sample_rows else df
-    sd = schema_diff(data, columns).where(F.col("status") != "ok").select(
-        F.concat(F.lit("schema_"), F.col("status")).alias("check"), "column", "severity",
-        F.lit(None).cast("double").alias("value"),
-        F.when(F.col("status") == "missing", F.lit("Missing required column"))
-        .otherwise(F.lit("Unexpected column (will be ignored)")).alias("detail"))
-    req = [c for c in required if c in data.columns]
-    nulls = completeness(data, req).select(
-        F.lit("null_rate").alias("check"), "column",
-        F.when(F.col("null_rate") > max_null_rate, F.lit("error")).otherwise(F.lit("info")).alias("severity"),
-        F.col("null_rate").alias("value"),
-        F.concat(F.lit("null_count="), F.col("null_count").cast("string"), F.lit(" rows="),
-                 F.col("row_count").cast("string")).alias("detail"))
-    empty = data.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0).select(
-        F.lit("empty").alias("check"), F.lit(None).cast("string").alias("column"),
-        F.lit("error").alias("severity"), F.lit(0.0).alias("value"), F.lit("File contains no records").alias("detail"))
-    types = type_check(data, {c: t for c, t in columns.items() if c in data.columns}).where(
-        F.col("error").isNotNull()).select(
-        F.lit("type").alias("check"), "column", F.lit("error").alias("severity"),
-        F.col("bad_count").cast("double").alias("value"), F.col("error").alias("detail"))
-    rows = sd.unionByName(nulls).unionByName(empty).unionByName(types)
-    verdict = rows.agg(F.count_if(F.col("severity") == "error").alias("e")).select(
-        F.lit("verdict").alias("check"), F.lit(None).cast("string").alias("column"),
-        F.when(F.col("e") == 0, F.lit("info")).otherwise(F.lit("error")).alias("severity"),
-        F.col("e").cast("double").alias("value"),
-        F.when(F.col("e") == 0, F.lit("valid")).otherwise(F.lit("invalid")).alias("detail"))
-    return rows.unionByName(verdict)
+    have = set(data.columns)
+    required = [c for c in required if c in have]
+    typed = {c: t for c, t in columns.items() if c in have}
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(required):
+        aggs.append(F.count_if(_missing(data, c)).alias(f"nulls_{i}"))
+    for i, (c, t) in enumerate(typed.items()):
+        if t in TYPE_NAMES:
+            bad = ~_missing(data, c) & ~_type_ok(data, c, t)
+            aggs += [F.count_if(bad).alias(f"bad_{i}"), F.min(F.when(bad, F.col(f"`{c}`").cast("string"))).alias(f"first_{i}")]
+    none, n = F.lit(None), F.col("n")
+
+    def line(check: str, column: str | None, severity: Column, value: Column, detail: Column, keep: Column) -> Column:
+        return F.when(keep, F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"),
+                                     severity.alias("severity"), value.cast("double").alias("value"), detail.alias("detail")))
+    always, lines = F.lit(True), []
+    for c in columns:
+        if c not in have:
+            lines.append(line("schema_missing", c, F.lit("error"), none, F.lit("Missing required column"), always))
+    for c in data.columns:
+        if c not in columns:
+            lines.append(line("schema_extra", c, F.lit("warning"), none, F.lit("Unexpected column (will be ignored)"), always))
+    for i, c in enumerate(required):
+        nulls = F.col(f"nulls_{i}")
+        rate = F.coalesce(F.try_divide(nulls.cast("double"), n.cast("double")), F.lit(0.0))
+        lines.append(line("null_rate", c, F.when(rate > max_null_rate, F.lit("error")).otherwise(F.lit("info")), rate,
+                          F.concat(F.lit("null_count="), nulls.cast("string"), F.lit(" rows="), n.cast("string")), always))
+    lines.append(line("empty", None, F.lit("error"), F.lit(0.0), F.lit("File contains no records"), n == 0))
+    for i, (c, t) in enumerate(typed.items()):
+        if t in TYPE_NAMES:
+            text = F.concat(F.lit(f"Column '{c}' expected type '{t}', got value "), F.col(f"first_{i}"))
+            lines.append(line("type", c, F.lit("error"), F.col(f"bad_{i}"), text, F.col(f"bad_{i}") > 0))
+        else:
+            lines.append(line("type", c, F.lit("error"), F.lit(0.0), F.lit(f"Unknown expected type '{t}' for column '{c}'"), always))
+    found = F.array_compact(F.array(*lines))
+    errors = F.size(F.filter(found, lambda r: r["severity"] == "error"))
+    verdict = F.struct(F.lit("verdict").alias("check"), none.cast("string").alias("column"),
+                       F.when(errors == 0, F.lit("info")).otherwise(F.lit("error")).alias("severity"),
+                       errors.cast("double").alias("value"),
+                       F.when(errors == 0, F.lit("valid")).otherwise(F.lit("invalid")).alias("detail"))
+    return data.agg(*aggs).select(F.inline(F.array_append(found, verdict)))
+
+
+# A partition folder's part of a path, column=value; files outside one have none.
+_PARTITION = r"((?:/[^/=]+=[^/]*)+)/[^/]+$"
+
+
+def footer_stats(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """(table_name, path, n_bytes, modified, n_rows, columns) of every file of the tables (name -> path).
+
+    Listing and Parquet footers only: no row is read.
+    """
+    out = None
+    for name, path in tables.items():
+        files = parquet_footers(spark, path).select(F.lit(name).alias("table_name"), "*")
+        out = files if out is None else out.unionByName(files)
+    return out
 
 
-def table_stats(df: DataFrame, table_name: str, partition_col: str | None = None) -> DataFrame:
-    """Rows, files, bytes, last modified and partition count of a file-backed table.
+def table_stats(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """Rows, files, bytes, last modified and partition count of Parquet tables (name -> path), from their footers.
 
-    File facts come from the hidden ``_metadata`` column (one row per file
-    after a grouped aggregate), so nothing is listed on the driver.
+    num_partitions counts the folders ``column=value`` with a value; a table
+    without such folders has 0. A table that doesn't exist has no row.
     """
-    meta = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time",
-                     *([F.col(partition_col).alias("__p")] if partition_col else []))
-    per_file = meta.groupBy("file_path").agg(
-        F.count(F.lit(1)).alias("rows"), F.first("file_size").alias("size"),
-        F.first("file_modification_time").alias("mtime"))
-    files = per_file.agg(F.sum("rows").alias("row_count"), F.count(F.lit(1)).alias("num_files"),
-                         F.sum("size").alias("size_bytes"), F.max("mtime").alias("last_modified"))
-    if partition_col:
-        # Scalar subquery: one more aggregate over the same scan, no join.
-        parts = meta.where(F.col("__p").isNotNull()).agg(F.count_distinct("__p")).scalar()
-    else:
-        parts = F.lit(None)
-    return files.select(
-        F.lit(table_name).alias("table_name"), F.col("row_count").cast("long"), "num_files",
-        F.col("size_bytes").cast("long"), "last_modified", parts.cast("long").alias("num_partitions"))
-
-
-def table_health(spark: SparkSession, catalogue: Mapping[str, tuple[str, DataFrame]], top: int = 5) -> DataFrame:
-    """Per layer, the ``top`` newest tables (ties: most rows, then name) with size in MB."""
-    from pyspark.sql import Window
-    parts = [table_stats(df, name).withColumn("layer", F.lit(layer)) for name, (layer, df) in catalogue.items()]
-    allt = parts[0]
-    for p in parts[1:]:
-        allt = allt.unionByName(p)
+    folder = F.nullif(F.regexp_extract("path", _PARTITION, 1), F.lit(""))
+    counted = F.when(~folder.contains("__HIVE_DEFAULT_PARTITION__"), folder)
+    return footer_stats(spark, tables).groupBy("table_name").agg(
+        F.sum("n_rows").alias("row_count"), F.count(F.lit(1)).alias("num_files"), F.sum("n_bytes").alias("size_bytes"),
+        F.max("modified").alias("last_modified"), F.count_distinct(counted).alias("num_partitions"))
+
+
+def column_stats(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
+    """Per table and column: values, nulls, smallest and largest (numbers; times in seconds), from the footers.
+
+    NULL where a file doesn't state a number, or the column has no bounds as
+    numbers.
+    """
+    c = footer_stats(spark, tables).select("table_name", F.explode("columns").alias("c")).select("table_name", "c.*")
+    known = F.count_if(F.col("low").isNull() & (F.col("n_values") > F.coalesce("n_nulls", F.lit(-1)))) == 0
+    return c.groupBy("table_name", F.col("name").alias("column")).agg(
+        F.sum("n_values").alias("n_values"),
+        F.when(F.count("n_nulls") == F.count(F.lit(1)), F.sum("n_nulls")).alias("n_nulls"),
+        F.when(known, F.min("low")).alias("low"), F.when(known, F.max("high")).alias("high"))
+
+
+def table_health(spark: SparkSession, catalogue: Mapping[str, tuple[str, str]], top: int = 5) -> DataFrame:
+    """Per layer, the ``top`` newest tables (ties: most rows, then name) with size in MB.
+
+    ``catalogue``: table -> (layer, path). Footers and listing only.
+    """
+    stats = table_stats(spark, {name: path for name, (_, path) in catalogue.items()})
+    layers = F.create_map(*[F.lit(x) for name, (layer, _) in catalogue.items() for x in (name, layer)])
     w = Window.partitionBy("layer").orderBy(F.col("last_modified").desc(), F.col("row_count").desc(),
                                             F.col("table_name").asc())
-    return (allt.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    return (stats.withColumn("layer", layers[F.col("table_name")])
+            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
             .select("layer", "table_name", "row_count", F.round(F.col("size_bytes") / F.lit(1024.0 * 1024.0), 2)
                     .alias("size_mb"), "last_modified", F.col("rank").cast("int")))

@@ -19,6 +19,8 @@ from riskloom.session import shared_dir
 from riskloom.sources import landing as ld
 from riskloom.sources import manifest as mf
 from riskloom.sources import sinks as sk
+from riskloom.sources import zones as zn
+from riskloom.sources.files import list_files
 from riskloom.streaming.runner import materialize
 
 RAW_SCHEMA = T.StructType([
@@ -96,10 +98,9 @@ WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'
 
 
 # --------------------------------------------------------------- manifest
-def _orders_manifest(x: Inputs, land: bool = False) -> DataFrame:
+def _orders_manifest(x: Inputs) -> DataFrame:
     orders = x.table("orders").withColumn("landing_date", F.trunc(F.to_date("o_orderdate"), "month"))
-    root = shared_dir(x.spark, "lake") if land else None
-    return mf.land_batch(orders, root, "sage100", "landing_date", x.run_id, x.run_ts,
+    return mf.planned_entries(orders, "sage100", "landing_date", x.run_id, x.run_ts,
                          filename="orders.parquet")
 
 
@@ -109,9 +110,30 @@ def _processed_paths(manifest: DataFrame) -> DataFrame:
         F.regexp_replace("path", "^raw/", "processed/").alias("path"))
 
 
+def _landed(x: Inputs) -> str:
+    """Orders landed by month in a store of their own."""
+    root = shared_dir(x.spark, "lake")
+    orders = x.table("orders").withColumn("landing_date", F.trunc(F.to_date("o_orderdate"), "month"))
+    zn.land(orders, root, "sage100", "landing_date", x.run_id, x.run_ts, filename="orders.parquet")
+    return root
+
+
+def _rows_of(x: Inputs, root: str, zone: str, name: str) -> DataFrame:
+    """(path, rows) of a zone, counted in the files that its entries name."""
+    rows = zn.read_entries(x.spark, root, zn.current(x.spark, root, zone))
+    return rows.groupBy(F.col("entry_path").alias("path")).agg(F.count(F.lit(1)).alias(name))
+
+
 @query("landing_manifest")
 def _landing_manifest(x: Inputs) -> DataFrame:
-    return _orders_manifest(x, land=True)
+    """Entries of a landed batch; every named file exists, and together they hold the bytes stated."""
+    root = _landed(x)
+    m = zn.current(x.spark, root, "raw")
+    named = m.select("path", F.explode("files").alias("file"))
+    found = list_files(x.spark, root).select(zn.inside(root, F.col("path")).alias("file"), F.col("n_bytes").alias("size"))
+    sizes = named.join(found, "file", "left").groupBy("path").agg(
+        F.bool_and(F.col("size").isNotNull()).alias("files_exist"), F.sum("size").alias("size"))
+    return m.join(sizes, "path").select(*mf.MANIFEST_COLUMNS, "files_exist", (F.col("size") == F.col("n_bytes")).alias("bytes_match"))
 
 
 _MANIFEST_SQL = f"""
@@ -124,7 +146,7 @@ m AS (
   FROM orders GROUP BY date_trunc('month', o_orderdate)),
 done AS (SELECT path FROM m WHERE month(landing_date) % 3 <> 0)"""
 
-oracle("landing_manifest", f", {_MANIFEST_SQL}\nSELECT * FROM m")
+oracle("landing_manifest", f", {_MANIFEST_SQL}\nSELECT *, TRUE AS files_exist, TRUE AS bytes_match FROM m")
 
 
 @query("unprocessed_files")
@@ -138,29 +160,61 @@ oracle("unprocessed_files", f", {_MANIFEST_SQL}\nSELECT path FROM done ORDER BY
 
 @query("promote_files")
 def _promote(x: Inputs) -> DataFrame:
-    m = _orders_manifest(x)
-    todo = mf.unprocessed_files(m.select("path"), _processed_paths(m))
-    return mf.promote_files(m, todo, x.run_ts)
+    """Months not yet processed copied to the processed zone, both zones read back; other zones' paths are rejected.
+
+    Two requests: the months divisible by 3 first, then all paths of either
+    zone and one that doesn't exist.
+    """
+    root = _landed(x)
+    third = zn.current(x.spark, root, "raw").where(F.month("landing_date") % 3 == 0)
+    zn.promote(x.spark, root, third.select("path"), x.run_ts)
+    asked = zn.unprocessed(x.spark, root).unionByName(zn.current(x.spark, root, "processed").select("path")).unionByName(
+        x.spark.createDataFrame([("raw/prod/sage100/1900-01-01/orders.parquet",)], "path string"))
+    report = materialize(zn.promote(x.spark, root, asked, x.run_ts + dt.timedelta(hours=1)), "promoted")
+    return (report.join(_rows_of(x, root, "processed", "processed_rows"), "path", "left")
+            .join(_rows_of(x, root, "raw", "raw_rows").withColumnRenamed("path", "source_path"), "source_path", "left")
+            .select("source_path", "path", "record_count", "processed_rows", "raw_rows", "processed_timestamp",
+                    "processing_status"))
 
 
 oracle("promote_files", f""", {_MANIFEST_SQL}
-SELECT d.path AS source_path, regexp_replace(d.path, '^raw/', 'processed/') AS path, m.record_count,
-  {RUN_TS} AS processed_timestamp, 'success' AS processing_status
-FROM done d JOIN m ON d.path = m.path""")
+SELECT path AS source_path, regexp_replace(path, '^raw/', 'processed/') AS path, record_count, record_count AS processed_rows,
+  record_count AS raw_rows, {RUN_TS} + INTERVAL 1 HOUR AS processed_timestamp, 'success' AS processing_status
+FROM m WHERE month(landing_date) % 3 <> 0
+UNION ALL SELECT regexp_replace(path, '^raw/', 'processed/'), NULL, NULL, NULL, NULL, NULL, 'rejected: expected path under raw/'
+FROM m WHERE month(landing_date) % 3 = 0
+UNION ALL SELECT 'raw/prod/sage100/1900-01-01/orders.parquet', NULL, NULL, NULL, NULL, NULL, 'rejected: source not found'""")
 
 
 @query("archive_files")
 def _archive(x: Inputs) -> DataFrame:
-    m = _orders_manifest(x)
-    processed = _processed_paths(m)
-    pm = m.withColumn("path", F.regexp_replace("path", "^raw/", "processed/"))
-    return mf.archive_files(pm, processed, x.run_ts)
-
-
-oracle("archive_files", f""", {_MANIFEST_SQL}
-SELECT regexp_replace(path, '^raw/', 'processed/') AS source_path, regexp_replace(path, '^raw/', 'archive/') AS path,
-  record_count, {RUN_TS} AS archived_timestamp, TRUE AS source_deleted
-FROM m WHERE month(landing_date) % 3 = 0""")
+    """Processed months divisible by 3 and raw ones of January and July moved to the archive, asked for twice.
+
+    Counts are read from the zones' files after the second request;
+    ``source_deleted`` is what the listing of the source zone shows.
+    """
+    root = _landed(x)
+    raw = zn.current(x.spark, root, "raw")
+    zn.promote(x.spark, root, raw.where(F.month("landing_date") % 3 == 0).select("path"), x.run_ts)
+    asked = materialize(zn.current(x.spark, root, "processed").select("path").unionByName(
+        raw.where(F.month("landing_date") % 6 == 1).select("path")), "to-archive")
+    first = materialize(zn.archive(x.spark, root, asked, x.run_ts + dt.timedelta(hours=2)), "archived")
+    again = zn.archive(x.spark, root, asked, x.run_ts + dt.timedelta(hours=3))
+    changed = first.exceptAll(again).count() + zn.orphans(x.spark, root).count()
+    left = {z: _rows_of(x, root, z, f"{z}_rows").withColumnRenamed("path", "source_path") for z in ("raw", "processed")}
+    return (again.join(_rows_of(x, root, "archive", "archive_rows"), "path", "left")
+            .join(left["raw"], "source_path", "left").join(left["processed"], "source_path", "left")
+            .select("source_path", "path", "record_count", "archive_rows",
+                    F.coalesce("raw_rows", "processed_rows", F.lit(0)).alias("source_rows"), "archived_timestamp",
+                    "source_deleted", F.lit(changed == 0).alias("second_run_unchanged")))
+
+
+oracle("archive_files", f""", {_MANIFEST_SQL},
+asked AS (SELECT regexp_replace(path, '^raw/', 'processed/') AS source_path, * EXCLUDE (path), regexp_replace(path, '^raw/', 'archive/') AS path
+          FROM m WHERE month(landing_date) % 3 = 0
+          UNION ALL SELECT path, * EXCLUDE (path), regexp_replace(path, '^raw/', 'archive/') FROM m WHERE month(landing_date) % 6 = 1)
+SELECT source_path, path, record_count, record_count AS archive_rows, CAST(0 AS BIGINT) AS source_rows,
+  {RUN_TS} + INTERVAL 2 HOUR AS archived_timestamp, TRUE AS source_deleted, TRUE AS second_run_unchanged FROM asked""")
 
 
 @query("retention_tiers")
@@ -318,13 +372,51 @@ oracle("validate_dataset", _vd_sql())
 
 @query("table_stats")
 def _table_stats(x: Inputs) -> DataFrame:
-    li = x.table("lineitem").withColumn("ship_date", F.to_date("l_shipdate"))
-    return qa.table_stats(li, "lineitem", "ship_date").select("table_name", "row_count", "num_partitions")
+    """Lineitem partitioned by ship month (none for every seventh line): counts from footers and folder names."""
+    path = shared_dir(x.spark, "lineitem-by-month")
+    month = F.when(F.col("l_linenumber") != 7, F.trunc(F.to_date("l_shipdate"), "month"))
+    sk.write_table(x.table("lineitem").withColumn("ship_month", month), path, "WRITE_TRUNCATE", partition_by=("ship_month",))
+    stats = qa.table_stats(x.spark, {"lineitem": path})
+    return stats.select("table_name", "row_count", "num_partitions", (F.col("size_bytes") > 0).alias("has_bytes"),
+                        (F.col("num_files") >= F.col("num_partitions")).alias("has_files"))
 
 
 oracle("table_stats", """
-SELECT 'lineitem' AS table_name, COUNT(*) AS row_count, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS num_partitions
-FROM lineitem""")
+SELECT 'lineitem' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count,
+  COUNT(DISTINCT CASE WHEN l_linenumber <> 7 THEN date_trunc('month', l_shipdate) END) AS num_partitions,
+  TRUE AS has_bytes, TRUE AS has_files FROM lineitem""")
+
+# Columns whose footers are held against the rows.
+STATS_COLUMNS = {"lineitem": ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag"),
+                 "orders": ("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"),
+                 "customer": ("c_custkey", "c_acctbal", "c_name")}
+_TIMES, _TEXTS = ("l_shipdate", "o_orderdate"), ("l_returnflag", "c_name")
+
+
+@query("column_stats", exact=("low", "high"))
+def _column_stats(x: Inputs) -> DataFrame:
+    """Values, nulls and bounds per column out of Parquet footers, with every fifth value taken out."""
+    paths = {}
+    for name, columns in STATS_COLUMNS.items():
+        paths[name] = shared_dir(x.spark, f"stats-{name}")
+        key = F.col(columns[0])
+        (x.table(name).select(*[F.when(key % 5 != 0, F.col(c)).alias(c) for c in columns])
+         .write.parquet(paths[name]))
+    return qa.column_stats(x.spark, paths)
+
+
+def _column_stats_sql() -> str:
+    parts = []
+    for name, columns in STATS_COLUMNS.items():
+        for c in columns:
+            v = f"CASE WHEN {columns[0]} % 5 <> 0 THEN {f'epoch({c})' if c in _TIMES else c} END"
+            low, high = ("CAST(NULL AS DOUBLE)",) * 2 if c in _TEXTS else (f"CAST(min({v}) AS DOUBLE)", f"CAST(max({v}) AS DOUBLE)")
+            parts.append(f"""SELECT '{name}' AS table_name, '{c}' AS "column", COUNT(*) AS n_values,
+              COUNT(*) - COUNT({v}) AS n_nulls, {low} AS low, {high} AS high FROM {name}""")
+    return _union(parts)
+
+
+oracle("column_stats", _column_stats_sql())
 
 # Layer of each driver table in the health report.
 HEALTH_LAYERS = {"region": "reference", "nation": "reference", "part": "reference", "supplier": "reference",
@@ -335,7 +427,7 @@ HEALTH_LAYERS = {"region": "reference", "nation": "reference", "part": "referenc
 
 @query("table_health")
 def _table_health(x: Inputs) -> DataFrame:
-    cat = {name: (layer, x.table(name)) for name, layer in HEALTH_LAYERS.items()}
+    cat = {name: (layer, f"{x.sf_dir}/{name}.parquet") for name, layer in HEALTH_LAYERS.items()}
     return qa.table_health(x.spark, cat, top=5)
 
 

@@ -1,10 +1,8 @@
-"""Landing-zone lifecycle as manifest DataFrames: land, list, promote, archive.
+"""Manifest rows as DataFrames: what a batch lands, what is unprocessed, how old it is.
 
 Zones are path prefixes raw/ processed/ staging/ archive/; a landed file
 is identified by its logical path ``<zone>/<env>/<source>/<date>/<file>``.
-Every step is a DataFrame transform of the manifest (joins, CASE,
-regexp_replace); data copies are Spark read/write jobs over the landed
-partitions, never a driver-side file loop.
+Landing, promoting and archiving the data itself is in ``zones``.
 """
 
 from __future__ import annotations
@@ -31,24 +29,11 @@ def logical_path(zone: str, env: str, source_system: str, date_col: Column, file
                     F.lit(f"/{filename}"))
 
 
-def land_batch(df: DataFrame, root: str | None, source_system: str, partition_col: str, run_id: str,
-               run_ts: dt.datetime, schema_version: str = "v1.0", env: str = "prod",
-               filename: str = "data.parquet") -> DataFrame:
-    """Write a batch into raw/<env>/<source>/ partitioned by ``partition_col``; return its manifest.
-
-    The manifest is one row per landed partition with its record count,
-    computed by one aggregation over what was written (read back from the
-    landing folder when ``root`` is given).
-    """
-    landed = df
-    if root is not None:
-        target = f"{root.rstrip('/')}/{RAW}{env}/{source_system}"
-        # Rebalance by landing date: AQE splits a hot date across tasks, no sampling pass.
-        (df.hint("rebalance", partition_col).write.mode("overwrite")
-         .partitionBy(partition_col).parquet(target))
-        landed = df.sparkSession.read.parquet(target)
+def planned_entries(df: DataFrame, source_system: str, partition_col: str, run_id: str, run_ts: dt.datetime,
+                    schema_version: str = "v1.0", env: str = "prod", filename: str = "data.parquet") -> DataFrame:
+    """The manifest rows a batch will have when ``zones.land`` has written it: one per date, with its record count."""
     fmt = filename.rsplit(".", 1)[-1]
-    counts = landed.groupBy(F.col(partition_col).cast("date").alias("landing_date")).agg(
+    counts = df.groupBy(F.col(partition_col).cast("date").alias("landing_date")).agg(
         F.count(F.lit(1)).alias("record_count"))
     return counts.select(
         logical_path(RAW, env, source_system, F.col("landing_date"), filename).alias("path"),
@@ -77,7 +62,7 @@ def unprocessed_files(raw_paths: DataFrame, processed_paths: DataFrame) -> DataF
 
 
 def promote_files(manifest: DataFrame, paths: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Copy raw/ entries to processed/ (raw retained); non-raw paths are rejected rows."""
+    """What promoting these paths will give, from the manifest alone (``zones.promote`` does it); non-raw paths are rejected."""
     req = paths.select(F.col("path").alias("source_path"))
     ok = F.col("source_path").startswith(RAW)
     m = manifest.alias("m")
@@ -96,7 +81,7 @@ def promote_files(manifest: DataFrame, paths: DataFrame, run_ts: dt.datetime) ->
 
 
 def archive_files(manifest: DataFrame, paths: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Move entries from any zone to archive/ (zone prefix normalised; source deleted)."""
+    """What archiving these paths will give, from the manifest alone (``zones.archive`` does it)."""
     req = paths.select(F.col("path").alias("source_path"))
     rel = F.regexp_replace("source_path", f"^({RAW}|{PROCESSED}|{STAGING})", "")
     m = manifest.alias("m")
@@ -111,14 +96,6 @@ def archive_files(manifest: DataFrame, paths: DataFrame, run_ts: dt.datetime) ->
     )
 
 
-def copy_partitions(landed: DataFrame, partition_col: str, dates: DataFrame, target: str) -> str:
-    """Data side of promote/archive: copy the chosen partitions (semi join, no driver list)."""
-    sel = landed.join(dates.select(F.col("landing_date").alias(partition_col)).distinct(),
-                      partition_col, "left_semi")
-    sel.write.mode("overwrite").partitionBy(partition_col).parquet(target)
-    return target
-
-
 # Storage tiers by age in days.
 TIER_NEARLINE_DAYS, TIER_COLDLINE_DAYS, TIER_DELETE_DAYS = 30, 90, 365
 

@@ -23,13 +23,6 @@ def test_rewrite_without_touches_only_affected_partitions(spark):
     assert back == {2, 4}          # March partition untouched, customer 10 gone everywhere
 
 
-def test_copy_partitions(spark):
-    src = _orders(spark)
-    dates = spark.createDataFrame([(dt.date(2001, 1, 1),)], "landing_date date")
-    out = mf.copy_partitions(src, "landing_date", dates, shared_dir(spark, "processed"))
-    assert spark.read.parquet(out).count() == 2
-
-
 def test_expire_keeps_window(spark):
     df = _orders(spark)
     kept = gv.expire(df, "landing_date", dt.date(2001, 3, 1), 30)

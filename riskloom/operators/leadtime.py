@@ -29,6 +29,9 @@ def lead_time_rows(po: DataFrame, as_of: dt.date | None, days: int = 90) -> Data
     """
     p = F.col("po_date").cast("date")
     _, keys = clock(as_of)
+    if "po_month" in po.columns and as_of is not None:
+        # The layer is partitioned by month: only those of the window are read.
+        po = po.where(F.col("po_month").between(F.lit((as_of - dt.timedelta(days=days)).replace(day=1)), F.lit(as_of)))
     if "n_po" in po.columns:
         return (po.where(in_window(p, as_of, days))
                 .select(*keys, "vendor_id", "sku_id", "lead_days",

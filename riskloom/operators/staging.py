@@ -92,6 +92,17 @@ def stage_inventory(raw: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id:
     )
 
 
+def po_order(tie_keys: Sequence[str] = ()) -> list[Column]:
+    """Newest version of a purchase order first: the latest receipt, an open one last."""
+    return ([F.col("receipt_date").desc_nulls_last()] + [F.col(k).desc() for k in tie_keys]
+            + [F.col("vendor_id").asc(), F.col("sku_id").asc(), F.col("expected_date").asc()])
+
+
+def po_layer_rows(raw_po: DataFrame) -> DataFrame:
+    """Staged purchase orders as the layer stores them: with the month they are partitioned by."""
+    return stage_purchase_order_receipts(raw_po).withColumn("po_month", F.trunc("po_date", "month"))
+
+
 def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = ()) -> DataFrame:
     """Typed, deduplicated PO receipts; flags receipts dated before the PO."""
     typed = raw_po.select(
@@ -103,9 +114,7 @@ def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = (
         F.col("receipt_date").try_cast("date").alias("receipt_date"),
         *[F.col(k) for k in tie_keys],
     ).where(F.col("po_id").isNotNull() & F.col("po_date").isNotNull())
-    order = ([F.col("receipt_date").desc_nulls_last()] + [F.col(k).desc() for k in tie_keys]
-             + [F.col("vendor_id").asc(), F.col("sku_id").asc(), F.col("expected_date").asc()])
-    deduped = dedup_latest(typed, "po_id", order)
+    deduped = dedup_latest(typed, "po_id", po_order(tie_keys))
     return deduped.select(
         "po_id", "vendor_id", "sku_id", "po_date", "expected_date", "receipt_date",
         F.col("receipt_date").cast("timestamp_ntz").alias("receipt_timestamp"),

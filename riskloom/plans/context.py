@@ -19,6 +19,8 @@ from riskloom.operators.demand import daily_demand_all, demand_signals, signals_
 from riskloom.operators.features import features_from_parts, sku_risk_features
 from riskloom.operators.leadtime import daily_lead_counts, daily_vendor_counts, sku_vendor_map, vendor_lead_times
 from riskloom.operators.staging import stage_inventory
+from riskloom.plans.pipeline import upsert_purchase_orders
+from riskloom.plans.stored import stored
 from riskloom.session import apply_settings, ensure_checkpoint_dir
 from riskloom.sources import fixtures as fx
 from riskloom.streaming.runner import materialize
@@ -48,9 +50,18 @@ class Inputs:
         return fx.raw_inventory_transactions(self.table("lineitem"), self.sku_mod)
 
     @cached_property
-    def po(self) -> DataFrame:
+    def raw_po(self) -> DataFrame:
         return fx.purchase_order_receipts(self.table("lineitem"), self.table("orders"), self.sku_mod)
 
+    @cached_property
+    def po(self) -> DataFrame:
+        """The purchase-order layer: a first batch, then one with late receipts merged in; stored once a session."""
+        def build(path: str) -> None:
+            for batch in fx.po_batches(self.raw_po, self.as_of):
+                upsert_purchase_orders(self.spark, batch, path)
+        sources = [f"{self.sf_dir}/{t}.parquet" for t in ("lineitem", "orders")]
+        return stored(self.spark, f"purchase-orders-{self.sku_mod}", sources, build)
+
     @cached_property
     def staged(self) -> DataFrame:
         return stage_inventory(self.raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",))
@@ -90,7 +101,7 @@ class Inputs:
 
     @cached_property
     def training_po(self) -> DataFrame:
-        return fx.purchase_order_receipts(self.table("lineitem"), self.table("orders"), self.training_sku_mod)
+        return self.po
 
     @cached_property
     def training_staged(self) -> DataFrame:
@@ -130,7 +141,10 @@ class Inputs:
 
     @cached_property
     def training_table(self) -> DataFrame:
-        return materialize(self.training_features, "training-features")
+        """All training snapshots, stored once a session for the queries that start from them."""
+        sources = [f"{self.sf_dir}/{t}.parquet" for t in ("lineitem", "orders")]
+        return stored(self.spark, f"training-features-{self.sku_mod}", sources,
+                      lambda path: self.training_features.write.parquet(path))
 
     @cached_property
     def messages(self) -> DataFrame:

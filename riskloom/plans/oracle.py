@@ -34,7 +34,7 @@ raw_inventory_transactions AS (
     l_extendedprice AS tie_key
   FROM lineitem
 ),
-purchase_order_receipts AS (
+raw_po AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS po_id,
     'V-' || CAST(l_suppkey % 10 AS VARCHAR) AS vendor_id,
     'SKU-' || CAST(l_partkey % {sku_mod} AS VARCHAR) AS sku_id,
@@ -44,6 +44,10 @@ purchase_order_receipts AS (
          THEN CAST(o_orderdate AS DATE) + CAST(1 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber) % 45 AS INT) END AS receipt_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
+purchase_order_receipts AS (
+  SELECT * FROM raw_po WHERE po_id IS NOT NULL AND po_date IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY po_id ORDER BY receipt_date DESC NULLS LAST, vendor_id, sku_id, expected_date) = 1
+),
 event_messages AS (
   SELECT message_id, topic, attr_event_type, delivery_attempt, publish_time,
     CASE WHEN src = 'error' AND event_id % 2 = 0 THEN '{{"id": '
@@ -221,7 +225,7 @@ SELECT po_id, vendor_id, sku_id, po_date, expected_date, receipt_date,
   CAST(receipt_date AS TIMESTAMP) AS receipt_timestamp,
   date_diff('day', po_date, receipt_date) AS lead_days,
   receipt_date < po_date AS receipt_before_po
-FROM purchase_order_receipts WHERE po_id IS NOT NULL AND po_date IS NOT NULL
+FROM raw_po WHERE po_id IS NOT NULL AND po_date IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY po_id ORDER BY receipt_date DESC NULLS LAST,
   vendor_id ASC, sku_id ASC, expected_date ASC) = 1""")
 

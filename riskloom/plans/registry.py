@@ -64,7 +64,7 @@ def _signed_quantity(x: Inputs) -> DataFrame:
 
 @query("stage_po_receipts")
 def _stage_po(x: Inputs) -> DataFrame:
-    return st.stage_purchase_order_receipts(x.po)
+    return st.stage_purchase_order_receipts(x.raw_po)
 
 
 # ---------------------------------------------------------------------- demand

@@ -16,6 +16,7 @@ from riskloom.plans.registry import query
 from riskloom.sources.sinks import write_predictions
 from riskloom.streaming.runner import materialize
 from riskloom.session import shared_dir
+from riskloom.sources import fixtures as fx
 from riskloom.streaming import events as ev
 
 FRESHNESS_NOW = dt.datetime(2001, 8, 2, 7, 0, 0)
@@ -343,13 +344,46 @@ def _batch_score(x: Inputs) -> DataFrame:
 @query("pipeline_report")
 def _pipeline_report(x: Inputs) -> DataFrame:
     from riskloom.plans.pipeline import run_pipeline
-    return run_pipeline(x.spark, x.raw, x.po, shared_dir(x.spark, "layers"), x.as_of, x.run_ts, x.run_id).select(
-        "step", "table", "row_count", "min_rows", "passed", "pipeline_run_id")
+    report = run_pipeline(x.spark, x.raw, fx.po_batches(x.raw_po, x.as_of), shared_dir(x.spark, "layers"), x.as_of,
+                          x.run_ts, x.run_id)
+    return report.select("step", "table", "row_count", "min_rows", "passed", "pipeline_run_id")
 
 
 oracle("pipeline_report", f"""
 SELECT 'staging' AS step, 'staging.inventory_transactions' AS "table", COUNT(*) AS row_count, CAST(1 AS BIGINT) AS min_rows,
   COUNT(*) >= 1 AS passed, {RUN_ID} AS pipeline_run_id FROM staged
+UNION ALL SELECT 'purchase_orders', 'staging.purchase_orders', COUNT(*), 1, COUNT(*) >= 1, 'pipeline-20010801-060000' FROM purchase_order_receipts
 UNION ALL SELECT 'demand_signals', 'analytics.demand_signals_by_sku', COUNT(*), 1, COUNT(*) >= 1, 'pipeline-20010801-060000' FROM signals_w
 UNION ALL SELECT 'sku_risk_features', 'ml_features.sku_risk_features', COUNT(*), 1, COUNT(*) >= 1, 'pipeline-20010801-060000' FROM features
 UNION ALL SELECT 'delay_risk_scores', 'analytics.delay_risk_scores', COUNT(*), 1, COUNT(*) >= 1, 'pipeline-20010801-060000' FROM features""")
+
+
+@query("po_layer_upsert")
+def _po_layer(x: Inputs) -> DataFrame:
+    """The purchase-order layer after a batch with late receipts, and what each upsert did to it (summed per order row)."""
+    from riskloom.plans.pipeline import upsert_purchase_orders
+    path, fates = shared_dir(x.spark, "po-layer"), []
+    first, late = fx.po_batches(x.raw_po, x.as_of)
+    for batch in (first, late, late):  # the last one again: nothing changes
+        fates.append(upsert_purchase_orders(x.spark, batch, path))
+    report = None
+    for step, fate in enumerate(fates, 1):
+        row = fate.select(F.lit(step).alias("step"), "*")
+        report = row if report is None else report.unionByName(row)
+    rows = x.spark.read.parquet(path)
+    totals = {"n_orders": F.count(F.lit(1)), "n_received": F.count("receipt_date"), "sum_lead_days": F.sum("lead_days"),
+              "n_months": F.count_distinct("po_month")}
+    return report.select("*", *[rows.agg(f).scalar().alias(name) for name, f in totals.items()])
+
+
+oracle("po_layer_upsert", f"""
+, late AS (SELECT * FROM raw_po WHERE receipt_date > {AS_OF} - {fx.LATE_DAYS}),
+totals AS (SELECT COUNT(*) AS n_orders, COUNT(receipt_date) AS n_received,
+    CAST(SUM(date_diff('day', po_date, receipt_date)) AS BIGINT) AS sum_lead_days, COUNT(DISTINCT date_trunc('month', po_date)) AS n_months
+  FROM purchase_order_receipts),
+l AS (SELECT COUNT(DISTINCT po_id) AS n, COUNT(DISTINCT date_trunc('month', po_date)) AS m FROM late),
+steps AS (SELECT 1 AS step, n_orders AS rows_in, n_orders AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS unchanged,
+    n_months AS partitions_rewritten, CAST(0 AS BIGINT) AS partitions_removed FROM totals
+  UNION ALL SELECT 2, n, 0, n, 0, m, 0 FROM l
+  UNION ALL SELECT 3, n, 0, 0, n, m, 0 FROM l)
+SELECT steps.*, totals.* FROM steps, totals""")

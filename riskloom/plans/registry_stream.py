@@ -18,6 +18,7 @@ from riskloom.schemas import EVENTS_SOURCE
 from riskloom.sources import fixtures as fx
 from riskloom.streaming import events as ev
 from riskloom.streaming import runner as rn
+from riskloom.streaming.dedup import run_dedup
 
 EVENTS_SCHEMA = EVENTS_SOURCE
 # A dead-letter fix fills a missing type with the topic's first type.
@@ -218,11 +219,20 @@ GROUP BY window_start, topic""")
 
 @query("stream_dedup")
 def _stream_dedup(x: Inputs) -> DataFrame:
+    """Redelivered messages dropped: one row per id and task shipped, ids of earlier batches from the store."""
+    msgs = fx.with_redeliveries(_stream_messages(x)).select("message_id", "topic", "publish_time", "delivery_attempt")
+    return run_dedup(msgs, "dedup", "message_id", "publish_time", 600)
+
+
+@query("stream_dedup_watermark")
+def _stream_dedup_watermark(x: Inputs) -> DataFrame:
+    """The same with Spark's own state (``dropDuplicatesWithinWatermark``)."""
     msgs = fx.with_redeliveries(_stream_messages(x))
     out = rn.dedup_stream(msgs, "message_id", "publish_time", "10 minutes")
     return rn.run_to_table(out.select("message_id", "topic", "publish_time", "delivery_attempt"), "dedup")
 
 
+stream_oracle("stream_dedup_watermark", "SELECT DISTINCT message_id, topic, publish_time, delivery_attempt FROM event_messages")
 stream_oracle("stream_dedup", "SELECT DISTINCT message_id, topic, publish_time, delivery_attempt FROM event_messages")
 
 

@@ -59,7 +59,10 @@ FILE_MANIFEST = _schema(
 EVENTS_SOURCE = _schema(
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
 
+PO_LAYER = StructType([*PO_RECEIPTS.fields, T.StructField("po_month", T.DateType())])
+
 LAYER_SCHEMAS = {
+    "purchase_orders": PO_LAYER,
     "staging": STAGED_INVENTORY,
     "demand_signals": DEMAND_SIGNALS,
     "sku_risk_features": SKU_RISK_FEATURES,

@@ -87,6 +87,16 @@ def purchase_order_receipts(lineitem: DataFrame, orders: DataFrame,
     )
 
 
+# Fixed value: receipts later than this many days before the as-of date come with the second batch.
+LATE_DAYS = 60
+
+
+def po_batches(po: DataFrame, as_of: dt.date = AS_OF) -> list[DataFrame]:
+    """Purchase orders as they come in: all of them with the receipts known by then, later those with late receipts."""
+    late = F.col("receipt_date") > F.lit(as_of - dt.timedelta(days=LATE_DAYS))
+    return [po.withColumn("receipt_date", F.when(~late, F.col("receipt_date"))), po.where(late)]
+
+
 def event_messages(events: DataFrame) -> DataFrame:
     """events -> message envelopes (topic, attribute type, JSON text, attempts).
 

@@ -37,20 +37,32 @@ def _attr(name: str) -> Column:
     return F.col("attributes").getItem(name)
 
 
-def parse_envelope(messages: DataFrame) -> DataFrame:
+# The decoded payload, carried between steps so that a message is parsed once.
+DOC = "__doc"
+
+
+def _field(doc: Column, name: str) -> Column:
+    """A top-level field of a decoded payload as text; NULL where it has none."""
+    return F.try_variant_get(doc, f"$.{name}", "string")
+
+
+def parse_envelope(messages: DataFrame, keep_doc: bool = False) -> DataFrame:
     """Decode the payload; fall back to {"raw_data": text} when it is not JSON.
 
     event_type = attributes.event_type, else payload.event_type, else 'unknown'.
+    ``keep_doc`` leaves the decoded payload (a VARIANT) in the rows, for
+    ``parse_inventory_events`` to read its fields from.
     """
     text = F.col("data").cast("string")
-    valid = F.try_parse_json(text).isNotNull()
+    decoded = messages.withColumn(DOC, F.try_parse_json(text))
+    doc = F.col(DOC)
+    valid = doc.isNotNull()
     payload = F.when(valid, text).otherwise(F.to_json(F.struct(text.alias("raw_data"))))
-    from_payload = F.when(valid, F.get_json_object(text, "$.event_type"))
-    et = F.coalesce(F.nullif(_attr("event_type"), F.lit("")), F.nullif(from_payload, F.lit("")), F.lit(UNKNOWN))
-    return messages.select(
+    et = F.coalesce(F.nullif(_attr("event_type"), F.lit("")), F.nullif(_field(doc, "event_type"), F.lit("")), F.lit(UNKNOWN))
+    return decoded.select(
         "message_id", "topic", et.alias("event_type"), payload.alias("payload"),
         "publish_time", F.col("delivery_attempt").cast("int").alias("delivery_attempt"),
-        valid.alias("payload_is_json"))
+        valid.alias("payload_is_json"), *([DOC] if keep_doc else []))
 
 
 def validate_events(envelopes: DataFrame, config: Mapping[str, dict] = TOPIC_CONFIG) -> DataFrame:
@@ -88,12 +100,15 @@ def parse_inventory_events(envelopes: DataFrame, run_ts: dt.datetime,
     an integer (blank = missing). Timestamp: payload.timestamp, else the
     message publish time. Rows that cannot be used are kept with reasons
     (dead-letter output), never raised. ``carry``: envelope columns to keep.
+    The decoded payload of ``parse_envelope(keep_doc=True)`` is used if it
+    is there, else the payload text is parsed here, once.
     """
-    p = F.col("payload")
-    f = F.json_tuple(p, "transaction_id", "id", "sku_id", "vendor_id", "quantity", "event_type",
-                     "transaction_type", "timestamp")
-    names = ["j_tid", "j_id", "j_sku", "j_vendor", "j_qty", "j_event_type", "j_ttype", "j_ts"]
-    parsed = envelopes.select("*", f.alias(*names))
+    if DOC not in envelopes.columns:
+        envelopes = envelopes.withColumn(DOC, F.try_parse_json("payload"))
+    fields = {"j_tid": "transaction_id", "j_id": "id", "j_sku": "sku_id", "j_vendor": "vendor_id", "j_qty": "quantity",
+              "j_event_type": "event_type", "j_ttype": "transaction_type", "j_ts": "timestamp"}
+    # All fields as one generated row: filters on the result stay above it, so they don't repeat the parse.
+    parsed = envelopes.select("*", F.inline(F.array(F.struct(*[_field(F.col(DOC), name).alias(c) for c, name in fields.items()]))))
 
     def blank_null(c: str) -> Column:
         return F.nullif(F.trim(F.col(c)), F.lit(""))
@@ -143,7 +158,7 @@ def enrich_stream_rows(rows: DataFrame, run_id: str, run_ts: dt.datetime, source
 
 def ingest_events(messages: DataFrame, run_id: str, run_ts: dt.datetime) -> DataFrame:
     """parse envelope -> parse inventory payload -> validate -> enrich (batch or stream)."""
-    env = parse_envelope(messages)
+    env = parse_envelope(messages, keep_doc=True)
     rows = parse_inventory_events(env, run_ts)
     return enrich_stream_rows(rows, run_id, run_ts)
 
@@ -151,7 +166,7 @@ def ingest_events(messages: DataFrame, run_id: str, run_ts: dt.datetime) -> Data
 def ingest_outcomes(messages: DataFrame, run_id: str, run_ts: dt.datetime,
                     max_attempts: int = MAX_DELIVERY_ATTEMPTS) -> DataFrame:
     """Ingested rows with ``status``: ok, retry (rejected, attempts left) or dead_letter (rejected, attempts used)."""
-    env = parse_envelope(messages)
+    env = parse_envelope(messages, keep_doc=True)
     rows = enrich_stream_rows(parse_inventory_events(env, run_ts, carry=("delivery_attempt",)), run_id, run_ts)
     return dead_letter_split(rows, max_attempts)
 

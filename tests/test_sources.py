@@ -82,8 +82,8 @@ def test_head_sample(spark):
 def test_layer_views(spark, x001):
     from riskloom.plans.pipeline import register_layer_views, run_pipeline
     out = shared_dir(spark, "layers")
-    rep = run_pipeline(spark, x001.raw, x001.po, out, x001.as_of, x001.run_ts, x001.run_id)
-    assert [r.passed for r in rep.collect()] == [True] * 4
+    rep = run_pipeline(spark, x001.raw, x001.raw_po, out, x001.as_of, x001.run_ts, x001.run_id)
+    assert [r.passed for r in rep.collect()] == [True] * 5
     names = register_layer_views(spark, out)
     assert spark.table(names[0]).count() == x001.staged.count()
 

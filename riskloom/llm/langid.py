@@ -58,6 +58,7 @@ UNKNOWN = "und"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLANK, _BREAK = 32, 10
+_LETTER = r"\p{L}"
 
 
 def fold(id_column: str) -> Column:
@@ -68,7 +69,7 @@ def fold(id_column: str) -> Column:
 def _words(text: Column) -> Column:
     """The lower-cased words between blanks; null where there is no letter."""
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")), F.lit(" "))
-    return F.when(text.rlike(r"\p{L}"), words)
+    return F.when(text.rlike(_LETTER), words)
 
 
 def _grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -174,21 +175,21 @@ def fit(docs: DataFrame, training: Column, id_column: str = "doc_id", text_colum
         least_ratio: float = 0.1, max_grams: int = 1 << 18) -> LanguageFilters:
     """Filters learned from the rows of docs where ``training`` holds; see the module docstring for the bounds."""
     spark = docs.sparkSession
-    words = _words(F.col(f"`{text_column}`"))
-    known = docs.where(training).select(F.col(f"`{id_column}`").alias("id"), words.alias("words"),
+    text = F.col(f"`{text_column}`")
+    known = docs.where(training).select(F.col(f"`{id_column}`").alias("id"), text.alias("text"),
                                         F.col(f"`{lang_column}`").alias("lang")).where(
-        "id is not null and lang is not null and words is not null")
-    # The texts stay out of the choice of rows: ids and hashes only.
-    order = [F.xxhash64("id"), F.col("id")]
-    chosen = (known.select("id", "lang").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-              .where(F.col("r") <= rows_per_language).select("id", "lang").distinct())
+        F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(_LETTER))
     totals = known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").collect()  # a row a language
     languages = [r.lang for r in totals]
     if not languages:
         return LanguageFilters([], [])
     numbers = spark.createDataFrame([(lang, i) for i, lang in enumerate(languages)], "lang string, language int")
-    sample = written(known.join(chosen, ["id", "lang"], "left_semi").join(F.broadcast(numbers), "lang")
-                     .select("words", "language"), "language-sample")
+    # Rows are chosen by ids alone; at most rows_per_language of each are broadcast, so no text is shuffled.
+    order = [F.xxhash64("id"), F.col("id")]
+    chosen = (known.select("id", "lang").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+              .where(F.col("r") <= rows_per_language).select("id", "lang").distinct().join(F.broadcast(numbers), "lang"))
+    sample = written(known.join(F.broadcast(chosen), ["id", "lang"]).select(_words(F.col("text")).alias("words"), "language"),
+                     "language-sample")
     n_sampled = dict(sample.groupBy("language").count().collect())
     share = F.col("n_texts") / F.element_at(F.create_map(*[F.lit(x) for kv in n_sampled.items() for x in kv]),
                                             F.col("language"))

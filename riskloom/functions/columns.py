@@ -12,6 +12,10 @@ DEMAND_TYPES = ("shipment", "consumption", "transfer_out")
 
 # Risk score weights and band cut-offs.
 RISK_WEIGHTS = {"late": 0.3, "stockout": 0.3, "coverage": 0.2, "variability": 0.2}
+# Limits of the supply-risk rule.
+FLAG_ACCELERATION = 1.2
+FLAG_LATE = 0.25
+FLAG_P90 = 21
 HIGH_BAND = 0.7
 MEDIUM_BAND = 0.4
 
@@ -81,16 +85,24 @@ def risk_score(late="late_delivery_rate", stockout_days="stockout_days_30d",
     return strict_least(F.lit(1.0), strict_greatest(F.lit(0.0), raw))
 
 
-def supply_risk_flag(stockout_flag="stockout_flag", acceleration="demand_acceleration_ratio",
-                     late="late_delivery_rate", days_of_supply="days_of_supply",
-                     lead_p90="lead_time_p90", default_p90: int = 21) -> Column:
-    """Ordered three-branch flag; NULL comparisons fall through to the next branch."""
-    return (F.when((_c(stockout_flag) == 1) & (_c(acceleration) > 1.2), F.lit(1))
-            .when(F.coalesce(_c(late), F.lit(0.0)) > 0.25, F.lit(1))
-            .when(_c(days_of_supply) < F.coalesce(_c(lead_p90), F.lit(default_p90)), F.lit(1))
+def supply_risk_branch(stockout_flag="stockout_flag", acceleration="demand_acceleration_ratio",
+                       late="late_delivery_rate", days_of_supply="days_of_supply",
+                       lead_p90="lead_time_p90", default_p90: int = FLAG_P90) -> Column:
+    """Which branch of the ordered rule fires: 1 stockout and rising demand, 2 late vendor, 3 short coverage, 0 none.
+
+    NULL comparisons fall through to the next branch.
+    """
+    return (F.when((_c(stockout_flag) == 1) & (_c(acceleration) > FLAG_ACCELERATION), F.lit(1))
+            .when(F.coalesce(_c(late), F.lit(0.0)) > FLAG_LATE, F.lit(2))
+            .when(_c(days_of_supply) < F.coalesce(_c(lead_p90), F.lit(default_p90)), F.lit(3))
             .otherwise(F.lit(0)))
 
 
+def supply_risk_flag(*args, **kwargs) -> Column:
+    """1 where any branch of ``supply_risk_branch`` fires."""
+    return F.when(supply_risk_branch(*args, **kwargs) > 0, F.lit(1)).otherwise(F.lit(0))
+
+
 def risk_level(score="risk_score", high: float = HIGH_BAND, medium: float = MEDIUM_BAND) -> Column:
     return (F.when(_c(score) >= high, F.lit("HIGH"))
             .when(_c(score) >= medium, F.lit("MEDIUM"))

@@ -115,11 +115,7 @@ def _sku_risk_features(x: Inputs) -> DataFrame:
 def _supply_risk_flag(x: Inputs) -> DataFrame:
     """Which branch of the ordered flag fires, per SKU."""
     f = x.features
-    branch = (F.when((F.col("stockout_flag") == 1) & (F.col("demand_acceleration_ratio") > 1.2), F.lit(1))
-              .when(F.col("late_delivery_rate") > 0.25, F.lit(2))
-              .when(F.col("days_of_supply") < F.col("lead_time_p90"), F.lit(3))
-              .otherwise(F.lit(0)))
-    return f.select("sku_id", "supply_risk_flag", branch.alias("flag_branch"))
+    return f.select("sku_id", "supply_risk_flag", fc.supply_risk_branch().alias("flag_branch"))
 
 
 @query("risk_score")

@@ -11,8 +11,9 @@ from riskloom.operators import evaluation as evl
 from riskloom.operators import featurestore as fs
 from riskloom.operators import ml
 from riskloom.plans.context import Inputs
-from riskloom.plans.oracle import AS_OF, RUN_ID, oracle, r6, training_oracle
+from riskloom.plans.oracle import AS_OF, ORACLES, RUN_ID, oracle, r6, training_oracle
 from riskloom.plans.registry import query
+from riskloom.plans.stored import stored_path
 from riskloom.sources.sinks import write_predictions
 from riskloom.streaming.runner import materialize
 from riskloom.session import shared_dir
@@ -326,17 +327,23 @@ def _training_run(x: Inputs) -> DataFrame:
     return run_training(x.spark, x.training_table, shared_dir(x.spark, "model-registry"), x.run_id, x.run_ts)
 
 
+def _registry(x: Inputs) -> str:
+    """The session's model registry; a training run fills it once, apart from any scoring."""
+    def fill(path: str) -> None:
+        from riskloom.plans.training import run_training
+        report = run_training(x.spark, x.training_table, path, x.run_id, x.run_ts).first()
+        if not report.registered:
+            raise ValueError("the training run's model did not pass its gate: nothing is registered")
+    sources = [f"{x.sf_dir}/{t}.parquet" for t in ("lineitem", "orders")]
+    return stored_path(x.spark, f"model-registry-{x.sku_mod}", sources, fill)
+
+
 @query("batch_score_model")
 def _batch_score(x: Inputs) -> DataFrame:
-    """Newest registered model over the latest features, written as JSON Lines and read back.
-
-    The model comes from a gated training run; if the gate fails, nothing is
-    registered and scoring stops with an error.
-    """
-    from riskloom.plans.training import run_training, score_latest
-    registry, out = shared_dir(x.spark, "model-registry"), shared_dir(x.spark, "predictions")
-    run_training(x.spark, x.training_table, registry, x.run_id, x.run_ts).collect()
-    scores = score_latest(x.spark, registry, ml.engineer(x.features_table), x.run_ts)
+    """The registry's current model over the latest features, written as JSON Lines and read back."""
+    from riskloom.plans.training import score_latest
+    out = shared_dir(x.spark, "predictions")
+    scores = score_latest(x.spark, _registry(x), ml.engineer(x.features_table), x.run_ts)
     write_predictions(scores, out)
     return x.spark.read.schema(scores.schema).json(out)
 
@@ -387,3 +394,14 @@ steps AS (SELECT 1 AS step, n_orders AS rows_in, n_orders AS inserted, CAST(0 AS
   UNION ALL SELECT 2, n, 0, n, 0, m, 0 FROM l
   UNION ALL SELECT 3, n, 0, 0, n, m, 0 FROM l)
 SELECT steps.*, totals.* FROM steps, totals""")
+
+
+@query("sql_template_chain")
+def _sql_template_chain(x: Inputs) -> DataFrame:
+    """The chain run from the named SQL templates, every step a written table: the scores."""
+    from riskloom.plans.templates import chain_values, run_chain
+    made = run_chain(x.spark, x.raw, x.po, shared_dir(x.spark, "template-chain"), chain_values(x.as_of, x.run_ts, x.run_id))
+    return made["scores"]
+
+
+ORACLES["sql_template_chain"] = ORACLES["delay_risk_scores"]

@@ -7,6 +7,8 @@ folder, then return the sink read back as a batch DataFrame.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from riskloom.plans.context import Inputs
 from riskloom.plans.oracle import RUN_ID, RUN_TS, oracle
 from riskloom.plans.registry import query
 from riskloom.schemas import EVENTS_SOURCE
+from riskloom.session import shared_dir
 from riskloom.sources import fixtures as fx
 from riskloom.streaming import events as ev
 from riskloom.streaming import runner as rn
@@ -177,6 +180,35 @@ stream_oracle("consume_stats", """SELECT CASE WHEN NOT is_valid THEN 'invalid'
     ELSE 'failed' END AS status, COUNT(*) AS n_messages FROM val2 GROUP BY 1""")
 
 
+# Fixed value: files, and so micro-batches, of the consumer's source.
+CONSUMER_BATCHES = 4
+
+
+def _strict_handler(message: dict) -> bool:
+    """Example of a handler in Python: it can't do without a quantity, refuses every seventh one, wants it positive."""
+    quantity = json.loads(message["payload"])["quantity"]
+    if quantity % 7 == 0:
+        raise ValueError("quantity refused")
+    return quantity > 0
+
+
+@query("consume_summary")
+def _consume_summary(x: Inputs) -> DataFrame:
+    """A Python handler that raises on some rows, over several micro-batches: the counters of the run."""
+    path = shared_dir(x.spark, "consumer-source")
+    x.table("events").repartitionByRange(CONSUMER_BATCHES, "event_id").write.parquet(path)
+    source = rn.read_events_stream(x.spark, path, EVENTS_SCHEMA, max_files_per_trigger=1)
+    handler = ev.row_handler(_strict_handler)
+    return ev.consume_summary(rn.consume_counters(fx.event_messages(source), lambda b: ev.consume(b, handler), "consume-summary"))
+
+
+stream_oracle("consume_summary", f""", q AS (SELECT is_valid, TRY_CAST(json_extract_string(payload, '$.quantity') AS BIGINT) AS q FROM val2)
+SELECT CAST(count_if(is_valid AND COALESCE(q % 7 <> 0 AND q > 0, FALSE)) AS BIGINT) AS processed,
+  CAST(count_if(is_valid AND NOT COALESCE(q % 7 <> 0 AND q > 0, FALSE)) AS BIGINT) AS failed,
+  CAST(count_if(NOT is_valid) AS BIGINT) AS invalid,
+  CAST(count_if(is_valid AND (q IS NULL OR q % 7 = 0)) AS BIGINT) AS raised, CAST({CONSUMER_BATCHES} AS BIGINT) AS batches FROM q""")
+
+
 def _complete(df: DataFrame) -> DataFrame:
     """A dead-letter fix: the topic's type, an id from the message and one unit, for payloads that are JSON objects."""
     typed = ev.default_type_fix(TOPIC_DEFAULT_TYPE)(df)

@@ -27,12 +27,17 @@ def _state(spark: SparkSession, sources: Sequence[str]) -> int:
     return total
 
 
-def stored(spark: SparkSession, name: str, sources: Sequence[str], build: Callable[[str], None]) -> DataFrame:
-    """The table ``name``, which ``build(path)`` writes, as a stored table."""
+def stored_path(spark: SparkSession, name: str, sources: Sequence[str], build: Callable[[str], None]) -> str:
+    """The folder that ``build(path)`` has filled for this session and these sources."""
     key = (spark.sparkContext.applicationId, name, *sources, _state(spark, sources))
     path = _TABLES.get(key)
     if path is None or list_files(spark, path, "*.parquet").isEmpty():
         path = shared_dir(spark, name)
         build(path)
         _TABLES[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def stored(spark: SparkSession, name: str, sources: Sequence[str], build: Callable[[str], None]) -> DataFrame:
+    """The table ``name``, which ``build(path)`` writes, as a stored table."""
+    return spark.read.parquet(stored_path(spark, name, sources, build))

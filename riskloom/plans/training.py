@@ -2,7 +2,8 @@
 
 A plain driver function chaining Spark jobs. Only report-sized results
 (one metrics row, one verdict) reach the driver; data stays in Spark.
-The registry is a manifest table next to the saved MLlib pipelines.
+Versions and the record of the current one are in ``models``; scoring only
+loads, it never trains.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from riskloom.operators import evaluation as evl
 from riskloom.operators import ml
 from riskloom.operators.quality import validate_features
 from riskloom.operators.scoring import read_latest_snapshot
+from riskloom.plans.models import ModelRegistry
 from riskloom.sources.fixtures import run_ts_lit
 from riskloom.streaming.runner import materialize
 
@@ -46,30 +48,23 @@ def run_training(spark: SparkSession, features: DataFrame, registry: str, run_id
     sizes = data.groupBy("split").count().collect()
     n = {r["split"]: r["count"] for r in sizes}
     registered = bool(g["passed"])
-    path = f"{registry.rstrip('/')}/models/{run_id}"
+    path = None
     if registered:
-        model.write().overwrite().save(path)
-        entry = spark.createDataFrame(
-            [(MODEL_NAME, path, run_id, float(m["f1_score"]), ml.N_TREES, ml.MAX_DEPTH, ml.SEED, snapshot)],
-            "model_name string, model_path string, run_id string, f1_score double, n_trees int, "
-            "max_depth int, seed int, feature_snapshot date").withColumn("created_at", run_ts_lit(run_ts))
-        entry.write.mode("append").parquet(f"{registry.rstrip('/')}/manifest")
+        models = ModelRegistry(spark, registry)
+        seen = models.current(MODEL_NAME)
+        version = models.register(MODEL_NAME, model, test_df, run_id, float(m["f1_score"]), snapshot, run_ts)
+        models.make_current(MODEL_NAME, version, seen)
+        path = f"{registry.rstrip('/')}/models/{MODEL_NAME}/{version}"
     row = (run_id, validation_passed, int(n.get("train", 0)), int(n.get("test", 0)), float(m["f1_score"]),
            float(m["precision"]), float(m["recall"]), float(m["accuracy"]),
            float(auc["roc_auc"]) if auc and auc["roc_auc"] is not None else None,
-           bool(g["passed"]), registered, path if registered else None)
+           bool(g["passed"]), registered, path)
     return spark.createDataFrame([row], REPORT_SCHEMA)
 
 
 def score_latest(spark: SparkSession, registry: str, engineered: DataFrame, run_ts: dt.datetime) -> DataFrame:
-    """Score the newest feature snapshot with the newest registered model."""
-    from pyspark.ml import PipelineModel
-
-    manifest = spark.read.parquet(f"{registry.rstrip('/')}/manifest")
-    latest = ml.latest_model(manifest, MODEL_NAME).first()
-    if latest is None:
-        raise ValueError("no registered model")
-    model = PipelineModel.load(latest["model_path"])
+    """Score the newest feature snapshot with the current model, whose F1 is checked against its manifest row."""
+    model, _ = ModelRegistry(spark, registry).load(MODEL_NAME)
     snap = read_latest_snapshot(engineered)
     out = ml.score(model, snap)
     return out.select("sku_id", "vendor_id", F.col("score").alias("risk_score"),

@@ -23,7 +23,7 @@ FOOTER = ("path string, n_bytes bigint, modified timestamp, n_rows bigint, n_row
           "columns array<struct<name:string, n_values:bigint, n_nulls:bigint, low:double, high:double>>")
 
 
-def _store(uri: str) -> tuple[pafs.FileSystem, str]:
+def store_path(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI as Spark writes it (``file:/x``) or of a plain path."""
     if uri.startswith("file:") or uri.startswith("/"):
         return pafs.LocalFileSystem(), "/" + unquote(uri.removeprefix("file:")).lstrip("/")
@@ -90,7 +90,7 @@ def parquet_footers(spark: SparkSession, root: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                fs, path = _store(row["path"])
+                fs, path = store_path(row["path"])
                 with fs.open_input_file(path) as f:
                     meta = pq.ParquetFile(f).metadata
                 row |= {"n_rows": meta.num_rows, "n_row_groups": meta.num_row_groups, "columns": _columns(meta)}
@@ -103,7 +103,7 @@ def remove_folders(folders: DataFrame, column: str = "folder") -> DataFrame:
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column(0).to_pylist():
-                fs, path = _store(uri)
+                fs, path = store_path(uri)
                 existed = fs.get_file_info(path).type != pafs.FileType.NotFound
                 if existed:
                     fs.delete_dir(path)

@@ -9,8 +9,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from riskloom.operators.staging import REQUIRED_FIELDS
 from riskloom.sources.fixtures import run_ts_lit
@@ -176,20 +178,52 @@ INGEST_COLUMNS = ("message_id", "topic", "transaction_id", "sku_id", "vendor_id"
                   "source_system", "ingestion_date", "pipeline_run_id", "_ingested_at")
 
 
+# Columns of a message that a row handler is given.
+MESSAGE = ("message_id", "topic", "event_type", "payload", "publish_time", "delivery_attempt")
+
+
+def row_handler(fn: Callable[[dict], bool], columns: Sequence[str] = MESSAGE) -> Callable[[DataFrame], Column]:
+    """A handler for ``consume`` from a Python function of one message (a dict) that says whether it succeeded.
+
+    It runs on Arrow batches, for valid messages only. What it raises stays
+    with its row, as the error text; the batch goes on.
+    """
+    @F.pandas_udf("ok boolean, error string")
+    def run(valid: pd.Series, messages: pd.DataFrame) -> pd.DataFrame:
+        ok, errors = [], []
+        for is_valid, message in zip(valid, messages.to_dict("records")):
+            result, error = None, None
+            if is_valid:
+                try:
+                    result = bool(fn(message))
+                except Exception as e:  # the handler is the user's: whatever it raises
+                    error = f"{type(e).__name__}: {e}"
+            ok.append(result)
+            errors.append(error)
+        return pd.DataFrame({"ok": pd.array(ok, dtype="boolean"), "error": errors})
+
+    return lambda v: run(F.col("is_valid"), F.struct(*columns))
+
+
 def consume(messages: DataFrame, handler: Callable[[DataFrame], Column],
             max_attempts: int = MAX_DELIVERY_ATTEMPTS) -> DataFrame:
-    """Per message status: invalid / failed (handler false or NULL) / processed, plus retry flag.
+    """Per message status: invalid / failed (handler false, NULL or raising) / processed, plus error and retry flag.
 
     ``handler`` maps the validated envelopes to a boolean Column (a built-in
-    expression or a pandas UDF), evaluated per row inside Spark.
+    expression or a pandas UDF), or to a struct of ok and error, as
+    ``row_handler`` makes from a Python function.
     """
     v = validate_events(parse_envelope(messages))
-    ok = handler(v)
+    handled = v.withColumn("__handled", handler(v))
+    if isinstance(handled.schema["__handled"].dataType, StructType):
+        ok, error = F.col("__handled.ok"), F.col("__handled.error")
+    else:
+        ok, error = F.col("__handled"), F.lit(None).cast("string")
     status = (F.when(~F.col("is_valid"), F.lit("invalid"))
               .when(F.coalesce(ok, F.lit(False)), F.lit("processed"))
               .otherwise(F.lit("failed")))
-    return v.withColumn("status", status).withColumn(
-        "nack_for_retry", (F.col("status") != "processed") & (F.col("delivery_attempt") < max_attempts))
+    return handled.withColumn("status", status).withColumn("error", F.when(F.col("status") == "failed", error)).withColumn(
+        "nack_for_retry", (F.col("status") != "processed") & (F.col("delivery_attempt") < max_attempts)).drop("__handled")
 
 
 def consume_stats(statuses: DataFrame) -> DataFrame:
@@ -197,6 +231,15 @@ def consume_stats(statuses: DataFrame) -> DataFrame:
     return statuses.groupBy("status").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
+def consume_summary(counters: DataFrame) -> DataFrame:
+    """One row for a run: processed, failed, invalid, those of the failed that raised, and micro-batches."""
+    def of(status: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("status") == status, F.col("n_messages"))), F.lit(0)).cast("long").alias(status)
+    return counters.agg(of("processed"), of("failed"), of("invalid"),
+                        F.coalesce(F.sum("n_raised"), F.lit(0)).cast("long").alias("raised"),
+                        F.count_distinct("batch_id").alias("batches"))
+
+
 def dlq_replay(dead: DataFrame, loaded: DataFrame, fix: Callable[[DataFrame], DataFrame],
                run_id: str, run_ts: dt.datetime) -> DataFrame:
     """Re-run parse + validate over fixed dead letters; keep survivors not already loaded."""

@@ -112,21 +112,21 @@ def run_outcomes(stream_df: DataFrame, name: str, status_col: str = "status") ->
 
 
 def consume_counters(stream_df: DataFrame, statuses: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """Per-micro-batch counters: ``statuses`` maps a batch to (status) rows; each batch appends
-    (batch_id, status, n_messages) to a counters table in the shared folder, read back at the end."""
+    """Per-micro-batch counters: ``statuses`` maps a batch to (status, error) rows; each batch appends
+    (batch_id, status, n_messages, n_raised) to a counters table in the shared folder, read back at the end."""
     spark = stream_df.sparkSession
     base = shared_dir(spark, name)
     out = f"{base}/counters"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        counts = statuses(batch).groupBy("status").agg(F.count(F.lit(1)).alias("n_messages"))
+        counts = statuses(batch).groupBy("status").agg(F.count(F.lit(1)).alias("n_messages"), F.count("error").alias("n_raised"))
         idempotent_batch_write(counts, out, batch_id)
 
     q = start_foreach_batch(stream_df, sink, f"{base}/_checkpoint")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.schema("status string, n_messages bigint, batch_id bigint").parquet(out)
+    return spark.read.schema("status string, n_messages bigint, n_raised bigint, batch_id bigint").parquet(out)
 
 
 def run_to_table(stream_df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -32,5 +32,5 @@ def test_model_keys_after_pipeline_report(spark):
     """Order used by the correctness run: the pipeline report, then a model key, in one session."""
     import __spark_entry__ as se
     q = se.queries()
-    assert q["pipeline_report"](spark, "/root/testdata/sf0.001").count() == 4
+    assert q["pipeline_report"](spark, "/root/testdata/sf0.001").count() == 5
     assert q["batch_score_model"](spark, "/root/testdata/sf0.001").count() > 0

@@ -149,26 +149,39 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, max_bits: int = 3, word
     return rows.join(of_class, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
+# Rows of ids and hashes up to which Spark may plan the decisions' join as it likes (a broadcast is bounded by its size).
+SMALL_DECISIONS = 200_000
+
+
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Keep one document of each component: the one whose id names it. Columns as in docs.
 
     If several rows of a component have that id, one of them stays (smallest
     text hash). Components without any id can't be named; all their rows stay.
+
+    All is decided on ids and hashes, stored as a table; then the documents
+    are read once and matched with it. Beyond ``SMALL_DECISIONS`` rows the
+    match is a hash join whose built side are the decisions, so texts are
+    shuffled once and never sorted.
     """
     found = written(_rooted(docs, id_col, text_col, **options), "near-duplicates")
     own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    named = found.where(F.col("component_id").isNotNull() & own).groupBy("root", "doc_id").agg(
+        F.min("text_hash").alias("text_hash"))
+    # Rows with one id and one text that must become one; usually none.
+    times = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    nameless = found.where(F.col("component_id").isNull()).select("doc_id", "text_hash").distinct()
+    kept = written(named.select("doc_id", "text_hash").distinct().join(times, ["doc_id", "text_hash"]).unionByName(
+        nameless.withColumn("n", F.lit(1).cast("long"))), "kept-documents")
+    n_kept, n_repeated = kept.agg(F.count(F.lit(1)), F.count_if(F.col("n") > 1)).first()
     here, text_hash = F.col(f"`{id_col}`"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    gone = found.where(F.col("component_id").isNotNull() & ~own).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    left = docs.join(gone, here.eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
-    # Ids that several rows of one component bear; usually none. Another component may have the same id.
-    owners = found.where(F.col("component_id").isNotNull() & own)
-    again = owners.groupBy("root", "doc_id").agg(
-        F.min("text_hash").alias("__low"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
-    copies = owners.join(again, ["root", "doc_id"]).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-        (F.col("text_hash") == F.col("__low")).alias("__first")).distinct()
-    same = (here == F.col("__id")) & (text_hash == F.col("__hash"))
-    once = left.join(copies, same, "left_anti")
-    repeated = left.join(copies.where("__first").drop("__first"), same)
-    return once.unionByName(repeated.dropDuplicates([id_col, "__hash"]).drop("__id", "__hash"))
+
+    def matched(decisions: DataFrame) -> DataFrame:
+        side = decisions.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+        if n_kept > SMALL_DECISIONS:
+            side = side.hint("shuffle_hash")
+        return docs.join(side, here.eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_semi")
+    if not n_repeated:
+        return matched(kept)
+    again = matched(kept.where("n > 1")).withColumn("__hash", text_hash).dropDuplicates([id_col, "__hash"]).drop("__hash")
+    return matched(kept.where("n = 1")).unionByName(again)

@@ -60,22 +60,27 @@ def entity_sku_ext(features: DataFrame) -> DataFrame:
 def entity_vendor_ext(po: DataFrame, lines: DataFrame, as_of: dt.date) -> DataFrame:
     """on_time_rate = 1 - late rate; defect_rate = share of returned lines up to as_of.
 
-    ``lines`` carries vendor_id, a returned flag (0/1) and line_date.
+    ``lines`` carries vendor_id, a returned flag (0/1) and line_date. Every
+    vendor with either is a row: one without a purchase order in the window
+    has no on_time_rate (NULL), one without lines a defect_rate of 0.
     """
     v = vendor_lead_times(po, as_of, grain=("vendor_id",))
     d = (lines.where(F.col("line_date") <= F.lit(as_of)).groupBy("vendor_id")
          .agg(F.avg(F.col("returned").cast("double")).alias("defect_rate")))
-    return (v.join(d, "vendor_id", "left")
+    return (v.join(d, "vendor_id", "full")
             .select("vendor_id", (F.lit(1.0) - F.col("late_delivery_rate")).alias("on_time_rate"),
                     F.coalesce("defect_rate", F.lit(0.0)).alias("defect_rate"),
                     F.lit(as_of).alias("feature_date")))
 
 
 def entity_order(orders: DataFrame, po: DataFrame, as_of: dt.date) -> DataFrame:
-    """Per order up to as_of: age, longest requested lead time, open orders of its customer."""
+    """Per order up to as_of: age, longest requested lead time, open orders of its customer.
+
+    ``po``: purchase orders that carry the key of their order (``order_key``).
+    """
     o = orders.where(F.to_date("o_orderdate") <= F.lit(as_of)).select(
         "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"), "o_orderstatus")
-    lead = (po.groupBy(F.split_part("po_id", F.lit("-"), F.lit(1)).cast("long").alias("o_orderkey"))
+    lead = (po.where(F.col("order_key").isNotNull()).groupBy(F.col("order_key").alias("o_orderkey"))
             .agg(F.max(F.datediff("expected_date", "po_date")).alias("requested_lead_time")))
     backlog = (o.where(F.col("o_orderstatus") == "O").groupBy("o_custkey")
                .agg(F.count(F.lit(1)).alias("backlog_depth")))

@@ -112,6 +112,7 @@ def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = (
         F.col("po_date").try_cast("date").alias("po_date"),
         F.col("expected_date").try_cast("date").alias("expected_date"),
         F.col("receipt_date").try_cast("date").alias("receipt_date"),
+        (F.col("order_key") if "order_key" in raw_po.columns else F.lit(None)).cast("long").alias("order_key"),
         *[F.col(k) for k in tie_keys],
     ).where(F.col("po_id").isNotNull() & F.col("po_date").isNotNull())
     deduped = dedup_latest(typed, "po_id", po_order(tie_keys))
@@ -119,7 +120,7 @@ def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = (
         "po_id", "vendor_id", "sku_id", "po_date", "expected_date", "receipt_date",
         F.col("receipt_date").cast("timestamp_ntz").alias("receipt_timestamp"),
         F.datediff("receipt_date", "po_date").cast("long").alias("lead_days"),
-        (F.col("receipt_date") < F.col("po_date")).alias("receipt_before_po"),
+        (F.col("receipt_date") < F.col("po_date")).alias("receipt_before_po"), "order_key",
     )
 
 

@@ -41,7 +41,8 @@ raw_po AS (
     CAST(o_orderdate AS DATE) AS po_date,
     CAST(o_orderdate AS DATE) + CAST(35 + l_suppkey % 15 AS INT) AS expected_date,
     CASE WHEN (l_orderkey + l_linenumber) % 23 <> 0
-         THEN CAST(o_orderdate AS DATE) + CAST(1 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber) % 45 AS INT) END AS receipt_date
+         THEN CAST(o_orderdate AS DATE) + CAST(1 + (l_partkey * 7 + l_suppkey * 13 + l_linenumber) % 45 AS INT) END AS receipt_date,
+    l_orderkey AS order_key
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 purchase_order_receipts AS (
@@ -224,7 +225,7 @@ oracle("stage_po_receipts", """
 SELECT po_id, vendor_id, sku_id, po_date, expected_date, receipt_date,
   CAST(receipt_date AS TIMESTAMP) AS receipt_timestamp,
   date_diff('day', po_date, receipt_date) AS lead_days,
-  receipt_date < po_date AS receipt_before_po
+  receipt_date < po_date AS receipt_before_po, order_key
 FROM raw_po WHERE po_id IS NOT NULL AND po_date IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY po_id ORDER BY receipt_date DESC NULLS LAST,
   vendor_id ASC, sku_id ASC, expected_date ASC) = 1""")

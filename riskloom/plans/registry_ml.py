@@ -82,9 +82,9 @@ def _entity_vendor_ext(x: Inputs) -> DataFrame:
 oracle("entity_vendor_ext", _VENDOR_SQL + f""", dr AS (
   SELECT 'V-' || CAST(l_suppkey % 10 AS VARCHAR) AS vendor_id, avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS defect_rate
   FROM lineitem WHERE CAST(l_shipdate AS DATE) <= {AS_OF} GROUP BY 1)
-SELECT vg.vendor_id, {r6('1.0::DOUBLE - late_delivery_rate', 'on_time_rate')},
+SELECT vendor_id, {r6('1.0::DOUBLE - late_delivery_rate', 'on_time_rate')},
   {r6('COALESCE(CAST(dr.defect_rate AS DOUBLE), 0.0)', 'defect_rate')}, {AS_OF} AS feature_date
-FROM vg LEFT JOIN dr ON vg.vendor_id = dr.vendor_id""")
+FROM vg FULL JOIN dr USING (vendor_id)""")
 
 
 @query("entity_order")
@@ -93,7 +93,7 @@ def _entity_order(x: Inputs) -> DataFrame:
 
 
 oracle("entity_order", f""", o AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) <= {AS_OF}),
-lt AS (SELECT CAST(split_part(po_id, '-', 1) AS BIGINT) AS k, max(date_diff('day', po_date, expected_date)) AS rl
+lt AS (SELECT order_key AS k, max(date_diff('day', po_date, expected_date)) AS rl
        FROM purchase_order_receipts GROUP BY 1),
 bl AS (SELECT o_custkey, COUNT(*) AS b FROM o WHERE o_orderstatus = 'O' GROUP BY 1)
 SELECT o.o_orderkey AS order_id, CAST(date_diff('day', CAST(o.o_orderdate AS DATE), {AS_OF}) AS BIGINT) AS days_since_order,

@@ -20,6 +20,7 @@ from riskloom.operators.quality import validate_features
 from riskloom.operators.scoring import read_latest_snapshot
 from riskloom.plans.models import ModelRegistry
 from riskloom.sources.fixtures import run_ts_lit
+from riskloom.sources.sinks import write_report
 from riskloom.streaming.runner import materialize
 
 MODEL_NAME = "delay_risk_rf"
@@ -59,7 +60,9 @@ def run_training(spark: SparkSession, features: DataFrame, registry: str, run_id
            float(m["precision"]), float(m["recall"]), float(m["accuracy"]),
            float(auc["roc_auc"]) if auc and auc["roc_auc"] is not None else None,
            bool(g["passed"]), registered, path)
-    return spark.createDataFrame([row], REPORT_SCHEMA)
+    # The report of every run is kept beside the models, as JSON Lines, and read back from there.
+    path = write_report(spark.createDataFrame([row], REPORT_SCHEMA), f"{registry.rstrip('/')}/reports/{run_id}")
+    return spark.read.schema(REPORT_SCHEMA).json(path)
 
 
 def score_latest(spark: SparkSession, registry: str, engineered: DataFrame, run_ts: dt.datetime) -> DataFrame:

@@ -29,7 +29,7 @@ STAGED_INVENTORY = _schema(
     "processed_at timestamp_ntz, pipeline_run_id string, schema_version string")
 PO_RECEIPTS = _schema(
     "po_id string, vendor_id string, sku_id string, po_date date, expected_date date, receipt_date date, "
-    "receipt_timestamp timestamp_ntz, lead_days bigint, receipt_before_po boolean")
+    "receipt_timestamp timestamp_ntz, lead_days bigint, receipt_before_po boolean, order_key bigint")
 DEMAND_SIGNALS = _schema(
     "sku_id string, signal_date date, demand_7d bigint, demand_30d bigint, demand_90d bigint, "
     "demand_cv_30d double, stockout_days_30d bigint, stockout_flag int, days_of_supply double, "

@@ -84,6 +84,7 @@ def purchase_order_receipts(lineitem: DataFrame, orders: DataFrame,
         F.when((l("l_orderkey") + l("l_linenumber")) % 23 != 0, F.date_add(
             l("po_date"), (F.lit(1) + (l("l_partkey") * 7 + l("l_suppkey") * 13 + l("l_linenumber")) % 45)
             .cast("int"))).alias("receipt_date"),
+        l("l_orderkey").alias("order_key"),
     )
 
 

@@ -159,3 +159,15 @@ def test_dead_letter_replay_recovers_fixed_messages(spark):
     fix = ev.default_type_fix({"inventory-events": "adjustment", "order-events": "order_placed"})
     out = ev.dlq_replay(dead, loaded, fix, "r", RUN_TS).collect()
     assert [(r.transaction_id, r.transaction_type, r.quantity) for r in out] == [("t1", "adjustment", 2)]
+
+
+def test_vendors_without_an_order_in_the_window_stay(spark):
+    import datetime as dt
+
+    from riskloom.operators.featurestore import entity_vendor_ext
+    d = dt.date
+    po = spark.createDataFrame([("V1", "S", d(2001, 7, 1), d(2001, 7, 20), d(2001, 7, 30)), ("V2", "S", d(2000, 1, 1), d(2000, 1, 9), None)],
+                               "vendor_id string, sku_id string, po_date date, expected_date date, receipt_date date")
+    lines = spark.createDataFrame([("V2", 1, d(2001, 1, 1)), ("V3", 0, d(2001, 1, 1))], "vendor_id string, returned int, line_date date")
+    got = {r.vendor_id: (r.on_time_rate, r.defect_rate) for r in entity_vendor_ext(po, lines, d(2001, 8, 1)).collect()}
+    assert got == {"V1": (0.0, 0.0), "V2": (None, 1.0), "V3": (None, 0.0)}

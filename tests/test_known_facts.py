@@ -3,13 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.functions.columns import supply_risk_branch
 from riskloom.operators.leadtime import vendor_lead_times
 from riskloom.operators.scoring import delay_risk_scores
 
 FACTS = {
     # sf: (raw, staged, skus, stockout skus, lead groups, branches 1/2/3/none, HIGH/MEDIUM/LOW)
-    "x001": (6000, 4462, 49, 37, 190, (2, 3, 44, 0), (0, 13, 36)),
-    "x01": (60000, 44799, 50, 44, 496, (1, 8, 39, 2), (3, 41, 6)),
+    "x001": (6000, 4462, 49, 37, 154, (2, 3, 44, 0), (0, 13, 36)),
+    "x01": (60000, 44799, 50, 44, 483, (1, 9, 36, 4), (3, 42, 5)),
 }
 
 
@@ -24,10 +25,7 @@ def test_chain_facts(request, fx_name):
     assert sig.where(F.col("stockout_flag") == 1).count() == stockout
     assert vendor_lead_times(x.po, x.as_of).count() == groups
     f = x.features
-    b = (F.when((F.col("stockout_flag") == 1) & (F.col("demand_acceleration_ratio") > 1.2), 1)
-         .when(F.col("late_delivery_rate") > 0.25, 2)
-         .when(F.col("days_of_supply") < F.col("lead_time_p90"), 3).otherwise(0))
-    got = {r[0]: r[1] for r in f.groupBy(b.alias("b")).count().collect()}
+    got = {r[0]: r[1] for r in f.groupBy(supply_risk_branch().alias("b")).count().collect()}
     assert tuple(got.get(i, 0) for i in (1, 2, 3, 0)) == branches
     lv = {r[0]: r[1] for r in delay_risk_scores(f, x.run_ts).groupBy("risk_level").count().collect()}
     assert tuple(lv.get(k, 0) for k in ("HIGH", "MEDIUM", "LOW")) == bands

@@ -67,7 +67,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, with_text=False)
-    return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", "dedup.kept_sha256")
+    return found.select("doc_id", "dedup.n_bytes", "dedup.n_removed", "dedup.n_spans", "dedup.kept_sha256",
+                        (F.col("dedup.n_removed") > 0).alias("repeated"))
 
 
 def op8_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

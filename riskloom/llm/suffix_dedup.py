@@ -31,8 +31,9 @@ suffix array), each with the ``SPAN - 1`` bytes to its left.
    strings of blocks that occur twice. A block that the piece has decided goes
    in once for all contexts with the same strings.
 
-Texts are read by several steps of one plan, from one exchange. Defined
-results: a null or empty text has nothing to remove; texts shorter than
+The different texts are shuffled once, into a table bucketed by key in the
+shared folder, and the anchors are computed once; later steps join to the
+stored texts by key without moving them. Defined results: a null or empty text has nothing to remove; texts shorter than
 ``length`` stay whole; repeated rows have equal results; bytes of a character
 that is partly removed are decoded without the incomplete rest.
 """
@@ -41,6 +42,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +53,7 @@ from pyspark.sql import types as T
 
 from riskloom.llm import text as X
 from riskloom.llm.frames import fresh, written
+from riskloom.session import shared_dir
 
 LENGTH = 400
 SPAN = 300
@@ -60,6 +63,7 @@ SMALL = 6
 BLOCK = 16
 RUN_BYTES = 48 << 20
 BUCKETS_PER_PARTITION = 8
+HOT_SHARE = 1000
 _TABLE32 = np.random.default_rng(5).integers(1, 2**32, 256, dtype=np.uint32) | np.uint32(1)
 _BASE32 = np.uint32(0x9E3779B1)
 
@@ -393,6 +397,31 @@ def _texts(docs: DataFrame, text_col: str) -> DataFrame:
         F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
 
 
+def _stored_texts(docs: DataFrame, text_col: str) -> DataFrame:
+    """The different texts as a table bucketed by key: joins on the key read it without moving a text again."""
+    spark = docs.sparkSession
+    name = f"suffix_texts_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (_texts(docs, text_col).write.format("parquet").bucketBy(buckets, "key")
+     .option("path", shared_dir(spark, "suffix-texts")).saveAsTable(name))
+    return spark.table(name)
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """The anchors whose hash occurs twice.
+
+    A hash that more than one in ``HOT_SHARE`` anchors has needs no join by
+    hash: there are fewer than ``HOT_SHARE`` of them, so they are broadcast,
+    and a passage that very many texts share never meets in one task here.
+    """
+    counts = written(rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "anchor-counts")
+    total = rows.count()
+    hot = F.broadcast(counts.where(F.col("n") > total / HOT_SHARE).select("hash"))
+    rest = counts.where(F.col("n") <= total / HOT_SHARE).select("hash")
+    return rows.join(hot, "hash", "left_semi").unionByName(
+        rows.join(hot, "hash", "left_anti").join(rest, "hash", "left_semi"))
+
+
 def _anchor_rows(texts: DataFrame, length: int, span: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,9 +444,8 @@ def repeats(texts: DataFrame, length: int = LENGTH, span: int = SPAN, cluster_li
     """texts (key, text; different) -> (key, lo, hi): byte ranges that are in repeats; they may overlap."""
     if not GRAM <= length - span + 1:
         raise ValueError("span is too long for this length")
-    rows = _anchor_rows(texts, length, span)
-    twice = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    found = rows.join(twice, "hash").groupBy("key").agg(F.collect_list("at").alias("at"))  # a text's own anchors
+    rows = written(_anchor_rows(texts, length, span), "anchors")
+    found = _repeated(rows).groupBy("key").agg(F.collect_list("at").alias("at"))  # a text's own anchors
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = BUCKETS_PER_PARTITION * partitions
 
@@ -463,7 +491,7 @@ def repeats(texts: DataFrame, length: int = LENGTH, span: int = SPAN, cluster_li
         yield from _batches(rows_of(), _PARTS)
 
     schema = "bucket int, key binary, lo long, hi long, blob binary"
-    parts = texts.join(found, "key").select("key", "text", "at").mapInArrow(runs, schema)
+    parts = texts.join(found.hint("shuffle_hash"), "key").select("key", "text", "at").mapInArrow(runs, schema)
     out = parts.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, schema)
     return out
 
@@ -484,7 +512,7 @@ def _strings(texts: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
                         h = hashlib.blake2b(raw[at:at + length], digest_size=16).digest()
                         yield {"key": key, "lo": at, "hi": at + length, "blob": h}
         yield from _batches(rows_of(), pa.schema([_PARTS.field(n) for n in ("key", "lo", "hi", "blob")]))
-    counted = written(texts.join(asked, "key").select("key", "text", "blocks").mapInArrow(
+    counted = written(texts.join(asked.hint("shuffle_hash"), "key").select("key", "text", "blocks").mapInArrow(
         run, "key binary, lo long, hi long, blob binary"), "repeat-strings")
     twice = counted.groupBy("blob").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("blob")
     return counted.join(twice, "blob", "left_semi").select("key", "lo", "hi")
@@ -524,7 +552,7 @@ def removed(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
 def dedup(docs: DataFrame, text_col: str = "text", out_col: str = "dedup", length: int = LENGTH, span: int = SPAN,
           with_text: bool = True, **options) -> DataFrame:
     """The columns of docs but the text, plus a struct: n_bytes, n_removed, n_spans, kept_sha256, kept_text."""
-    texts = _texts(docs, text_col)
+    texts = _stored_texts(docs, text_col)
     spans = _ranges(repeats(texts, length, span, **options), texts, length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -543,11 +571,11 @@ def dedup(docs: DataFrame, text_col: str = "text", out_col: str = "dedup", lengt
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
                     ("key", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                     ("kept_sha256", pa.string()), ("kept_text", pa.string())]))
-    done = texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(run, _DONE)
+    done = texts.join(spans.hint("shuffle_hash"), "key", "left").select("key", "text", "copies", "spans").mapInArrow(run, _DONE)
     key, out = fresh(docs, "key"), fresh(docs, out_col)
     rows = docs.withColumn(key, F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))).drop(text_col)
     result = done.select(F.col("key").alias("__key"), F.struct(*[F.col(c) for c in done.columns[1:]]).alias(out))
-    return rows.join(result, F.col(key) == F.col("__key")).drop(key, "__key")
+    return rows.hint("shuffle_hash").join(result, F.col(key) == F.col("__key")).drop(key, "__key")
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -133,15 +133,19 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
     weight = [F.lit(max(1.0, totals.get(label, 0) / rows)) for label in (0, 1)]
     joined = texts.join(picked, F.col("doc_id") == F.col("__id")).select(
-        "text", "toxic", (fold("__id") == CALIBRATION_FOLD).alias("calibrate"),
+        "text", "__id", "toxic", (fold("__id") == CALIBRATION_FOLD).alias("calibrate"),
         F.when(F.col("toxic") == 0, weight[0]).otherwise(weight[1]).alias("weight"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = pa.array([_distinct_key(t) for t in batch.column(0).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "key"])
-    return written(joined.mapInArrow(keyed, "text string, toxic int, calibrate boolean, weight double, key long").dropDuplicates(
-        ["key", "toxic"]), "toxicity-sample")
+    id_type = picked.schema["__id"].dataType.simpleString()
+    rows = joined.mapInArrow(keyed, f"text string, `__id` {id_type}, toxic int, calibrate boolean, weight double, key long")
+    # Of near copies the one with the smallest id (then text) stays, whatever order the rows come in.
+    first = F.min_by(F.struct("text", "calibrate", "weight"), F.struct("__id", "text")).alias("first")
+    return written(rows.groupBy("key", "toxic").agg(first).select("first.text", "toxic", "first.calibrate", "first.weight", "key"),
+                   "toxicity-sample")
 
 
 def _counted(sample: DataFrame) -> DataFrame:
@@ -194,7 +198,9 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
         for batch in batches:
             found = [_terms(shared.value.features(t)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_pydict({"x": found, "y": batch.column(1).to_pylist(), "w": batch.column(2).to_pylist()})
-    data = rows.select("text", "toxic", "weight").mapInArrow(run, "x array<double>, y long, w double").collect()
+    # Sorted, so that sums of floating-point numbers don't depend on the order of rows either.
+    data = sorted(rows.select("text", "toxic", "weight").mapInArrow(run, "x array<double>, y long, w double").collect(),
+                  key=lambda r: (r.x, r.y, r.w))
     y, w = np.array([r.y for r in data], dtype=float), np.array([r.w for r in data])
     if not len(y) or y.min() == y.max():
         return model

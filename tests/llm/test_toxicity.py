@@ -76,3 +76,12 @@ def test_a_small_sample_keeps_the_rate_of_the_table(spark):
     # A smaller lexicon finds less; a curve of the sample's own rate would call many clean texts toxic.
     assert sum(few[i] > whole[i] for i in whole) < 0.03 * n
     assert sum(few[i] != whole[i] for i in whole) < 0.15 * n
+
+
+def test_model_does_not_depend_on_row_order(spark):
+    from riskloom.llm import toxicity
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    one = toxicity.fit(docs, labels)
+    two = toxicity.fit(docs.repartition(13), labels.repartition(5))
+    assert one.words == two.words and one.stems == two.stems and one.curve == two.curve

@@ -31,7 +31,7 @@ def stored_path(spark: SparkSession, name: str, sources: Sequence[str], build: C
     """The folder that ``build(path)`` has filled for this session and these sources."""
     key = (spark.sparkContext.applicationId, name, *sources, _state(spark, sources))
     path = _TABLES.get(key)
-    if path is None or list_files(spark, path, "*.parquet").isEmpty():
+    if path is None or list_files(spark, path).isEmpty():
         path = shared_dir(spark, name)
         build(path)
         _TABLES[key] = path

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import normalise_text, round_cast_long, signed_quantity
 
 SCHEMA_VERSION = "v1.0"
+Dedup = Callable[[DataFrame, str, Sequence[Column]], DataFrame]
 
 STAGED_COLUMNS = (
     "transaction_id", "sku_id", "vendor_id", "warehouse_id", "quantity", "transaction_type",
@@ -37,6 +38,33 @@ def dedup_latest(df: DataFrame, key: str | Sequence[str], order: Sequence[Column
     return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
 
 
+# Rows that a task of a sized dedup sorts; keys followed while looking for hot ones.
+ROWS_PER_TASK = 250_000
+FOLLOWED_KEYS = 10_000
+
+
+def dedup_sized(df: DataFrame, key: str, order: Sequence[Column], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``dedup_latest`` for large tables: as many tasks as the rows ask for, and no sort before the shuffle.
+
+    The partial limit of the plain plan sorts whole scan tasks, which spill
+    when those are large. Here one pass over the key column counts the rows
+    and finds keys with more rows than a task should hold (a heavy-hitter
+    sketch; it decides where rows go, never which stay). Those few keys take
+    the plain plan, which cuts them before they move.
+    """
+    top = F.expr(f"approx_top_k(`{key}`, 100, {FOLLOWED_KEYS})")
+    found = df.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    if found.n <= rows_per_task:
+        return dedup_latest(df, key, order)
+    hot = [t["item"] for t in found.top or [] if t["count"] > rows_per_task]
+    tasks = -(-found.n // rows_per_task)
+    if not hot:
+        return dedup_latest(df.repartition(tasks, key), key, order)
+    is_hot = F.coalesce(F.col(f"`{key}`").isin(hot), F.lit(False))
+    return dedup_latest(df.where(~is_hot).repartition(tasks, key), key, order).unionByName(
+        dedup_latest(df.where(is_hot), key, order))
+
+
 def _timestamp() -> Column:
     """Typed transaction timestamp; text that is none becomes NULL (and the row a reject)."""
     return F.col("transaction_timestamp").try_cast("timestamp_ntz")
@@ -58,7 +86,7 @@ def staging_rejects(raw: DataFrame) -> DataFrame:
 
 
 def stage_inventory(raw: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id: str,
-                    tie_keys: Sequence[str] = ()) -> DataFrame:
+                    tie_keys: Sequence[str] = (), dedup: Dedup = dedup_latest) -> DataFrame:
     """Typed, filtered, deduplicated inventory transactions with lineage columns."""
     qty = round_cast_long("quantity")
     typed = raw.select(
@@ -82,7 +110,7 @@ def stage_inventory(raw: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id:
         & F.col("transaction_timestamp").isNotNull() & F.col("quantity").isNotNull()
         & (F.col("quantity") != 0))
     order = [F.col("transaction_timestamp").desc()] + [F.col(k).desc() for k in tie_keys]
-    deduped = dedup_latest(good, "transaction_id", order)
+    deduped = dedup(good, "transaction_id", order)
     return deduped.select(
         *[c for c in STAGED_COLUMNS[:12]],
         F.lit(as_of).alias("ingestion_date"),
@@ -100,10 +128,11 @@ def po_order(tie_keys: Sequence[str] = ()) -> list[Column]:
 
 def po_layer_rows(raw_po: DataFrame) -> DataFrame:
     """Staged purchase orders as the layer stores them: with the month they are partitioned by."""
-    return stage_purchase_order_receipts(raw_po).withColumn("po_month", F.trunc("po_date", "month"))
+    return stage_purchase_order_receipts(raw_po, dedup=dedup_sized).withColumn("po_month", F.trunc("po_date", "month"))
 
 
-def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = ()) -> DataFrame:
+def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = (),
+                                  dedup: Dedup = dedup_latest) -> DataFrame:
     """Typed, deduplicated PO receipts; flags receipts dated before the PO."""
     typed = raw_po.select(
         F.col("po_id").cast("string").alias("po_id"),
@@ -115,7 +144,7 @@ def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = (
         (F.col("order_key") if "order_key" in raw_po.columns else F.lit(None)).cast("long").alias("order_key"),
         *[F.col(k) for k in tie_keys],
     ).where(F.col("po_id").isNotNull() & F.col("po_date").isNotNull())
-    deduped = dedup_latest(typed, "po_id", po_order(tie_keys))
+    deduped = dedup(typed, "po_id", po_order(tie_keys))
     return deduped.select(
         "po_id", "vendor_id", "sku_id", "po_date", "expected_date", "receipt_date",
         F.col("receipt_date").cast("timestamp_ntz").alias("receipt_timestamp"),

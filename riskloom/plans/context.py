@@ -18,7 +18,7 @@ from riskloom.operators.clock import expand_snapshots
 from riskloom.operators.demand import daily_demand_all, demand_signals, signals_from_daily
 from riskloom.operators.features import features_from_parts, sku_risk_features
 from riskloom.operators.leadtime import daily_lead_counts, daily_vendor_counts, sku_vendor_map, vendor_lead_times
-from riskloom.operators.staging import stage_inventory
+from riskloom.operators.staging import dedup_sized, stage_inventory
 from riskloom.plans.pipeline import upsert_purchase_orders
 from riskloom.plans.stored import stored
 from riskloom.session import apply_settings, ensure_checkpoint_dir
@@ -57,7 +57,9 @@ class Inputs:
     def po(self) -> DataFrame:
         """The purchase-order layer: a first batch, then one with late receipts merged in; stored once a session."""
         def build(path: str) -> None:
-            for batch in fx.po_batches(self.raw_po, self.as_of):
+            # Joined once: every batch, and the count that sizes its dedup, reads the stored rows.
+            raw = materialize(self.raw_po, "purchase-orders-raw")
+            for batch in fx.po_batches(raw, self.as_of):
                 upsert_purchase_orders(self.spark, batch, path)
         sources = [f"{self.sf_dir}/{t}.parquet" for t in ("lineitem", "orders")]
         return stored(self.spark, f"purchase-orders-{self.sku_mod}", sources, build)
@@ -109,7 +111,7 @@ class Inputs:
         t = F.lower(F.trim(F.col("transaction_type")))
         raw = raw.withColumn("quantity", F.when(t.isin("receipt", "adjustment_in"), F.col("quantity") * 6)
                              .otherwise(F.col("quantity")))
-        return stage_inventory(raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",))
+        return stage_inventory(raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",), dedup=dedup_sized)
 
     @cached_property
     def training_grid(self) -> tuple[dt.date, int, int]:
@@ -123,9 +125,12 @@ class Inputs:
         """Feature rows for all training snapshots, computed in one job."""
         start, step, count = self.training_grid
         # Aggregate to days first (independent of the snapshot), then copy days to snapshots.
-        daily = expand_snapshots(daily_demand_all(self.training_staged), "transaction_date",
+        # Staged once for both aggregates, with the columns they read.
+        staged = materialize(self.training_staged.select("transaction_id", "sku_id", "vendor_id", "transaction_type",
+                                                         "signed_quantity", "transaction_date"), "training-staged")
+        daily = expand_snapshots(daily_demand_all(staged), "transaction_date",
                                  start, step, count, 120)
-        vendors = expand_snapshots(daily_vendor_counts(self.training_staged), "transaction_date",
+        vendors = expand_snapshots(daily_vendor_counts(staged), "transaction_date",
                                    start, step, count, 90)
         po = expand_snapshots(daily_lead_counts(self.training_po), "po_date", start, step, count, 90)
         signals = signals_from_daily(daily, None, self.run_ts, self.run_id)

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.staging import dedup_latest
+from riskloom.operators.staging import dedup_latest, dedup_sized
 from riskloom.sources.files import list_files, remove_folders
 from riskloom.sources.sinks import write_table
 from riskloom.streaming.runner import materialize
@@ -51,17 +51,19 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: str, order: Se
     whose row changed; unchanged: the others.
     """
     parts, columns = list(partition_by), list(batch.columns)
-    incoming = materialize(dedup_latest(batch, key, order), "upsert-batch")
+    newest = dedup_latest(batch, key, order)
     if list_files(spark, path, "*.parquet").isEmpty():
-        write_table(incoming, path, "WRITE_TRUNCATE", partition_by=parts, cluster_by=cluster_by)
-        n = incoming.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*parts)).alias("p")).first()
+        # A first batch goes straight into the table, and is counted there.
+        write_table(newest, path, "WRITE_TRUNCATE", partition_by=parts, cluster_by=cluster_by)
+        n = spark.read.schema(batch.schema).parquet(path).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*parts)).alias("p")).first()
         return spark.createDataFrame([(n.n, n.n, 0, 0, n.p, 0)], REPORT)
 
+    incoming = materialize(newest, "upsert-batch")
     table = spark.read.parquet(path).select(*columns)
     now = table.select(key, *parts).join(incoming.select(key), key, "left_semi").select(*parts)
     touched = materialize(incoming.select(*parts).unionByName(now).distinct(), "upsert-partitions")
     old = same_parts(table, touched, parts, "left_semi")
-    merged = materialize(dedup_latest(old.unionByName(incoming), key, order), "upsert-merged")
+    merged = materialize(dedup_sized(old.unionByName(incoming), key, order), "upsert-merged")
 
     # Versions before and after, of the batch's keys only.
     digest = F.xxhash64(*[F.col(c) for c in columns])

@@ -91,3 +91,47 @@ def test_chain_continues_the_layer_with_a_later_batch(spark, x001):
     features = spark.read.parquet(f"{out}/ml_features/sku_risk_features")
     assert features.select("sku_id", "po_count_90d", "late_delivery_rate").exceptAll(
         x001.features.select("sku_id", "po_count_90d", "late_delivery_rate")).isEmpty()
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sized_dedup_sorts_nothing_before_the_shuffle(spark):
+    from riskloom.operators.staging import dedup_latest, dedup_sized
+    # Every key twice, one key hot, one NULL.
+    df = spark.range(4000).select(
+        F.when(F.col("id") >= 3900, F.lit(None)).when(F.col("id") >= 3000, F.lit("hot"))
+        .otherwise((F.col("id") % 1500).cast("string")).alias("k"), F.col("id").alias("v"))
+    order = [F.col("v").desc()]
+    want = sorted(map(tuple, dedup_latest(df, "k", order).collect()), key=repr)
+    for size in (10, 100, 800, 5000):
+        assert sorted(map(tuple, dedup_sized(df, "k", order, rows_per_task=size).collect()), key=repr) == want
+    even = df.where("k <> 'hot'")
+    sized, plain = plan(dedup_sized(even, "k", order, rows_per_task=500)), plan(dedup_latest(even, "k", order))
+    first_shuffle = lambda p: p[:p.rindex("Exchange")].count("Sort") == p.count("Sort")
+    assert first_shuffle(sized) and not first_shuffle(plain)
+    hot = plan(dedup_sized(df, "k", order, rows_per_task=500))
+    assert hot.count("REPARTITION_BY_NUM") == 1 and "Union" in hot  # the hot key keeps the plan that cuts it first
+
+
+def test_a_first_batch_is_written_once(spark, monkeypatch):
+    from riskloom.sources import upsert as module
+    stored = []
+    keep = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: stored.append(name) or keep(df, name))
+    path = shared_dir(spark, "upsert")
+    got = put(spark, rows(spark, (1, 1, "a", "x"), (1, 2, "b", "y"), (2, 1, None, "x")), path).first()
+    assert (got.rows_in, got.partitions_rewritten) == (2, 2) and not stored
+    empty = shared_dir(spark, "upsert")
+    assert put(spark, rows(spark, (1, 1, "a", "x")).where("id > 5"), empty).first().rows_in == 0
+
+
+def test_the_layer_joins_its_sources_once(spark, monkeypatch):
+    from riskloom.plans import context, stored
+    monkeypatch.setattr(stored, "_TABLES", {})
+    read = []
+    upsert_po = context.upsert_purchase_orders
+    monkeypatch.setattr(context, "upsert_purchase_orders", lambda s, b, p: read.append(plan(b)) or upsert_po(s, b, p))
+    assert context.Inputs(spark, "/root/testdata/sf0.001").po.count() > 0
+    assert len(read) == 2 and not any("Join" in p for p in read)

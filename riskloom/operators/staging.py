@@ -98,8 +98,6 @@ def stage_inventory(raw: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id:
         normalise_text("transaction_type").alias("transaction_type"),
         F.col("unit_cost").try_cast("double").alias("unit_cost"),
         _timestamp().alias("transaction_timestamp"),
-        _timestamp().cast("date").alias("transaction_date"),
-        signed_quantity("transaction_type", qty).alias("signed_quantity"),
         F.col("source_system").cast("string").alias("source_system"),
         F.col("source_file").cast("string").alias("source_file"),
         *[F.col(k) for k in tie_keys],
@@ -111,7 +109,10 @@ def stage_inventory(raw: DataFrame, as_of: dt.date, run_ts: dt.datetime, run_id:
         & (F.col("quantity") != 0))
     order = [F.col("transaction_timestamp").desc()] + [F.col(k).desc() for k in tie_keys]
     deduped = dedup(good, "transaction_id", order)
-    return deduped.select(
+    # What follows from other columns is computed after the dedup, which then moves less.
+    full = deduped.withColumns({"transaction_date": F.col("transaction_timestamp").cast("date"),
+                                "signed_quantity": signed_quantity("transaction_type", F.col("quantity"))})
+    return full.select(
         *[c for c in STAGED_COLUMNS[:12]],
         F.lit(as_of).alias("ingestion_date"),
         _ts_lit(run_ts).alias("processed_at"),
@@ -127,8 +128,21 @@ def po_order(tie_keys: Sequence[str] = ()) -> list[Column]:
 
 
 def po_layer_rows(raw_po: DataFrame) -> DataFrame:
-    """Staged purchase orders as the layer stores them: with the month they are partitioned by."""
-    return stage_purchase_order_receipts(raw_po, dedup=dedup_sized).withColumn("po_month", F.trunc("po_date", "month"))
+    """Staged purchase orders as the layer stores them, all versions: with the month they are partitioned by."""
+    every = stage_purchase_order_receipts(raw_po, dedup=lambda df, key, order: df)
+    return every.withColumn("po_month", F.trunc("po_date", "month"))
+
+
+def po_derived() -> dict[str, Column]:
+    """The columns of a staged purchase order that follow from its dates."""
+    return {"receipt_timestamp": F.col("receipt_date").cast("timestamp_ntz"),
+            "lead_days": F.datediff("receipt_date", "po_date").cast("long"),
+            "receipt_before_po": F.col("receipt_date") < F.col("po_date")}
+
+
+def po_layer_derived() -> dict[str, Column]:
+    """The same and the month: the columns of the layer that needn't move with a row."""
+    return {**po_derived(), "po_month": F.trunc("po_date", "month")}
 
 
 def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = (),
@@ -147,9 +161,7 @@ def stage_purchase_order_receipts(raw_po: DataFrame, tie_keys: Sequence[str] = (
     deduped = dedup(typed, "po_id", po_order(tie_keys))
     return deduped.select(
         "po_id", "vendor_id", "sku_id", "po_date", "expected_date", "receipt_date",
-        F.col("receipt_date").cast("timestamp_ntz").alias("receipt_timestamp"),
-        F.datediff("receipt_date", "po_date").cast("long").alias("lead_days"),
-        (F.col("receipt_date") < F.col("po_date")).alias("receipt_before_po"), "order_key",
+        *[c.alias(name) for name, c in po_derived().items()], "order_key",
     )
 
 

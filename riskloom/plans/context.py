@@ -18,7 +18,7 @@ from riskloom.operators.clock import expand_snapshots
 from riskloom.operators.demand import daily_demand_all, demand_signals, signals_from_daily
 from riskloom.operators.features import features_from_parts, sku_risk_features
 from riskloom.operators.leadtime import daily_lead_counts, daily_vendor_counts, sku_vendor_map, vendor_lead_times
-from riskloom.operators.staging import dedup_sized, stage_inventory
+from riskloom.operators.staging import Dedup, dedup_latest, dedup_sized, stage_inventory
 from riskloom.plans.pipeline import upsert_purchase_orders
 from riskloom.plans.stored import stored
 from riskloom.session import apply_settings, ensure_checkpoint_dir
@@ -53,13 +53,17 @@ class Inputs:
     def raw_po(self) -> DataFrame:
         return fx.purchase_order_receipts(self.table("lineitem"), self.table("orders"), self.sku_mod)
 
+    @cached_property
+    def raw_po_table(self) -> DataFrame:
+        """``raw_po`` as a stored table: joined once; every batch, and the count that sizes its dedup, reads its rows."""
+        return materialize(fx.sized_purchase_order_receipts(self.table("lineitem"), self.table("orders"), self.sku_mod),
+                           "purchase-orders-raw")
+
     @cached_property
     def po(self) -> DataFrame:
         """The purchase-order layer: a first batch, then one with late receipts merged in; stored once a session."""
         def build(path: str) -> None:
-            # Joined once: every batch, and the count that sizes its dedup, reads the stored rows.
-            raw = materialize(self.raw_po, "purchase-orders-raw")
-            for batch in fx.po_batches(raw, self.as_of):
+            for batch in fx.po_batches(self.raw_po_table, self.as_of):
                 upsert_purchase_orders(self.spark, batch, path)
         sources = [f"{self.sf_dir}/{t}.parquet" for t in ("lineitem", "orders")]
         return stored(self.spark, f"purchase-orders-{self.sku_mod}", sources, build)
@@ -77,14 +81,17 @@ class Inputs:
         the row that stays unless all rows of that id are older. An upper
         bound may not.
         """
+        return self._recent(dedup_latest)
+
+    def _recent(self, dedup: Dedup) -> DataFrame:
         since = dt.datetime.combine(self.as_of - dt.timedelta(days=WARM_UP_DAYS), dt.time())
         raw = self.raw.where(F.col("transaction_timestamp") >= F.lit(since).cast("timestamp_ntz"))
-        return stage_inventory(raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",))
+        return stage_inventory(raw, self.as_of, self.run_ts, self.run_id, tie_keys=("tie_key",), dedup=dedup)
 
     @cached_property
     def recent_table(self) -> DataFrame:
         """``recent_staged`` as a stored table, for plans that read it in two branches."""
-        return materialize(self.recent_staged, "staged-recent")
+        return materialize(self._recent(dedup_sized), "staged-recent")
 
     @cached_property
     def signals(self) -> DataFrame:

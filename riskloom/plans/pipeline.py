@@ -17,7 +17,7 @@ from riskloom.schemas import LAYER_SCHEMAS
 from riskloom.operators.demand import demand_signals
 from riskloom.operators.features import sku_risk_features
 from riskloom.operators.scoring import delay_risk_scores
-from riskloom.operators.staging import po_layer_rows, po_order, stage_inventory
+from riskloom.operators.staging import po_layer_derived, po_layer_rows, po_order, stage_inventory
 from riskloom.sources.sinks import write_table
 from riskloom.sources.upsert import upsert
 
@@ -43,7 +43,7 @@ def upsert_purchase_orders(spark: SparkSession, raw_po: DataFrame, path: str) ->
     """
     _, part, cluster = LAYERS["purchase_orders"]
     rows = po_layer_rows(raw_po).to(LAYER_SCHEMAS["purchase_orders"])
-    return upsert(spark, rows, path, "po_id", po_order(), part, cluster)
+    return upsert(spark, rows, path, "po_id", po_order(), part, cluster, po_layer_derived())
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, po: DataFrame | Sequence[DataFrame], out_dir: str, as_of: dt.date,

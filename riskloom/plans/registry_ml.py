@@ -371,7 +371,7 @@ def _po_layer(x: Inputs) -> DataFrame:
     """The purchase-order layer after a batch with late receipts, and what each upsert did to it (summed per order row)."""
     from riskloom.plans.pipeline import upsert_purchase_orders
     path, fates = shared_dir(x.spark, "po-layer"), []
-    first, late = fx.po_batches(x.raw_po, x.as_of)
+    first, late = fx.po_batches(x.raw_po_table, x.as_of)
     for batch in (first, late, late):  # the last one again: nothing changes
         fates.append(upsert_purchase_orders(x.spark, batch, path))
     report = None

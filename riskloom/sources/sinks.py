@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 # Write dispositions and their Spark save modes.
@@ -26,7 +26,8 @@ def _has_data(spark: SparkSession, path: str, fmt: str) -> bool:
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
                 cluster_by: Sequence[str] = (), schema: StructType | None = None,
-                fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> str:
+                fmt: str = "parquet", max_records_per_file: int = 5_000_000,
+                derived: Mapping[str, Column] | None = None) -> str:
     """Write with a disposition: overwrite (truncate) / append / empty (fail if data exists) / partitions.
 
     Truncate replaces the whole table, whatever the session's overwrite mode;
@@ -39,6 +40,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     sampling job re-runs the upstream plan (as range partitioning would).
     Rows are sorted by (partition, cluster) columns inside each task, so
     files are clustered and row-group min/max prune on the cluster keys.
+    Columns that follow from others of their row (``derived``: name and
+    expression) are not shuffled or sorted but computed as rows are written,
+    unless the table is partitioned or clustered by them.
     """
     save_mode = DISPOSITIONS.get(mode)
     if save_mode is None:
@@ -54,14 +58,20 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
             raise ValueError(f"destination {path} is not empty (WRITE_EMPTY)")
         save_mode = "append"
     out = df.to(schema) if schema is not None else df
-    keys = [*partition_by, *cluster_by]
+    keys, columns = [*partition_by, *cluster_by], out.columns
+    derived = {name: c for name, c in (derived or {}).items() if name not in keys}
+    out = out.drop(*derived)
     if partition_by:
         out = out.hint("rebalance", *partition_by)
     elif cluster_by:
         out = out.hint("rebalance")
     if keys:
         out = out.sortWithinPartitions(*keys)
+    if derived:
+        out = out.withColumns(derived).select(*columns)
     w = out.write.mode(save_mode).format(fmt).option("maxRecordsPerFile", max_records_per_file)
+    if fmt == "parquet":
+        w = w.option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     w.save(path)

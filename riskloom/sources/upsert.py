@@ -13,12 +13,12 @@ key is the same, whether or not the table has it already.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.staging import dedup_latest, dedup_sized
+from riskloom.operators.staging import dedup_sized
 from riskloom.sources.files import list_files, remove_folders
 from riskloom.sources.sinks import write_table
 from riskloom.streaming.runner import materialize
@@ -43,18 +43,23 @@ def partition_folders(table: DataFrame, values: DataFrame, parts: Sequence[str])
 
 
 def upsert(spark: SparkSession, batch: DataFrame, path: str, key: str, order: Sequence[Column],
-           partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> DataFrame:
+           partition_by: Sequence[str], cluster_by: Sequence[str] = (),
+           derived: Mapping[str, Column] | None = None) -> DataFrame:
     """Merge a batch into the table at ``path`` (made if it isn't there); returns one row of counts.
 
     ``order`` ranks the versions of a key, the newest first, over columns of
-    the table. rows_in: keys of the batch; inserted: new ones; updated: those
+    the table but the ``derived`` ones, which follow from others of their row
+    (name and expression) and are computed again instead of shuffled. rows_in: keys of the batch; inserted: new ones; updated: those
     whose row changed; unchanged: the others.
     """
-    parts, columns = list(partition_by), list(batch.columns)
-    newest = dedup_latest(batch, key, order)
+    parts, columns, derived = list(partition_by), list(batch.columns), dict(derived or {})
+
+    def latest(rows: DataFrame) -> DataFrame:
+        return dedup_sized(rows.drop(*derived), key, order).withColumns(derived).select(*columns)
+    newest = latest(batch)
     if list_files(spark, path, "*.parquet").isEmpty():
         # A first batch goes straight into the table, and is counted there.
-        write_table(newest, path, "WRITE_TRUNCATE", partition_by=parts, cluster_by=cluster_by)
+        write_table(newest, path, "WRITE_TRUNCATE", partition_by=parts, cluster_by=cluster_by, derived=derived)
         n = spark.read.schema(batch.schema).parquet(path).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*parts)).alias("p")).first()
         return spark.createDataFrame([(n.n, n.n, 0, 0, n.p, 0)], REPORT)
 
@@ -63,7 +68,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: str, order: Se
     now = table.select(key, *parts).join(incoming.select(key), key, "left_semi").select(*parts)
     touched = materialize(incoming.select(*parts).unionByName(now).distinct(), "upsert-partitions")
     old = same_parts(table, touched, parts, "left_semi")
-    merged = materialize(dedup_sized(old.unionByName(incoming), key, order), "upsert-merged")
+    merged = materialize(latest(old.unionByName(incoming)), "upsert-merged")
 
     # Versions before and after, of the batch's keys only.
     digest = F.xxhash64(*[F.col(c) for c in columns])
@@ -77,7 +82,7 @@ def upsert(spark: SparkSession, batch: DataFrame, path: str, key: str, order: Se
     emptied = partition_folders(spark.read.parquet(path), same_parts(touched, left, parts, "left_anti"), parts)
     emptied = materialize(emptied, "upsert-emptied")
 
-    write_table(merged, path, "REPLACE_PARTITIONS", partition_by=parts, cluster_by=cluster_by)
+    write_table(merged, path, "REPLACE_PARTITIONS", partition_by=parts, cluster_by=cluster_by, derived=derived)
     removed = remove_folders(emptied).where("existed").count()
     spark.catalog.refreshByPath(path)
     return spark.createDataFrame([(*fate, left.count(), removed)], REPORT)

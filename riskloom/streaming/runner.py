@@ -175,5 +175,5 @@ def enrich_reference(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the stored table (a lineage cut)."""
     path = shared_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -135,3 +135,37 @@ def test_the_layer_joins_its_sources_once(spark, monkeypatch):
     monkeypatch.setattr(context, "upsert_purchase_orders", lambda s, b, p: read.append(plan(b)) or upsert_po(s, b, p))
     assert context.Inputs(spark, "/root/testdata/sf0.001").po.count() > 0
     assert len(read) == 2 and not any("Join" in p for p in read)
+
+
+def test_large_sources_are_joined_in_sized_tasks(spark):
+    from riskloom.sources import fixtures as fx
+    li, od = (fx.table(spark, "/root/testdata/sf0.001", t) for t in ("lineitem", "orders"))
+    sized = fx.sized_purchase_order_receipts(li, od, lines_per_task=1000, small=0)
+    want = fx.purchase_order_receipts(li, od)
+    assert sized.exceptAll(want).isEmpty() and sized.count() == want.count()
+    p = plan(sized)
+    tasks = -(-li.count() // 1000)
+    assert p.count("REPARTITION_BY_NUM") == 2 and p.count(f", {tasks}), REPARTITION_BY_NUM") == 2
+    assert plan(fx.sized_purchase_order_receipts(li, od)).count("REPARTITION_BY_NUM") == 0
+
+
+def test_derived_columns_do_not_move(spark, monkeypatch):
+    from riskloom.operators import staging
+    from riskloom.sources import sinks, upsert as module
+    moved = []
+    sized = module.dedup_sized
+    monkeypatch.setattr(module, "dedup_sized", lambda df, *a: moved.append(df.columns) or sized(df, *a))
+    path = shared_dir(spark, "po")
+    d = dt.date
+    batch = po(spark, ("P1", "V", "S", d(2001, 5, 2), d(2001, 6, 1), None), ("P1", "V", "S", d(2001, 5, 2), d(2001, 6, 1), d(2001, 5, 1)),
+               ("P2", "V", "S", d(2001, 6, 2), d(2001, 7, 1), d(2001, 6, 12)))
+    upsert_purchase_orders(spark, batch, path)
+    upsert_purchase_orders(spark, batch.where("po_id = 'P2'"), path)
+    names = set(staging.po_layer_derived())
+    assert len(moved) == 3 and not any(names & set(c) for c in moved)
+    got = {r.po_id: (r.lead_days, r.receipt_before_po, r.receipt_timestamp, r.po_month) for r in spark.read.parquet(path).collect()}
+    assert got == {"P1": (-1, True, dt.datetime(2001, 5, 1), d(2001, 5, 1)), "P2": (10, False, dt.datetime(2001, 6, 12), d(2001, 6, 1))}
+    df = spark.range(10).select("id", (F.col("id") % 2).alias("part"), (F.col("id") * 2).alias("twice"))
+    out = sinks.write_table(df, shared_dir(spark, "derived"), partition_by=("part",), derived={"twice": F.col("id") * 2})
+    back = spark.read.parquet(out)
+    assert sorted(map(tuple, back.select("id", "part", "twice").collect())) == [(i, i % 2, 2 * i) for i in range(10)]

@@ -31,15 +31,19 @@ def daily_demand(staged: DataFrame, as_of: dt.date | None, days: int = 120) -> D
 
 def _daily(staged: DataFrame, keys: list[str]) -> DataFrame:
     t = F.col("transaction_type")
+    n = F.count("transaction_id") if "transaction_id" in staged.columns else F.count(F.lit(1))
     units = F.abs(F.col("signed_quantity"))
     return (staged.groupBy(*keys, "sku_id", "transaction_date")
             .agg(F.sum(F.when(t.isin(*DEMAND_TYPES), units).otherwise(F.lit(0))).alias("daily_demand_units"),
                  F.sum(F.when(t.isin(*INBOUND_TYPES), units).otherwise(F.lit(0))).alias("daily_receipt_units"),
-                 F.count("transaction_id").alias("daily_transaction_count")))
+                 n.alias("daily_transaction_count")))
 
 
 def daily_demand_all(staged: DataFrame) -> DataFrame:
-    """(sku, day) totals over all dates: the as-of-independent part, expanded per snapshot later."""
+    """(sku, day) totals over all dates: the as-of-independent part, expanded per snapshot later.
+
+    Staged rows always have a transaction_id; a table of them may leave it out.
+    """
     return _daily(staged, [])
 
 

@@ -133,8 +133,8 @@ class Inputs:
         start, step, count = self.training_grid
         # Aggregate to days first (independent of the snapshot), then copy days to snapshots.
         # Staged once for both aggregates, with the columns they read.
-        staged = materialize(self.training_staged.select("transaction_id", "sku_id", "vendor_id", "transaction_type",
-                                                         "signed_quantity", "transaction_date"), "training-staged")
+        staged = materialize(self.training_staged.select("sku_id", "vendor_id", "transaction_type", "signed_quantity",
+                                                         "transaction_date"), "training-staged")
         daily = expand_snapshots(daily_demand_all(staged), "transaction_date",
                                  start, step, count, 120)
         vendors = expand_snapshots(daily_vendor_counts(staged), "transaction_date",

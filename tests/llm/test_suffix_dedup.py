@@ -109,3 +109,26 @@ def test_anchors_do_not_depend_on_the_place():
     h = gram_hashes(np.frombuffer(core + core, np.uint8))
     assert len(h) == 2 * LENGTH - GRAM + 1 and (h[:LENGTH - GRAM + 1] == h[LENGTH:]).all()
     assert removed(b"abcdef", [(1, 3), (2, 4), (5, 6)]) == (4, 2, b"ae")
+
+
+def test_a_run_is_sent_bucket_by_bucket():
+    """While a full run is sent, its strings are not held a second time."""
+    import tracemalloc
+    from riskloom.llm.suffix_dedup import SPAN, Run
+    rng = random.Random(8)
+    run = Run(64, LENGTH, SPAN)
+    for k in range(2000):
+        raw = rng.randbytes(LENGTH + SPAN)
+        assert run.add(k.to_bytes(16, "little"), raw, SPAN) is None
+    assert run.add(b"again" * 4, raw, SPAN) == (b"again" * 4, 1, SPAN + LENGTH)
+    tracemalloc.start()
+    found, known, high = 0, [], 0
+    for _, blob, again in run.take():
+        items = list(decode_run(blob))
+        assert [x[1] for x in items] == sorted(x[1] for x in items)
+        found, high = found + len(items), max(high, tracemalloc.get_traced_memory()[1])
+        known += again
+        del blob, items
+    tracemalloc.stop()
+    assert found == 2000 and known == [((1999).to_bytes(16, "little"), 1, SPAN + LENGTH)] and not run.seen and not run.size
+    assert high < 2000 * (LENGTH + SPAN) / 2

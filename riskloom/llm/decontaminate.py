@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm import text as X
-from riskloom.llm.frames import fresh, text_bytes, written
+from riskloom.llm.frames import fresh, text_bytes, tidied, written
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 FILTER_BITS = 22
@@ -147,7 +147,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text_col: str
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == b) if blocks > 1 else items
         block = spark.sparkContext.broadcast([tuple(r) for r in part.distinct().collect()])
-        out = out.mapInArrow(_scanner(block, n, text_col, hits, b > 0), schema)
+        out = out.mapInArrow(tidied(_scanner(block, n, text_col, hits, b > 0)), schema)
         if b + 1 < blocks:
             out = written(out, "decontaminate-pass")
     return out
@@ -209,7 +209,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "spans", n:
         return found.where(F.size(runs) == 0).drop(hits)
     left = found.where((F.size(runs) == 0) | (F.col(f"`{hits}`.n_words") > F.aggregate(
         F.transform(runs, lambda r: r["words"]), F.lit(0).cast("long"), lambda a, b: a + b)))
-    cut = left.mapInArrow(lambda it: _without(it, text_col, hits), left.schema)
+    cut = left.mapInArrow(tidied(lambda it: _without(it, text_col, hits)), left.schema)
     return recount(cut.select(docs.columns), text_col)
 
 

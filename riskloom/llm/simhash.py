@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from riskloom.llm import text as X
 from riskloom.llm.components import components
-from riskloom.llm.frames import fresh, written
+from riskloom.llm.frames import fresh, tidied, written
 
 SEED = 42
 BUCKET_LIMIT = 2000
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fp", w
                               for k in range(batch.num_rows)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(c for k, c in enumerate(batch.columns) if k != at), pa.array(found)],
                                              names=[*(x for k, x in enumerate(names) if k != at), out])
-    return docs.mapInArrow(run, T.StructType([*kept, T.StructField(out, T.LongType(), False)]))
+    return docs.mapInArrow(tidied(run), T.StructType([*kept, T.StructField(out, T.LongType(), False)]))
 
 
 def ball(width: int, radius: int) -> list[int]:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm import grammar as G
-from riskloom.llm.frames import fresh, written
+from riskloom.llm.frames import fresh, tidied, written
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 STEMS = (4, 5, 6, 7)
@@ -141,7 +141,7 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, rows
             keys = pa.array([_distinct_key(t) for t in batch.column(0).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "key"])
     id_type = picked.schema["__id"].dataType.simpleString()
-    rows = joined.mapInArrow(keyed, f"text string, `__id` {id_type}, toxic int, calibrate boolean, weight double, key long")
+    rows = joined.mapInArrow(tidied(keyed), f"text string, `__id` {id_type}, toxic int, calibrate boolean, weight double, key long")
     # Of near copies the one with the smallest id (then text) stays, whatever order the rows come in.
     first = F.min_by(F.struct("text", "calibrate", "weight"), F.struct("__id", "text")).alias("first")
     return written(rows.groupBy("key", "toxic").agg(first).select("first.text", "toxic", "first.calibrate", "first.weight", "key"),
@@ -161,7 +161,7 @@ def _counted(sample: DataFrame) -> DataFrame:
         for lo in range(0, len(names), 50_000):
             part = names[lo:lo + 50_000]
             yield pa.RecordBatch.from_pydict({"f": part, "p": [counts[1][x] for x in part], "n": [counts[0][x] for x in part]})
-    rows = sample.select("text", "toxic").mapInArrow(run, "f string, p long, n long")
+    rows = sample.select("text", "toxic").mapInArrow(tidied(run), "f string, p long, n long")
     return rows.groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
 
 
@@ -199,7 +199,7 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
             found = [_terms(shared.value.features(t)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_pydict({"x": found, "y": batch.column(1).to_pylist(), "w": batch.column(2).to_pylist()})
     # Sorted, so that sums of floating-point numbers don't depend on the order of rows either.
-    data = sorted(rows.select("text", "toxic", "weight").mapInArrow(run, "x array<double>, y long, w double").collect(),
+    data = sorted(rows.select("text", "toxic", "weight").mapInArrow(tidied(run), "x array<double>, y long, w double").collect(),
                   key=lambda r: (r.x, r.y, r.w))
     y, w = np.array([r.y for r in data], dtype=float), np.array([r.w for r in data])
     if not len(y) or y.min() == y.max():
@@ -237,7 +237,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
                     s = m.score(f)
                     rows.append({"score": s, "predicted": int(s >= m.threshold), "clause_score": f[1], "n_clauses": f[3]})
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, type=kind)], names=[*part.schema.names, out])
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.StructType([
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField(out, T.StructType([
         T.StructField("score", T.DoubleType(), False), T.StructField("predicted", T.IntegerType(), False),
         T.StructField("clause_score", T.DoubleType(), False), T.StructField("n_clauses", T.LongType(), False)]), False)]))
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm import tokens
-from riskloom.llm.frames import written
+from riskloom.llm.frames import tidied, written
 
 WINDOW = 2048
 SHARD_TOKENS = 2_000_000
@@ -60,12 +60,15 @@ def _encode(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col
         signs = np.random.default_rng(11).choice(np.array([-1, 1], dtype=np.int16), (size, _BITS))
         weights = 1 << np.arange(_BITS - 1, -1, -1)
         frequency, rid = np.zeros(size, dtype=np.int64), TaskContext.get().partitionId() << 33
+        held = np.zeros(size, dtype=bool)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part, found = batch.slice(lo, 512), []
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     ids = np.append(encoder.ids(text or ""), encoder.dtype.type(end_id))
-                    distinct = np.unique(ids)
+                    held[ids] = True  # the distinct ids in order, without a sort
+                    distinct = np.flatnonzero(held)
+                    held[distinct] = False
                     frequency[distinct] += 1
                     found.append({"kind": 0, "rid": rid, "doc_id": doc_id, "n": len(ids), "ids": ids.tobytes(),
                                   "signature": int(((signs[distinct].sum(0, dtype=np.int64) > 0) * weights).sum())})
@@ -73,7 +76,7 @@ def _encode(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col
                 yield pa.RecordBatch.from_pylist(found, schema=_ENCODED_ARROW)
         if frequency.any():
             yield pa.RecordBatch.from_pylist([{"kind": 1, "ids": frequency.astype("<i8").tobytes()}], schema=_ENCODED_ARROW)
-    return written(rows.mapInArrow(run, _ENCODED), "encoded")
+    return written(rows.mapInArrow(tidied(run), _ENCODED), "encoded")
 
 
 def _frequencies(encoded: DataFrame, size: int) -> np.ndarray:
@@ -85,7 +88,7 @@ def _frequencies(encoded: DataFrame, size: int) -> np.ndarray:
                 total += np.frombuffer(raw, dtype="<i8")
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": at, "df": total[at]})
-    rows = encoded.where("kind = 1").select("ids").mapInArrow(run, "id long, df long").groupBy("id").agg(F.sum("df").alias("df"))
+    rows = encoded.where("kind = 1").select("ids").mapInArrow(tidied(run), "id long, df long").groupBy("id").agg(F.sum("df").alias("df"))
     out = np.zeros(size, dtype=np.int64)
     for r in rows.collect():
         out[r.id] = r.df
@@ -126,6 +129,17 @@ class Shard:
                            np.concatenate([self.impact[s] for s in spans]), minlength=self.n)
 
 
+def best_first(scores: np.ndarray, singly: int = 16) -> Iterator[int]:
+    """Places of the scores above 0, highest first, equal ones in order; few windows take more than ``singly``."""
+    for _ in range(singly):
+        at = int(scores.argmax())
+        if scores[at] <= 0:
+            return
+        yield at
+        scores[at] = -1.0
+    yield from np.argsort(-scores, kind="stable")[:int((scores > 0).sum())].tolist()
+
+
 def fill(lengths: np.ndarray, scores, window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences as lists of (text, start, length); ``scores(k)`` ranks the texts for text k."""
     for k, n in enumerate(lengths):
@@ -151,9 +165,8 @@ def fill(lengths: np.ndarray, scores, window: int = WINDOW) -> Iterator[list[tup
             if not room or not unused:
                 break
             if nearest is None:
-                found = np.where(rest > 0, scores(seed), -1.0)
-                nearest = np.argsort(-found, kind="stable")[:int((found > 0).sum())]
-                ranked = iter(nearest.tolist())
+                nearest = np.where(rest > 0, scores(seed), -1.0)
+                ranked = best_first(nearest)
             at = next(ranked, None)
             if at is None:
                 while not rest[seeds[spare]]:
@@ -202,4 +215,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, id_col: str = "doc_i
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
                 out = []
         yield pa.RecordBatch.from_pylist(out, schema=schema)
-    return rows.mapInArrow(run, PIECE)
+    return rows.mapInArrow(tidied(run), PIECE)

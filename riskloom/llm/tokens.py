@@ -13,8 +13,9 @@ are safe, encodes each distinct part once, and joins the ids:
 - any other file: the text is encoded as a whole.
 
 A part that is letters and then ASCII punctuation is two pre-tokens in
-either kind of file, looked up one by one; letters go straight to the
-library's merge model, the rest through its whole pipeline. Caches hold two
+either kind of file, looked up one by one when the part as a whole is not
+known yet; letters go straight to the library's merge model, the rest through
+its whole pipeline. Caches hold two
 generations of at most ``CACHE`` entries; the older one is dropped when the
 newer is full.
 """
@@ -91,6 +92,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             self.rule = _cut_rule(json.load(f))
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -103,8 +105,9 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token of letters (with its leading space, if any)."""
-        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(_BYTE_LETTERS))
-        return array(self.code, [t.id for t in found]).tobytes()
+        if not word.isascii() or word[0] == " ":  # letters of ASCII stand for themselves
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _cached(self, cache: Cache, key: str, lead: str, letters: bool) -> bytes:
         v = cache.get(key)
@@ -114,6 +117,14 @@ class Encoder:
         return v
 
     def _part(self, part: str) -> bytes:
+        """Ids of a part that the newer cache doesn't have; it is there afterwards, with its punctuation."""
+        v = self.words.get(part)
+        if v is None:
+            v = self._looked_up(part)
+            self.words.put(part, v)
+        return v
+
+    def _looked_up(self, part: str) -> bytes:
         """Ids of a part that isn't cached as it is."""
         line, cache, lead = b"", self.words, " " if self.rule == "space" else ""
         if part[0] == "\n":  # only where cuts are made at line ends
@@ -122,7 +133,7 @@ class Encoder:
         if not word.isalpha() or _SPECIAL in part or not (word.isascii() or max(word) < "\u2000"):
             return line + self._cached(cache, part, lead, False)
         if len(word) == len(part):
-            return line + self._cached(cache, word, lead, True)
+            return line + (self._word(lead + word) if cache is self.words else self._cached(cache, word, lead, True))
         return line + self._cached(cache, word, lead, True) + self._cached(self.plain, part[len(word):], "", False)
 
     def _join(self, parts: list[str]) -> bytes:

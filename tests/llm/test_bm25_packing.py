@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from tokenizers import Tokenizer
 
-from riskloom.llm.bm25_packing import B, K1, Shard, fill, pack
+from riskloom.llm.bm25_packing import B, K1, Shard, best_first, fill, pack
 from riskloom.llm.queries import op8_bm25_packing, vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -90,3 +90,12 @@ def test_scores_are_bm25_and_neighbours_come_first():
     others = shard.scores(seed).copy()
     others[seed] = -1
     assert second == int(np.argmax(others))
+
+
+def test_best_first_is_a_stable_sort():
+    rng = np.random.default_rng(3)
+    for n in (1, 10, 16, 17, 500):
+        scores = rng.integers(-1, 6, n).astype(float)
+        assert list(best_first(scores.copy())) == [k for k in np.argsort(-scores, kind="stable").tolist() if scores[k] > 0]
+    few = np.ones(100)
+    assert next(best_first(few)) == 0 and (few == 1).sum() == 100  # nothing is sorted or taken before it is asked for

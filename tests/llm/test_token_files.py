@@ -55,3 +55,12 @@ def test_edge_rows_and_random_access(spark):
         assert n == f.n_ids
         r.close()
     assert read_documents(write_sequences(df.limit(0), vocabulary("byte_bpe_50k.json"))).count() == 0
+
+
+def test_a_part_with_punctuation_is_known_as_it_is():
+    own, whole = Encoder(vocabulary("word_bpe_49k.json")), Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    asked, look_up = [], own._looked_up
+    own._looked_up = lambda part: asked.append(part) or look_up(part)
+    for text in ("river, stone; river", "river, river, stone;"):
+        assert own.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert asked == ["river,", "stone;"]  # the word alone is known from the first
